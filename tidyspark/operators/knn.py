@@ -87,7 +87,7 @@ def _best_of_block(k: int):
         # rows in label order, so that a stable sort breaks distance ties by label
         train = train.sort_values("label", kind="stable")
         labels, times = train["label"].to_numpy(), train["times"].to_numpy()
-        squared = _squared_distances(_vectors(queries["vector"]), _vectors(train["vector"]))
+        squared = _squared_distances(_vectors(queries["point"]), _vectors(train["vector"]))
         nearest = np.argsort(squared, axis=1, kind="stable")[:, :k]
         width = nearest.shape[1]
         rows = np.repeat(np.arange(len(queries)), width)
@@ -136,28 +136,32 @@ def nearest(train: DataFrame, queries: DataFrame, k: int, cell_rows: int = CELL_
         np.array([c["radius"] for c in cells]),
         np.array([c["reach"] if c["near"] >= k else np.inf for c in cells]),
     )
-    routed = cut_lineage(queries.select("query", "vector", F.explode(visit("vector")).alias("cell")))
+    # queries may stem from the same table as the training rows: rename to tell them apart
+    asked = queries.select("query", F.col("vector").alias("point"))
+    routed = cut_lineage(asked.select("query", "point", F.explode(visit("point")).alias("cell")))
 
     spark = train.sparkSession
     visits = {row["cell"]: row["count"] for row in routed.groupBy("cell").count().collect()}
     plan = [(c["cell"], -(-c["rows"] // block_rows), -(-visits.get(c["cell"], 0) // block_rows)) for c in cells]
-    blocks = F.broadcast(spark.createDataFrame(plan, "cell int, train_blocks int, query_blocks int"))
+
+    def blocks() -> DataFrame:
+        return F.broadcast(spark.createDataFrame(plan, "cell int, train_blocks int, query_blocks int"))
 
     def spread(count: str):
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
     left = (
-        placed.join(blocks, "cell")
+        placed.join(blocks(), "cell")
         .filter("query_blocks > 0")
         .withColumn("tb", F.pmod(F.xxhash64("vector", "label"), F.col("train_blocks")).cast("int"))
         .withColumn("qb", spread("query_blocks"))
         .select("cell", "tb", "qb", "vector", "label", "times")
     )
     right = (
-        routed.join(blocks, "cell")
+        routed.join(blocks(), "cell")
         .withColumn("qb", F.pmod(F.xxhash64("query"), F.col("query_blocks")).cast("int"))
         .withColumn("tb", spread("train_blocks"))
-        .select("cell", "tb", "qb", "query", "vector")
+        .select("cell", "tb", "qb", "query", "point")
     )
     keys = ["cell", "tb", "qb"]
     candidates = (

@@ -175,7 +175,7 @@ def _learner(family: str, task: str, classes: int, rows: int):
         if task == REGRESSION:
             return GBTRegressor(maxIter=BOOST_ROUNDS, seed=SEED)
         boosted = GBTClassifier(maxIter=BOOST_ROUNDS, seed=SEED)
-        return boosted if classes <= 2 else OneVsRest(classifier=boosted)
+        return boosted if classes <= 2 else OneVsRest(classifier=boosted, parallelism=min(classes, 4))
     forest = RandomForestClassifier if task == CLASSIFICATION else RandomForestRegressor
     return forest(numTrees=FOREST_TREES, seed=SEED, maxDepth=MAX_DEPTH)
 

@@ -43,8 +43,14 @@ def _totals(df: DataFrame, want: list[str], duplicates: bool) -> DataFrame:
         ],
         "negatives": [
             F.coalesce(F.sum("negatives"), F.lit(0)).alias("negatives"),
+            # ``least`` skips NULL, so columns without the count must be left out first
             F.coalesce(
-                F.sum(F.least(F.lit(VALIDITY_CAP), percent(F.col("negatives"), rows))), F.lit(0.0)
+                F.sum(
+                    F.when(
+                        F.col("negatives").isNotNull(), F.least(F.lit(VALIDITY_CAP), percent(F.col("negatives"), rows))
+                    )
+                ),
+                F.lit(0.0),
             ).alias("validity_loss"),
         ],
         "all_dates": [

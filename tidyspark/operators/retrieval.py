@@ -148,11 +148,11 @@ def badge(kind: Column, relevance: Column, title: Column) -> Column:
 
 def _grouped(value: Column) -> Column:
     """A number with thousands separators and one or two decimals."""
-    return F.format_number(round_even(value, 2), "#,##0.0#")
+    return F.call_function("format_number", round_even(value, 2), F.lit("#,##0.0#"))
 
 
 def _plain(value: Column) -> Column:
-    return F.format_number(round_even(value, 2), "0.0#")
+    return F.call_function("format_number", round_even(value, 2), F.lit("0.0#"))
 
 
 _KNOWLEDGE = ("kind", "title", "snippet", "full_text")

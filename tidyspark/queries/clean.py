@@ -31,7 +31,7 @@ def yes_no_sql(column: str) -> str:
 def title_sql(value: str) -> str:
     return (
         f"array_to_string(list_transform(regexp_extract_all(lower({value}), '\\p{{L}}+|[^\\p{{L}}]+'), "
-        "lambda r: upper(r[1]) || r[2:]), '')"
+        "lambda r: (CASE r[1] WHEN 'ß' THEN 'Ss' ELSE upper(r[1]) END) || r[2:]), '')"
     )
 
 

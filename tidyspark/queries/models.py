@@ -58,9 +58,11 @@ def model_knn(spark, sf_dir):
 
 @query("model_lift")
 def model_lift(spark, sf_dir):
-    """Score and lift of every family on one target."""
-    df = _customers(spark, sf_dir)
-    return reduce(DataFrame.unionByName, [m.benchmark(df, "c_mktsegment", family) for family in m.FAMILIES])
+    """Score and lift of every family on one target: the quality label of documents."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    df = documents.join(labels, "doc_id").drop("doc_id")
+    return reduce(DataFrame.unionByName, [m.benchmark(df, "quality", family) for family in m.FAMILIES])
 
 
 @query(

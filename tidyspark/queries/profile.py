@@ -124,7 +124,7 @@ def profile_numeric_like(spark, sf_dir):
 
 
 _TOP = """SELECT {i} AS ordinal, '{c}' AS name, rank, value, times FROM (
-  SELECT {c} AS value, count(*) AS times, row_number() OVER (ORDER BY count(*) DESC, {c} ASC) AS rank
+  SELECT {c} AS value, count(*) AS times, row_number() OVER (ORDER BY count(*) DESC, {c} ASC)::INTEGER AS rank
   FROM untidy WHERE {c} IS NOT NULL GROUP BY {c}) WHERE rank <= 3"""
 
 

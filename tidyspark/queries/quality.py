@@ -14,8 +14,8 @@ _SPACE = sql_text(WHITESPACE)
 def _score_ctes(source: str, prefix: str, columns, text_columns, numeric_columns) -> str:
     """CTEs ``<prefix>_scores`` with the five scores of a relation."""
     missing = " + ".join(f"count_if({c} IS NULL)" for c in columns)
-    padded = " + ".join(f"count_if({c} <> trim({c}, {_SPACE}))" for c in text_columns) or "0"
-    loss = " + ".join(f"least(20.0, count_if({c} < 0)::DOUBLE / count(*) * 100.0)" for c in numeric_columns) or "0.0"
+    padded = " + ".join(f"coalesce(count_if({c} <> trim({c}, {_SPACE})), 0)" for c in text_columns) or "0"
+    loss = " + ".join(f"least(20.0, coalesce(count_if({c} < 0), 0)::DOUBLE / count(*) * 100.0)" for c in numeric_columns) or "0.0"
     names = ", ".join(columns)
     consistency = f"100.0 - least(25.0, padded::DOUBLE / (n * {max(len(text_columns), 1)}) * 100.0)"
     return f"""

@@ -102,7 +102,7 @@ filled AS (SELECT item_id, doc_id, max(score) AS score FROM (
   SELECT * FROM scores WHERE score > 0
   UNION ALL SELECT item_id, doc_id, 0.0::DOUBLE FROM benchmark, (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 3))
   GROUP BY item_id, doc_id),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM filled)
+ranked AS (SELECT *, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank FROM filled)
 SELECT item_id, doc_id, score, rank, floor(score * 100)::INTEGER AS relevance FROM ranked WHERE rank <= 3""",
 )
 def tfidf_topk(spark, sf_dir):
