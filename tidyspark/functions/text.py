@@ -28,17 +28,26 @@ MISSING_WORDS = (
 # Number syntax accepted after "$" and "," have been removed.
 NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 INTEGER_PATTERN = r"^[+-]?[0-9]{1,18}$"
-# Date shapes, tried in this order, and the formats a value of that shape is
-# read with. Month first, then day first when the month would exceed 12.
+# The same characters as WHITESPACE, as ranges of a pattern's character class.
+WHITESPACE_CLASS = (
+    r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
+# Date shapes, tried in this order, and the year-month-day orders a value of that
+# shape is read in: month first, then day first when the month would exceed 12.
 DATE_SHAPES = (
-    (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", ("yyyy-M-d",)),
-    (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$", ("yyyy/M/d",)),
-    (r"^[0-9]{8}$", ("yyyyMMdd",)),
-    (r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$", ("M-d-yyyy", "d-M-yyyy")),
-    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", ("M/d/yyyy", "d/M/yyyy")),
-    (r"^\p{L}+ [0-9]{1,2} [0-9]{4}$", ("MMMM d yyyy", "MMM d yyyy")),
-    (r"^[0-9]{1,2} \p{L}+ [0-9]{4}$", ("d MMMM yyyy", "d MMM yyyy")),
+    (r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})$", ("$1-$2-$3",)),
+    (r"^([0-9]{4})/([0-9]{1,2})/([0-9]{1,2})$", ("$1-$2-$3",)),
+    (r"^([0-9]{4})([0-9]{2})([0-9]{2})$", ("$1-$2-$3",)),
+    (r"^([0-9]{1,2})-([0-9]{1,2})-([0-9]{4})$", ("$3-$1-$2", "$3-$2-$1")),
+    (r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$", ("$3-$1-$2", "$3-$2-$1")),
+)
+# Dates with a month's name or its first three letters, and where year and day stand.
+NAMED_MONTH = (
+    r"(?i)^(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec|january|february|march|april|june|july|august"
+    r"|september|october|november|december) ([0-9]{1,2}) ([0-9]{4})$"
 )
+DAY_FIRST = r"^([0-9]{1,2}) (\p{L}+) ([0-9]{4})$"
+MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec"
 TIMESTAMP_PATTERN = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt ]([01][0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9](\.[0-9]+)?)?"
     r"([Zz]|[+-][0-9]{2}:?[0-9]{2})?$"
@@ -52,8 +61,21 @@ def strip(value: Column) -> Column:
     return F.btrim(value, F.lit(WHITESPACE))
 
 
+# What the patterns above accept in a raw value, with padding, "$" and "," left in:
+# testing a raw value with one pattern costs a third of rewriting it first.
+_EDGE = f"[{WHITESPACE_CLASS}$,]*"
+_DIGITS = "[0-9][0-9$,]*"
+RAW_NUMBER = (
+    rf"^{_EDGE}[+-]?[$,]*({_DIGITS}\.?[0-9$,]*|\.[$,]*{_DIGITS})([eE][$,]*[+-]?[$,]*{_DIGITS})?{_EDGE}$"
+)
+RAW_INTEGER = rf"^{_EDGE}[+-]?[$,]*([0-9][$,]*){{1,18}}{_EDGE}$"
+RAW_BOOLEAN = rf"(?i)^[{WHITESPACE_CLASS}]*({'|'.join(TRUE_WORDS + FALSE_WORDS)})[{WHITESPACE_CLASS}]*$"
+
+
 def is_padded(value: Column) -> Column:
-    return strip(value) != value
+    """White space at either end; looks at two characters, rewrites nothing."""
+    ends = [F.contains(F.lit(WHITESPACE), F.substring(value, at, 1)) for at in (1, -1)]
+    return (value != "") & (ends[0] | ends[1])
 
 
 def plain_number(value: Column) -> Column:
@@ -62,11 +84,11 @@ def plain_number(value: Column) -> Column:
 
 
 def is_number(value: Column) -> Column:
-    return F.rlike(plain_number(value), F.lit(NUMBER_PATTERN))
+    return F.rlike(value, F.lit(RAW_NUMBER))
 
 
 def is_integer(value: Column) -> Column:
-    return F.rlike(plain_number(value), F.lit(INTEGER_PATTERN))
+    return F.rlike(value, F.lit(RAW_INTEGER))
 
 
 def to_number(value: Column) -> Column:
@@ -74,12 +96,11 @@ def to_number(value: Column) -> Column:
 
     The pattern comes first because a bare cast also takes ``5d`` and ``nan``.
     """
-    plain = plain_number(value)
-    return F.when(F.rlike(plain, F.lit(NUMBER_PATTERN)), plain.try_cast("double"))
+    return F.when(is_number(value), plain_number(value).try_cast("double"))
 
 
 def is_boolean_word(value: Column) -> Column:
-    return F.lower(strip(value)).isin(*TRUE_WORDS, *FALSE_WORDS)
+    return F.rlike(value, F.lit(RAW_BOOLEAN))
 
 
 def to_yes_no(value: Column) -> Column:
@@ -90,17 +111,21 @@ def to_yes_no(value: Column) -> Column:
 def to_date(value: Column) -> Column:
     """The calendar date a text stands for, NULL when no listed shape fits.
 
-    The shape is matched first, so each value is parsed with one or two formats
-    instead of all of them.
+    The shape is matched first and the parts put in year-month-day order, which a
+    plain cast reads; no format is tried in vain.
     """
-    text = F.translate(strip(value), ",", "")
-    parsed = F.when(
-        F.rlike(text, F.lit(TIMESTAMP_PATTERN)), F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd")
+    plain = F.translate(strip(value), ",", "")
+    parsed = F.when(F.lit(False), F.lit(None).cast("date"))
+    for shape, orders in DATE_SHAPES:
+        reordered = [F.regexp_replace(plain, shape, order).try_cast("date") for order in orders]
+        parsed = parsed.when(F.rlike(plain, F.lit(shape)), F.coalesce(*reordered))
+    month_first = F.regexp_replace(plain, DAY_FIRST, "$2 $1 $3")
+    month = F.floor((F.instr(F.lit(MONTHS), F.lower(F.substring(month_first, 1, 3))) + 3) / 4)
+    day_and_year = F.split(month_first, " ")
+    named = F.concat_ws("-", day_and_year[2], month, day_and_year[1]).try_cast("date")
+    return parsed.when(F.rlike(month_first, F.lit(NAMED_MONTH)), named).when(
+        F.rlike(plain, F.lit(TIMESTAMP_PATTERN)), F.substring(plain, 1, 10).try_cast("date")
     )
-    for shape, formats in DATE_SHAPES:
-        attempt = F.coalesce(*[F.try_to_date(text, fmt) for fmt in formats])
-        parsed = parsed.when(F.rlike(text, F.lit(shape)), attempt)
-    return parsed
 
 
 def title_case(value: Column) -> Column:

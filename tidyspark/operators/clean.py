@@ -24,7 +24,8 @@ def known_facts(df: DataFrame, want: list[str], columns: list[str] | None = None
     subset = df if columns is None else df.select(*[F.col(f"`{c}`") for c in columns])
     if not subset.columns:
         return {}
-    return {row["name"]: row for row in facts.column_facts(subset, want).collect()}
+    refuted = facts.first_look(subset, want)
+    return {row["name"]: row for row in facts.column_facts(subset, want, disproved=refuted).collect()}
 
 
 def _rewrite(df: DataFrame, changes: dict[str, Column]) -> DataFrame:
@@ -143,7 +144,7 @@ def standardise_dates(df: DataFrame, known: Known | None = None) -> DataFrame:
     }
     for column in textual:
         if column in known and known[column]["all_dates"]:
-            changes[column] = F.date_format(text.to_date(F.col(f"`{column}`")), "yyyy-MM-dd")
+            changes[column] = text.to_date(F.col(f"`{column}`")).cast("string")
     return _rewrite(df, changes)
 
 

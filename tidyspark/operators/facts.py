@@ -83,7 +83,8 @@ def _aggregate(field: T.StructField, statistic: str) -> Column | None:
             return over_numbers[statistic](text.to_number(value))
         every = {
             "all_numbers": text.is_number,
-            "all_integers": text.is_integer,
+            # shares the number test with the statistics above; most text fails it at once
+            "all_integers": lambda v: text.is_number(v) & text.is_integer(v),
             "all_booleans": text.is_boolean_word,
         }
         if statistic in every:
@@ -93,6 +94,42 @@ def _aggregate(field: T.StructField, statistic: str) -> Column | None:
     return None
 
 
+# Statistics that one counter-example settles, and what else they make pointless.
+SETTLED_BY = {
+    "all_numbers": ("all_numbers", "all_integers", "text_low", "text_high", "text_mean"),
+    "all_integers": ("all_integers",),
+    "all_booleans": ("all_booleans",),
+    "all_dates": ("all_dates",),
+}
+FIRST_LOOK_ROWS = 256
+# Smaller tables are scanned in full as fast as they are looked at.
+FIRST_LOOK_FROM = 100_000
+
+Disproved = dict[str, set[str]]
+
+
+def first_look(
+    df: DataFrame, want: list[str], rows: int = FIRST_LOOK_ROWS, smallest: int = FIRST_LOOK_FROM
+) -> Disproved:
+    """Which "every value is a …" statements the first few rows already refute.
+
+    One counter-example settles such a statement for the whole column, so the
+    full scan need not test it again. Nothing is concluded from rows that agree.
+    """
+    tests = [s for s in want if s in SETTLED_BY]
+    fields = [f for f in df.schema if names.is_text(f)]
+    if not tests or not fields or df.count() < smallest:
+        return {}
+    sample = df.select(*[F.col(f"`{f.name}`") for f in fields]).take(rows)
+    if not sample:
+        return {}
+    local = df.sparkSession.createDataFrame(sample, T.StructType(fields))
+    return {
+        row["name"]: {gone for test in tests if row[test] is False for gone in SETTLED_BY[test]}
+        for row in column_facts(local, tests).collect()
+    }
+
+
 def _groups(fields: list[tuple[int, T.StructField]], want: list[str]) -> list[list[tuple[int, T.StructField]]]:
     """Consecutive columns whose aggregation buffers fit one generated stage."""
     groups, used = [[]], 2
@@ -111,8 +148,12 @@ def all_missing(df: DataFrame) -> Column:
     return F.coalesce(*[F.when(value_of(f).isNotNull(), F.lit(True)) for f in df.schema]).isNull()
 
 
-def _facts_of_group(df: DataFrame, fields: list[tuple[int, T.StructField]], want: list[str], empties: bool) -> DataFrame:
-    wanted = [(i, f, s, _aggregate(f, s)) for i, f in fields for s in want]
+def _facts_of_group(
+    df: DataFrame, fields: list[tuple[int, T.StructField]], want: list[str], empties: bool, disproved: Disproved
+) -> DataFrame:
+    wanted = [
+        (i, f, s, None if s in disproved.get(f.name, ()) else _aggregate(f, s)) for i, f in fields for s in want
+    ]
     empty_rows = F.count_if(all_missing(df)) if empties else F.lit(None).cast("bigint")
     totals = df.agg(
         F.count("*").alias("rows"),
@@ -120,6 +161,10 @@ def _facts_of_group(df: DataFrame, fields: list[tuple[int, T.StructField]], want
         *[agg.alias(f"{s}_{i}") for i, _, s, agg in wanted if agg is not None],
     )
 
+    def absent(field: T.StructField, statistic: str) -> Column:
+        refuted = statistic.startswith("all_") and statistic in disproved.get(field.name, ())
+        return F.lit(False) if refuted else F.lit(None)
+
     def entry(i: int, field: T.StructField) -> Column:
         present = {s for j, _, s, agg in wanted if j == i and agg is not None}
         return F.struct(
@@ -130,7 +175,7 @@ def _facts_of_group(df: DataFrame, fields: list[tuple[int, T.StructField]], want
             "rows",
             "empty_rows",
             *[
-                (F.col(f"{s}_{i}") if s in present else F.lit(None)).cast(STATISTICS[s][0]).alias(s)
+                (F.col(f"{s}_{i}") if s in present else absent(field, s)).cast(STATISTICS[s][0]).alias(s)
                 for s in want
             ],
         )
@@ -138,17 +183,22 @@ def _facts_of_group(df: DataFrame, fields: list[tuple[int, T.StructField]], want
     return totals.select(F.inline(F.array(*[entry(i, f) for i, f in fields])))
 
 
-def column_facts(df: DataFrame, want: list[str], empty_rows: bool = False) -> DataFrame:
+def column_facts(
+    df: DataFrame, want: list[str], empty_rows: bool = False, disproved: Disproved | None = None
+) -> DataFrame:
     """One row per column: ``ordinal, name, dtype, kind, rows, empty_rows`` and
     the wanted statistics (NULL where a statistic does not apply to the type).
 
-    ``all_*`` statistics are NULL for a column without values.
+    ``all_*`` statistics are NULL for a column without values. ``disproved`` names
+    statistics per column that need no test any more (see ``first_look``): ``all_*``
+    then read false, numbers held as text read NULL.
     """
     if not df.columns:
         raise ValueError("a table needs at least one column")
     groups = _groups(list(enumerate(df.schema, start=1)), want)
     parts = [
-        _facts_of_group(df, group, want, empties=empty_rows and index == 0) for index, group in enumerate(groups)
+        _facts_of_group(df, group, want, empty_rows and index == 0, disproved or {})
+        for index, group in enumerate(groups)
     ]
     return reduce(DataFrame.unionByName, parts)
 

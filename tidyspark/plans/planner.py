@@ -20,9 +20,7 @@ ORDINAL = ("random_forest", "xgboost")
 FILL_METHOD = "median/mode"
 # ---------------------------------------------------------------------------
 
-_FACTS = [
-    "nulls", "padded", "negatives", "low", "text_low", "all_numbers", "all_integers", "all_booleans", "all_dates",
-]
+_FACTS = ["nulls", "low", "text_low", "all_numbers", "all_integers", "all_booleans", "all_dates"]
 PLAN_SCHEMA = "step int, operation string, method string, reason string"
 
 
@@ -86,7 +84,9 @@ class Snapshot:
 
 def snapshot(df: DataFrame) -> Snapshot:
     """Gather everything the planner asks for: one scan and one duplicate count."""
-    found = sorted(facts.column_facts(df, _FACTS, empty_rows=True).collect(), key=lambda row: row["ordinal"])
+    refuted = facts.first_look(df, _FACTS)
+    rows = facts.column_facts(df, _FACTS, empty_rows=True, disproved=refuted).collect()
+    found = sorted(rows, key=lambda row: row["ordinal"])
     return Snapshot(found, duplicate_total(df).first()["duplicates"])
 
 
