@@ -119,6 +119,10 @@ def pose(df: DataFrame, target: str) -> Problem:
         (bucket < TRAIN_SHARE).alias("training"),
     )
     data = cut_lineage(data)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if data.rdd.getNumPartitions() < cores:
+        # few input splits would leave most cores idle in every training pass
+        data = cut_lineage(data.repartition(cores))
     counts = {r["training"]: r["count"] for r in data.groupBy("training").count().collect()}
     return Problem(data, numeric, textual, task, classes, counts.get(True, 0), counts.get(False, 0))
 

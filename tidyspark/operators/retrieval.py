@@ -53,29 +53,35 @@ def term_counts(
 ) -> DataFrame:
     """``id, term, times`` per document, laid out by document.
 
-    Token lists are shuffled by document once; counting terms, norms and scores
-    per document afterwards needs no further shuffle.
+    Texts are shuffled by document once; counting terms, norms and scores per
+    document afterwards needs no further shuffle.
     """
-    lists = docs.select(id_column, _tokens(F.col(text_column), stop_words).alias("tokens")).filter(F.size("tokens") > 0)
-    spread = lists.repartition(id_column)
+    spread = docs.select(id_column, text_column).repartition(id_column)
     return (
-        spread.select(id_column, F.explode("tokens").alias("term"))
+        spread.select(id_column, F.explode(_tokens(F.col(text_column), stop_words)).alias("term"))
         .groupBy(id_column, "term")
         .agg(F.count("*").alias("times"))
     )
 
 
-def inverse_frequency(docs: DataFrame, id_column: str, text_column: str, stop_words: tuple[str, ...] = ENGLISH) -> DataFrame:
+def inverse_frequency(counts: DataFrame, documents: int) -> DataFrame:
     """``term, idf`` with idf = ln((1 + n) / (1 + documents with the term)) + 1.
 
-    Each document counts a term once before anything is shuffled, and counts are
-    summed per task first, so a term found in a third of the documents is no
-    larger a group than any other.
+    Documents are counted per task before the shuffle, so a term found in a third
+    of them is no larger a group than any other.
     """
-    n = docs.count()
-    terms = F.explode(F.array_distinct(_tokens(F.col(text_column), stop_words)))
-    found = docs.select(terms.alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    return found.select("term", (F.log(F.lit(1.0 + n) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
+    found = counts.groupBy("term").agg(F.count("*").alias("df"))
+    return found.select("term", (F.log(F.lit(1.0 + documents) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
+
+
+def _weighted(
+    docs: DataFrame, id_column: str, text_column: str, stop_words: tuple[str, ...]
+) -> tuple[DataFrame, DataFrame]:
+    """(weights of all documents, idf table). Texts are cut into words once: the
+    counts are kept, and both document frequencies and weights are read from them."""
+    counts = cut_lineage(term_counts(docs, id_column, text_column, stop_words))
+    idf = cut_lineage(inverse_frequency(counts, docs.count()))
+    return _weigh(counts, id_column, idf), idf
 
 
 def _weigh(counts: DataFrame, id_column: str, idf: DataFrame) -> DataFrame:
@@ -90,8 +96,7 @@ def _weigh(counts: DataFrame, id_column: str, idf: DataFrame) -> DataFrame:
 
 def tfidf(docs: DataFrame, id_column: str, text_column: str, stop_words: tuple[str, ...] = ENGLISH) -> DataFrame:
     """``id, term, weight`` of every document."""
-    idf = cut_lineage(inverse_frequency(docs, id_column, text_column, stop_words))
-    return _weigh(term_counts(docs, id_column, text_column, stop_words), id_column, idf)
+    return _weighted(docs, id_column, text_column, stop_words)[0]
 
 
 def retrieve(
@@ -112,8 +117,7 @@ def retrieve(
     task. Fewer than k documents may share a word with a query; the rest of its
     places go to the first documents, with score 0.
     """
-    idf = cut_lineage(inverse_frequency(corpus, id_column, text_column, stop_words))
-    weights = _weigh(term_counts(corpus, id_column, text_column, stop_words), id_column, idf)
+    weights, idf = _weighted(corpus, id_column, text_column, stop_words)
     asked = term_counts(queries.select(query_id, query_text), query_id, query_text, stop_words)
     query_weights = cut_lineage(_weigh(asked, query_id, idf).withColumnRenamed("weight", "query_weight"))
 
@@ -275,11 +279,13 @@ def knowledge_rows(df: DataFrame, dataset: str, lineage: DataFrame | None = None
 
 def sources(df: DataFrame, dataset: str, questions: DataFrame, query_id: str, query_text: str, k: int = 3,
             lineage: DataFrame | None = None) -> DataFrame:
-    """The k knowledge rows closest to each question, with badge and relevance."""
-    rows = cut_lineage(knowledge_rows(df, dataset, lineage).withColumn("row_id", F.monotonically_increasing_id()))
-    corpus = rows.select("row_id", F.concat_ws(" ", "title", "full_text").alias("body"))
-    found = retrieve(corpus, "row_id", "body", questions, query_id, query_text, k)
-    return found.join(F.broadcast(rows), "row_id").select(
+    """The k knowledge rows closest to each question, with badge and relevance.
+    Rows are told apart by their title; equal scores go in title order."""
+    rows = cut_lineage(knowledge_rows(df, dataset, lineage))
+    corpus = rows.select("title", F.concat_ws(" ", "title", "full_text").alias("body"))
+    found = retrieve(corpus, "title", "body", questions, query_id, query_text, k)
+    # a handful of rows per column of one table
+    return found.join(F.broadcast(rows.select("title", "kind", "snippet")), "title").select(
         query_id, "rank", "kind", badge(F.col("kind"), F.col("relevance"), F.col("title")).alias("title"), "snippet",
         "relevance",
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidyspark.functions.numbers import round_even
+from tidyspark.operators import features, knn
 from tidyspark.operators import models as m
 from tidyspark.queries.base import query, sql_round, table
 
@@ -56,6 +57,29 @@ def model_knn(spark, sf_dir):
     return m.benchmark(_customers(spark, sf_dir), "c_mktsegment", "knn")
 
 
+@query(
+    "knn_vote",
+    """WITH codes AS (SELECT c_mktsegment, (dense_rank() OVER (ORDER BY c_mktsegment) - 1)::DOUBLE AS label
+  FROM (SELECT DISTINCT c_mktsegment FROM customer)),
+pairs AS (SELECT s_suppkey, label, row_number() OVER (PARTITION BY s_suppkey ORDER BY
+    (c_acctbal - s_acctbal) * (c_acctbal - s_acctbal) + (c_nationkey - s_nationkey) * (c_nationkey - s_nationkey), label) AS place
+  FROM supplier, customer JOIN codes USING (c_mktsegment)),
+votes AS (SELECT s_suppkey, label, count(*) AS weight FROM pairs WHERE place <= 3 GROUP BY s_suppkey, label)
+SELECT s_suppkey AS query, label AS prediction FROM (
+  SELECT *, row_number() OVER (PARTITION BY s_suppkey ORDER BY weight DESC, label) AS r FROM votes) WHERE r = 1""",
+)
+def knn_vote(spark, sf_dir):
+    """The market segment most common among the three customers nearest to each supplier."""
+    customers, suppliers = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
+    segments = features.categories(customers, ["c_mktsegment"])["c_mktsegment"]
+    label = F.array_position(F.array(*[F.lit(s) for s in segments]), F.col("c_mktsegment")).cast("double") - 1.0
+    train = customers.select(F.array("c_acctbal", F.col("c_nationkey").cast("double")).alias("vector"), label.alias("label"))
+    asked = suppliers.select(
+        F.col("s_suppkey").alias("query"), F.array("s_acctbal", F.col("s_nationkey").cast("double")).alias("vector")
+    )
+    return knn.vote(knn.nearest(train, asked, m.NEIGHBOURS))
+
+
 @query("model_lift")
 def model_lift(spark, sf_dir):
     """Score and lift of every family on one target: the quality label of documents."""

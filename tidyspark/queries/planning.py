@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidyspark.operators.ask import lineage_report as lineage
 from tidyspark.operators.quality import quality_lift
 from tidyspark.plans import audit, planner, run
 from tidyspark.queries.base import UNTIDY_COLUMNS, UNTIDY_CTE, UNTIDY_TEXT, query, sql_round, table, untidy
+from tidyspark.queries.clean import TIDY_CTE
 from tidyspark.queries.profile import boolean_sql, number_sql
+from tidyspark.queries.quality import score_ctes
+from tidyspark.session import cut_lineage
 
 
-def _seen_cte() -> str:
+def _seen_cte(opening: str = UNTIDY_CTE) -> str:
     """One row with everything the plan depends on, worked out by SQL."""
     boolean = {c: f"coalesce(bool_and({boolean_sql(c)}), false)" for c in UNTIDY_TEXT}
     numeric = {
@@ -24,7 +28,7 @@ def _seen_cte() -> str:
     def listed(entries: list[str]) -> str:
         return f"array_to_string(list_filter([{', '.join(entries)}], lambda n: n IS NOT NULL), ', ')"
 
-    return f"""{UNTIDY_CTE},
+    return f"""{opening},
 seen AS (SELECT
   count_if({" AND ".join(f"{c} IS NULL" for c in UNTIDY_COLUMNS)}) AS empty_rows,
   {listed([f"CASE WHEN count({c}) = 0 THEN '{c}' END" for c in UNTIDY_COLUMNS])} AS empty_columns,
@@ -125,17 +129,43 @@ def plan_summary(spark, sf_dir):
     return spark.createDataFrame([(planner.plan_summary(seen, "random_forest", "approved"),)], "summary string")
 
 
-@query("audit_log")
+_AUDIT = """
+SELECT 0 AS place, 'Source Analyzer' AS agent, 'Inspected source' AS action, (SELECT count(*) FROM untidy) || ' rows, 8 columns' AS reason,
+  'read_table' AS tool, 'SUCCESS' AS status FROM seen
+UNION ALL SELECT 1, 'Profiler', 'Profiled table', missing || ' missing values, ' || duplicates || ' duplicate rows', 'table_profile', 'SUCCESS' FROM seen
+UNION ALL SELECT 2, 'Planner', 'Built plan', (SELECT count(*) FROM plan_None) || ' steps', 'build_plan', 'SUCCESS' FROM seen
+UNION ALL SELECT 2 + step, CASE operation WHEN 'validate' THEN 'Validation' WHEN 'store' THEN 'Storage' ELSE 'Cleaning' END,
+  operation, reason, operation, 'SUCCESS' FROM plan_None
+UNION ALL SELECT 100, 'Benchmark', 'Skipped benchmark', 'no model or no target column', 'benchmark', 'SUCCESS' FROM seen"""
+
+
+@query(
+    "audit_log",
+    _seen_cte()
+    + _plan_sql()
+    + f" SELECT (row_number() OVER (ORDER BY place))::INTEGER AS entry, agent, action, reason, tool, status FROM ({_AUDIT})",
+)
 def audit_log(spark, sf_dir):
+    """Decisions of a whole run, without the ids, times and paths that differ per run."""
     result = run.run_table(untidy(spark, sf_dir), "untidy_orders")
-    return audit.run_log(result.audit, result.run_id)
+    log = audit.run_log(result.audit, result.run_id)
+    # decisions and stages share one numbering: renumber the few decisions
+    entry = F.row_number().over(Window.partitionBy("run_id").orderBy("entry"))
+    return log.select(entry.alias("entry"), "agent", "action", "reason", "tool", "status")
 
 
-@query("lineage_report")
+@query(
+    "lineage_report",
+    _seen_cte(score_ctes(TIDY_CTE))
+    + _plan_sql()
+    + """ SELECT 'operations' AS topic, count(*) || ' operations: ' || string_agg(replace(operation, '_', ' '), ', ' ORDER BY step) AS answer
+FROM plan_None
+UNION ALL SELECT 'quality', 'overall quality went from ' || r.overall || '% to ' || t.overall || '%' FROM raw_scores r, tidied_scores t""",
+)
 def lineage_report(spark, sf_dir):
     raw = untidy(spark, sf_dir)
     cleaned = run.clean(raw)
-    return lineage(planner.plan_frame(spark, cleaned.steps), quality_lift(raw, cleaned.table))
+    return lineage(planner.plan_frame(spark, cleaned.steps), quality_lift(raw, cut_lineage(cleaned.table)))
 
 
 _HISTORY = """SELECT o_orderkey AS run_id, o_custkey AS dataset_id,

@@ -138,12 +138,37 @@ def profile_top_values(spark, sf_dir):
     return p.top_values(untidy(spark, sf_dir))
 
 
-_MIN, _MAX = f"min({number_sql('{c}')})", f"max({number_sql('{c}')})"
 _TOP_LIST = """(SELECT list({{'value': value, 'count': times}} ORDER BY rank) FROM (
   SELECT {c} AS value, count(*) AS times, row_number() OVER (ORDER BY count(*) DESC, {c} ASC) AS rank
   FROM untidy WHERE {c} IS NOT NULL GROUP BY {c}) WHERE rank <= 3)"""
+_AS_NUMBERS = ", ".join(
+    f"CASE WHEN {_NUMERIC_LIKE} THEN {value} END AS {alias}"
+    for value, alias in (
+        (f"min({number_sql('{c}')})", "min"),
+        (f"max({number_sql('{c}')})", "max"),
+        (sql_round(f"avg({number_sql('{c}')})", 2), "mean"),
+    )
+)
 
 
-@query("profile_columns", None)
+@query(
+    "profile_columns",
+    UNTIDY_CTE
+    + " "
+    + _each(
+        UNTIDY_TEXT,
+        _BASICS.format(dtype="'string'")
+        + f", {_AS_NUMBERS}, {_NUMERIC_LIKE} AS numeric_like, {_all(boolean_sql('{c}'))} AS boolean_like, "
+        + f"{_TOP_LIST} AS top_values",
+    )
+    + " UNION ALL "
+    + _each(
+        ("quantity",),
+        _BASICS.format(dtype="'bigint'")
+        + ", min({c})::DOUBLE AS min, max({c})::DOUBLE AS max, "
+        + sql_round("avg({c}::DOUBLE)", 2)
+        + " AS mean, false AS numeric_like, false AS boolean_like, NULL AS top_values",
+    ),
+)
 def profile_columns(spark, sf_dir):
     return p.column_profile(untidy(spark, sf_dir))

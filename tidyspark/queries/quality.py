@@ -7,6 +7,7 @@ from tidyspark.operators import quality as q
 from tidyspark.plans import run as cleaning
 from tidyspark.queries.base import UNTIDY_COLUMNS, UNTIDY_CTE, UNTIDY_TEXT, query, sql_round, sql_text, table, untidy
 from tidyspark.queries.clean import TIDY_CTE
+from tidyspark.session import cut_lineage
 
 _SPACE = sql_text(WHITESPACE)
 
@@ -81,13 +82,16 @@ _TIDY_COLUMNS = tuple(c for c in UNTIDY_COLUMNS if c != "unused_notes")
 _TIDY_TEXT = ("order_id", "order_date", "approved", "region", "priority")
 
 
+def score_ctes(opening: str) -> str:
+    """Scores of the untidy and the cleaned table behind CTEs that define both."""
+    raw = _score_ctes("untidy", "raw", UNTIDY_COLUMNS, UNTIDY_TEXT, ("quantity",))
+    tidied = _score_ctes("tidy", "tidied", _TIDY_COLUMNS, _TIDY_TEXT, ("quantity", "total_price"))
+    return f"{opening},{raw},{tidied}"
+
+
 @query(
     "quality_lift",
-    TIDY_CTE
-    + ","
-    + _score_ctes("untidy", "raw", UNTIDY_COLUMNS, UNTIDY_TEXT, ("quantity",))
-    + ","
-    + _score_ctes("tidy", "tidied", _TIDY_COLUMNS, _TIDY_TEXT, ("quantity", "total_price"))
+    score_ctes(TIDY_CTE)
     + " "
     + " UNION ALL ".join(
         f"SELECT '{s}' AS metric, r.{s} AS before, t.{s} AS after, {sql_round(f't.{s} - r.{s}', 1)} AS lift"
@@ -97,7 +101,7 @@ _TIDY_TEXT = ("order_id", "order_date", "approved", "region", "priority")
 )
 def quality_lift(spark, sf_dir):
     df = untidy(spark, sf_dir)
-    return q.quality_lift(df, cleaning.clean(df).table)
+    return q.quality_lift(df, cut_lineage(cleaning.clean(df).table))
 
 
 def _validate_sql(cte: str, source: str, columns, text_columns, numeric_columns, dates_ok: str) -> str:
@@ -151,4 +155,4 @@ def validate_report(spark, sf_dir):
     ),
 )
 def validate_report_tidy(spark, sf_dir):
-    return q.validate(cleaning.clean(untidy(spark, sf_dir)).table)
+    return q.validate(cut_lineage(cleaning.clean(untidy(spark, sf_dir)).table))

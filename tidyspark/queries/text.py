@@ -8,7 +8,7 @@ from tidyspark.functions.numbers import round_even
 from tidyspark.functions.stopwords import ENGLISH
 from tidyspark.functions.text import WHITESPACE
 from tidyspark.operators import retrieval as r
-from tidyspark.queries.base import query, sql_list, sql_round, sql_text, table
+from tidyspark.queries.base import ORACLES, query, sql_list, sql_round, sql_text, table
 
 _SPACE = sql_text(WHITESPACE)
 
@@ -111,7 +111,26 @@ def tfidf_topk(spark, sf_dir):
     )
 
 
-@query("knowledge_sources")
+_KNOWLEDGE = f"""WITH knowledge AS ({ORACLES["knowledge_rows"]}),
+bodies AS (SELECT title, title || ' ' || full_text AS text FROM knowledge),
+asked AS (SELECT conv_id || '-' || turn AS question_id, text FROM conversations),
+{_terms("bodies", "title", "doc")},
+idf AS (SELECT term, ln((1.0::DOUBLE + (SELECT count(*) FROM bodies)) / (1.0::DOUBLE + count(*))) + 1.0::DOUBLE AS idf
+  FROM doc_terms GROUP BY term),
+{_weights("title", "doc")}, {_terms("asked", "question_id", "ask")}, {_weights("question_id", "ask")},
+scores AS (SELECT question_id, title, {sql_round("sum(d.weight * q.weight)", 6)} AS score
+  FROM doc_weights d JOIN ask_weights q USING (term) GROUP BY question_id, title),
+filled AS (SELECT question_id, title, max(score) AS score FROM (
+  SELECT * FROM scores WHERE score > 0
+  UNION ALL SELECT question_id, title, 0.0::DOUBLE FROM asked, (SELECT title FROM bodies ORDER BY title LIMIT 3))
+  GROUP BY question_id, title),
+ranked AS (SELECT *, (row_number() OVER (PARTITION BY question_id ORDER BY score DESC, title))::INTEGER AS rank,
+  floor(score * 100)::INTEGER AS relevance FROM filled)
+SELECT question_id, rank, kind, '[' || upper(kind) || ' · ' || relevance || '% MATCH] ' || title AS title, snippet, relevance
+FROM ranked JOIN knowledge USING (title) WHERE rank <= 3"""
+
+
+@query("knowledge_sources", _KNOWLEDGE)
 def knowledge_sources(spark, sf_dir):
     """Knowledge rows about customers that fit each conversation turn of a user best."""
     turns = table(spark, sf_dir, "conversations").select(
