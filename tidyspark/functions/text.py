@@ -32,26 +32,30 @@ INTEGER_PATTERN = r"^[+-]?[0-9]{1,18}$"
 WHITESPACE_CLASS = (
     r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
-# Date shapes, tried in this order, and the year-month-day orders a value of that
-# shape is read in: month first, then day first when the month would exceed 12.
+# Date shapes, tried in this order, and the year-month-day order their parts are
+# put in: month first, then day first when the month would exceed 12.
+YEAR_FIRST = r"^([0-9]{4})(?:-([0-9]{1,2})-([0-9]{1,2})|/([0-9]{1,2})/([0-9]{1,2})|([0-9]{2})([0-9]{2}))$"
+YEAR_LAST = r"^([0-9]{1,2})([-/])([0-9]{1,2})\2([0-9]{4})$"
+TIMESTAMP = (
+    r"^([0-9]{4}-[0-9]{2}-[0-9]{2})[Tt ](?:[01][0-9]|2[0-3]):[0-5][0-9](?::[0-5][0-9](?:\.[0-9]+)?)?"
+    r"(?:[Zz]|[+-][0-9]{2}:?[0-9]{2})?$"
+)
 DATE_SHAPES = (
-    (r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})$", ("$1-$2-$3",)),
-    (r"^([0-9]{4})/([0-9]{1,2})/([0-9]{1,2})$", ("$1-$2-$3",)),
-    (r"^([0-9]{4})([0-9]{2})([0-9]{2})$", ("$1-$2-$3",)),
-    (r"^([0-9]{1,2})-([0-9]{1,2})-([0-9]{4})$", ("$3-$1-$2", "$3-$2-$1")),
-    (r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$", ("$3-$1-$2", "$3-$2-$1")),
+    (YEAR_FIRST, "$1-$2$4$6-$3$5$7"),
+    (YEAR_LAST, "$4-$1-$3"),
+    (YEAR_LAST, "$4-$3-$1"),
+    (TIMESTAMP, "$1"),
 )
-# Dates with a month's name or its first three letters, and where year and day stand.
-NAMED_MONTH = (
-    r"(?i)^(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec|january|february|march|april|june|july|august"
-    r"|september|october|november|december) ([0-9]{1,2}) ([0-9]{4})$"
+# A month's name or its first three letters; only those letters are kept.
+MONTH = (
+    r"(?=(?:january|jan|february|feb|march|mar|april|apr|may|june|jun|july|jul|august|aug|september|sep"
+    r"|october|oct|november|nov|december|dec) )([a-z]{3})[a-z]*"
 )
-DAY_FIRST = r"^([0-9]{1,2}) (\p{L}+) ([0-9]{4})$"
-MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec"
-TIMESTAMP_PATTERN = (
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt ]([01][0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9](\.[0-9]+)?)?"
-    r"([Zz]|[+-][0-9]{2}:?[0-9]{2})?$"
+NAMED_SHAPES = (
+    (rf"(?i)^{MONTH} ([0-9]{{1,2}}) ([0-9]{{4}})$", "$3 $1 $2"),
+    (rf"(?i)^([0-9]{{1,2}}) {MONTH} ([0-9]{{4}})$", "$3 $2 $1"),
 )
+NAMED_FORMAT = "yyyy MMM d"
 REGION_CODE_PATTERN = r"^\p{L}{1,3}$"
 # ---------------------------------------------------------------------------
 
@@ -108,37 +112,41 @@ def to_yes_no(value: Column) -> Column:
     return F.when(word.isin(*TRUE_WORDS), "Yes").when(word.isin(*FALSE_WORDS), "No").otherwise(value)
 
 
+# Control character set in front of a rewritten text: it tells a match from a text
+# that a pattern left alone, without matching twice.
+_MARK = "\x01"
+
+
+def _rewritten(value: Column, shape: str, order: str) -> Column:
+    """The value's parts in a new order, empty when it has another shape."""
+    return F.split_part(F.regexp_replace(value, shape, _MARK + order), F.lit(_MARK), F.lit(2))
+
+
 def to_date(value: Column) -> Column:
-    """The calendar date a text stands for, NULL when no listed shape fits.
+    """The calendar date a text stands for, NULL when no listed shape fits."""
+    plain = F.translate(strip(value), "," + _MARK, "")
+    numbers = [_rewritten(plain, shape, order).try_cast("date") for shape, order in DATE_SHAPES]
+    words = [F.try_to_date(_rewritten(plain, shape, order), NAMED_FORMAT) for shape, order in NAMED_SHAPES]
+    return F.coalesce(*numbers, *words)
 
-    The shape is matched first and the parts put in year-month-day order, which a
-    plain cast reads; no format is tried in vain.
-    """
-    plain = F.translate(strip(value), ",", "")
-    parsed = F.when(F.lit(False), F.lit(None).cast("date"))
-    for shape, orders in DATE_SHAPES:
-        reordered = [F.regexp_replace(plain, shape, order).try_cast("date") for order in orders]
-        parsed = parsed.when(F.rlike(plain, F.lit(shape)), F.coalesce(*reordered))
-    month_first = F.regexp_replace(plain, DAY_FIRST, "$2 $1 $3")
-    month = F.floor((F.instr(F.lit(MONTHS), F.lower(F.substring(month_first, 1, 3))) + 3) / 4)
-    day_and_year = F.split(month_first, " ")
-    named = F.concat_ws("-", day_and_year[2], month, day_and_year[1]).try_cast("date")
-    return parsed.when(F.rlike(month_first, F.lit(NAMED_MONTH)), named).when(
-        F.rlike(plain, F.lit(TIMESTAMP_PATTERN)), F.substring(plain, 1, 10).try_cast("date")
-    )
+
+# Private-use character that marks, with a blank, where a letter follows something
+# that is neither letter nor blank.
+_BREAK = "\ue000 "
 
 
 def title_case(value: Column) -> Column:
     """Upper-case the first letter of every run of letters, lower-case the rest.
 
-    ``initcap`` restarts only after white space, so it serves values made of
-    letters and blanks; any other value is cut into letter and non-letter runs.
+    ``initcap`` restarts after blanks only, so a blank is set before the letters
+    that follow another character and taken out again. A text that holds the
+    marker itself is cut into letter and non-letter runs instead.
     """
-    lowered = F.lower(value)
-    runs = F.regexp_extract_all(lowered, F.lit(r"(\p{L}+|\P{L}+)"), F.lit(0))
-    return F.when(F.rlike(lowered, F.lit(r"[^\p{L} ]")), F.array_join(F.transform(runs, F.initcap), "")).otherwise(
-        F.initcap(lowered)
-    )
+    marked = F.regexp_replace(value, r"([^\p{L} ])(?=\p{L})", "$1" + _BREAK)
+    runs = F.regexp_extract_all(value, F.lit(r"(\p{L}+|\P{L}+)"), F.lit(0))
+    return F.when(
+        F.contains(value, F.lit(_BREAK[0])), F.array_join(F.transform(runs, F.initcap), "")
+    ).otherwise(F.replace(F.initcap(marked), F.lit(_BREAK), F.lit("")))
 
 
 def normalise_text(value: Column, region: bool = False) -> Column:

@@ -91,19 +91,22 @@ def _by_bracketing(
 def _narrow(df: DataFrame, columns: dict[str, Column], slots: list[_Slot], accuracy: int) -> None:
     """Replace each slot's range by a narrower one that provably holds its rank."""
     margin = 2.0 / accuracy
-    proposals = df.agg(
-        *[
-            F.percentile_approx(
-                F.when(s.holds(columns[s.column]), columns[s.column]),
-                [
-                    max(0.0, (s.position - s.below) / max(s.within - 1, 1) - margin),
-                    min(1.0, (s.position - s.below) / max(s.within - 1, 1) + margin),
-                ],
-                accuracy,
-            ).alias(f"r{i}")
-            for i, s in enumerate(slots)
-        ]
-    ).first()
+    # slots of a column that still share a range share a sketch
+    shared: dict[tuple[str, float, float], list[_Slot]] = {}
+    for s in slots:
+        shared.setdefault((s.column, s.low, s.high), []).append(s)
+    sketches = []
+    for i, ((column, _, _), group) in enumerate(shared.items()):
+        centres = [(s.position - s.below) / max(s.within - 1, 1) for s in group]
+        ranks = [rank for c in centres for rank in (max(0.0, c - margin), min(1.0, c + margin))]
+        inside = F.when(group[0].holds(columns[column]), columns[column])
+        sketches.append(F.percentile_approx(inside, ranks, accuracy).alias(f"r{i}"))
+    row = df.agg(*sketches).first()
+    bounds = {}
+    for i, group in enumerate(shared.values()):
+        for j, s in enumerate(group):
+            bounds[id(s)] = (row[i][2 * j], row[i][2 * j + 1])
+    proposals = [bounds[id(s)] for s in slots]
     counts = []
     for i, s in enumerate(slots):
         low, high = proposals[i]
