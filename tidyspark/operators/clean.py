@@ -70,38 +70,36 @@ def normalise_booleans(df: DataFrame, known: Known | None = None) -> DataFrame:
     return _rewrite(df, {c: text.to_yes_no(F.col(f"`{c}`")) for c in hits})
 
 
-def fill_missing(df: DataFrame, known: Known | None = None) -> DataFrame:
-    """Fill numbers with the median and everything else with the most frequent value.
-
-    A text column without values gets ``Unknown``; a numeric one stays as it is.
-    Filled numeric columns are doubles, as a median may fall between integers.
-    """
+def fill_values(df: DataFrame, known: Known | None = None) -> dict[str, str | float | None]:
+    """What each column with missing values is filled with: the median of numbers,
+    else the most frequent value, ``Unknown`` for text without values."""
     simple = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType)]
     known = known or known_facts(df, ["nulls"], simple)
     holed = [c for c in simple if c in known and known[c]["nulls"] > 0]
     numeric = [c for c in holed if names.is_numeric(df.schema[c])]
-    middle = medians(df, numeric)
     common = modes(df, [c for c in holed if c not in numeric])
+    for column, value in common.items():
+        if value is None and names.is_text(df.schema[column]):
+            common[column] = "Unknown"
+    return {**medians(df, numeric), **common}
+
+
+def fill_missing(df: DataFrame, values: dict[str, str | float | None] | None = None) -> DataFrame:
+    """Fill missing values; a column that has nothing to be filled with stays as it is.
 
+    Filled numeric columns are doubles, as a median may fall between integers.
+    """
     changes = {}
-    for column in holed:
+    for column, filling in (fill_values(df) if values is None else values).items():
         field = df.schema[column]
         value = facts.value_of(field)
-        if column in middle:
-            changes[column] = F.coalesce(value.cast("double"), F.lit(middle[column]).cast("double"))
-        elif common[column] is not None:
-            changes[column] = F.coalesce(value, F.lit(common[column]).cast(field.dataType))
-        elif names.is_text(field):
-            changes[column] = F.coalesce(value, F.lit("Unknown"))
+        if names.is_numeric(field):
+            changes[column] = F.coalesce(value.cast("double"), F.lit(filling).cast("double"))
+        elif filling is not None:
+            changes[column] = F.coalesce(value, F.lit(filling).cast(field.dataType))
     return _rewrite(df, changes)
 
 
-def negative_count(df: DataFrame) -> Column:
-    """Aggregate: how many numeric cells are negative."""
-    hits = [F.coalesce((F.col(f"`{c}`") < 0).cast("bigint"), F.lit(0)) for c in names.numeric_columns(df)]
-    return F.coalesce(F.sum(sum(hits, F.lit(0))), F.lit(0))
-
-
 def correct_negatives(df: DataFrame) -> DataFrame:
     """Negative numbers become 0; missing ones stay missing."""
     changes = {}

@@ -127,7 +127,7 @@ def retrieve(
         # too many queries for one task: spread both sides of a frequent word
         salts = 32
         left = weights.withColumn("salt", F.pmod(F.xxhash64(id_column), F.lit(salts)))
-        right = query_weights.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
+        right = query_weights.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
         pairs = left.join(right, ["term", "salt"])
     scores = pairs.groupBy(id_column, query_id).agg(F.sum(F.col("weight") * F.col("query_weight")).alias("score"))
     # scores are compared as reported, so that equal ones fall back to the id

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, Row
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Row
 
 from tidyspark.functions import names
 from tidyspark.operators import clean as c
@@ -23,7 +22,6 @@ class Cleaned:
     seen: Snapshot
     target: str | None
     outcomes: dict[str, str]
-    negatives: Observation | None
 
 
 def _cut_if_shuffled(df: DataFrame, later: set[str]) -> DataFrame:
@@ -51,7 +49,7 @@ def clean(
     seen = seen or snapshot(df)
     steps = build_plan(seen, model)
     outcomes: dict[str, str] = {}
-    negatives = None
+    negative_cells = None
     order = order_by or df.columns
     pending = {s.operation for s in steps}
     for step in steps:
@@ -74,11 +72,21 @@ def clean(
             df = c.normalise_booleans(df, seen.known)
             outcomes[operation] = f"rewrote {len(seen.boolean_like)} columns"
         elif operation == "fill_missing":
-            df = c.fill_missing(df)
+            # one scan for the gaps and, on the way, the negatives
+            counts = c.known_facts(df, ["nulls", "negatives"])
+            values = c.fill_values(df, counts)
+            df = c.fill_missing(df, values)
+            outcomes[operation] = f"filled {len(values)} columns"
+            negative_cells = sum(row["negatives"] or 0 for row in counts.values())
+            negative_cells += sum(
+                counts[name]["nulls"] for name, value in values.items() if isinstance(value, float) and value < 0
+            )
         elif operation == "correct_negative_values":
-            # counted while the result is computed, without a scan of its own
-            negatives = Observation()
-            df = c.correct_negatives(df.observe(negatives, c.negative_count(df).alias("corrected")))
+            if negative_cells is None:
+                counts = c.known_facts(df, ["negatives"], names.numeric_columns(df))
+                negative_cells = sum(row["negatives"] for row in counts.values())
+            outcomes[operation] = f"corrected {negative_cells} values"
+            df = c.correct_negatives(df)
         elif operation == "normalize_strings":
             df = c.normalise_strings(df)
         elif operation == "standardize_dates":
@@ -97,7 +105,7 @@ def clean(
             df = features.encode_onehot(df, target)
         elif operation == "encode_categoricals":
             df = features.encode_ordinal(df, [name for name in order if name in df.columns], target)
-    return Cleaned(df, steps, seen, target, outcomes, negatives)
+    return Cleaned(df, steps, seen, target, outcomes)
 
 
 @dataclass
@@ -146,8 +154,6 @@ def run_table(
 
     path = writers.store(cleaned.table, path or scratch_path(spark, dataset_id))
     table = spark.read.parquet(path)
-    if cleaned.negatives is not None:
-        cleaned.outcomes["correct_negative_values"] = f"corrected {cleaned.negatives.get['corrected']} values"
     report = quality.validate(table).first()
     for step in cleaned.steps:
         if step.operation == "validate":
