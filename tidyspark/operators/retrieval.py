@@ -64,24 +64,32 @@ def term_counts(
     )
 
 
-def inverse_frequency(counts: DataFrame, documents: int) -> DataFrame:
+def inverse_frequency(
+    docs: DataFrame, id_column: str, text_column: str, stop_words: tuple[str, ...] = ENGLISH
+) -> DataFrame:
     """``term, idf`` with idf = ln((1 + n) / (1 + documents with the term)) + 1.
 
-    Documents are counted per task before the shuffle, so a term found in a third
-    of them is no larger a group than any other.
+    Each document names a term once before anything is shuffled, and documents
+    are counted per task first, so a term found in a third of them is no larger a
+    group than any other.
     """
-    found = counts.groupBy("term").agg(F.count("*").alias("df"))
-    return found.select("term", (F.log(F.lit(1.0 + documents) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
+    n = docs.count()
+    terms = F.explode(F.array_distinct(_tokens(F.col(text_column), stop_words)))
+    found = docs.select(terms.alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    return found.select("term", (F.log(F.lit(1.0 + n) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
 
 
 def _weighted(
     docs: DataFrame, id_column: str, text_column: str, stop_words: tuple[str, ...]
 ) -> tuple[DataFrame, DataFrame]:
-    """(weights of all documents, idf table). Texts are cut into words once: the
-    counts are kept, and both document frequencies and weights are read from them."""
-    counts = cut_lineage(term_counts(docs, id_column, text_column, stop_words))
-    idf = cut_lineage(inverse_frequency(counts, docs.count()))
-    return _weigh(counts, id_column, idf), idf
+    """(weights of all documents, idf table).
+
+    Texts are cut into words twice, once per table. Keeping the word counts in
+    between would save that, but writing, reading and shuffling them moves several
+    times the volume of the texts.
+    """
+    idf = cut_lineage(inverse_frequency(docs, id_column, text_column, stop_words))
+    return _weigh(term_counts(docs, id_column, text_column, stop_words), id_column, idf), idf
 
 
 def _weigh(counts: DataFrame, id_column: str, idf: DataFrame) -> DataFrame:
