@@ -43,8 +43,8 @@ def remove_empty_columns(df: DataFrame, known: Known | None = None) -> DataFrame
     return df if len(empty) == len(df.columns) else df.drop(*empty)
 
 
-def remove_duplicates(df: DataFrame) -> DataFrame:
-    return drop_duplicate_rows(df)
+def remove_duplicates(df: DataFrame, rows: int | None = None) -> DataFrame:
+    return drop_duplicate_rows(df, rows=rows)
 
 
 def coerce_numeric(df: DataFrame, known: Known | None = None) -> DataFrame:

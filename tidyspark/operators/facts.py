@@ -109,16 +109,21 @@ Disproved = dict[str, set[str]]
 
 
 def first_look(
-    df: DataFrame, want: list[str], rows: int = FIRST_LOOK_ROWS, smallest: int = FIRST_LOOK_FROM
+    df: DataFrame,
+    want: list[str],
+    rows: int = FIRST_LOOK_ROWS,
+    smallest: int = FIRST_LOOK_FROM,
+    total: int | None = None,
 ) -> Disproved:
     """Which "every value is a …" statements the first few rows already refute.
 
     One counter-example settles such a statement for the whole column, so the
     full scan need not test it again. Nothing is concluded from rows that agree.
+    ``total`` is the table's row count where it is known already.
     """
     tests = [s for s in want if s in SETTLED_BY]
     fields = [f for f in df.schema if names.is_text(f)]
-    if not tests or not fields or df.count() < smallest:
+    if not tests or not fields or (df.count() if total is None else total) < smallest:
         return {}
     sample = df.select(*[F.col(f"`{f.name}`") for f in fields]).take(rows)
     if not sample:

@@ -84,10 +84,11 @@ class Snapshot:
 
 def snapshot(df: DataFrame) -> Snapshot:
     """Gather everything the planner asks for: one scan and one duplicate count."""
-    refuted = facts.first_look(df, _FACTS)
-    rows = facts.column_facts(df, _FACTS, empty_rows=True, disproved=refuted).collect()
-    found = sorted(rows, key=lambda row: row["ordinal"])
-    return Snapshot(found, duplicate_total(df).first()["duplicates"])
+    rows = df.count()
+    refuted = facts.first_look(df, _FACTS, total=rows)
+    per_column = facts.column_facts(df, _FACTS, empty_rows=True, disproved=refuted).collect()
+    found = sorted(per_column, key=lambda row: row["ordinal"])
+    return Snapshot(found, duplicate_total(df, rows=rows).first()["duplicates"])
 
 
 def _listed(columns: Iterable[str]) -> str:

@@ -15,6 +15,12 @@ from tidyspark.session import cut_lineage, scratch_path
 from tidyspark.sources import writers
 
 
+# ---- fixed values ---------------------------------------------------------
+# The steps of the short cleaning.
+SHORT_CLEANING = ("remove_duplicates", "fill_missing", "normalize_strings", "validate")
+# ---------------------------------------------------------------------------
+
+
 @dataclass
 class Cleaned:
     table: DataFrame
@@ -35,8 +41,9 @@ def clean(
     target: str | None = None,
     order_by: list[str] | None = None,
     seen: Snapshot | None = None,
+    only: tuple[str, ...] | None = None,
 ) -> Cleaned:
-    """Run the steps the data calls for, in plan order.
+    """Run the steps the data calls for, in plan order; ``only`` keeps some of them.
 
     The facts the plan was built from also settle which columns are numbers,
     boolean words or dates: dropping empty and repeated rows takes no value away,
@@ -47,7 +54,7 @@ def clean(
     columns, so that equal tables get equal codes.
     """
     seen = seen or snapshot(df)
-    steps = build_plan(seen, model)
+    steps = [s for s in build_plan(seen, model) if only is None or s.operation in only]
     outcomes: dict[str, str] = {}
     negative_cells = None
     order = order_by or df.columns
@@ -62,9 +69,10 @@ def clean(
             df = c.remove_empty_columns(df, seen.known)
             outcomes[operation] = f"removed {len(seen.empty_columns)} columns"
         elif operation == "remove_duplicates":
-            df = _cut_if_shuffled(c.remove_duplicates(df), pending)
-            # empty rows repeat each other and are gone by now
-            outcomes[operation] = f"removed {seen.duplicates - max(seen.empty_rows - 1, 0)} rows"
+            df = _cut_if_shuffled(c.remove_duplicates(df, seen.rows), pending)
+            # empty rows repeat each other; they do not count when they are gone by now
+            gone = max(seen.empty_rows - 1, 0) if "remove_empty_rows" in outcomes else 0
+            outcomes[operation] = f"removed {seen.duplicates - gone} rows"
         elif operation == "coerce_numeric_columns":
             df = c.coerce_numeric(df, seen.known)
             outcomes[operation] = ", ".join(f"{n} {t}" for n, t in df.dtypes)

@@ -177,6 +177,18 @@ def clean_column_names(spark, sf_dir):
     return c.standardise_names(named)
 
 
+_SHORT = f"""{UNTIDY_CTE},
+deduplicated AS MATERIALIZED (SELECT DISTINCT * FROM untidy),
+filled AS (SELECT {_swap(_fill_sql("deduplicated", ("quantity",), UNTIDY_TEXT))} FROM deduplicated)
+SELECT {_swap({t: words_sql(t, t == "region") for t in UNTIDY_TEXT})} FROM filled"""
+
+
+@query("clean_short", _SHORT)
+def clean_short(spark, sf_dir):
+    """Duplicates, gaps and text only."""
+    return cleaning.clean(untidy(spark, sf_dir), only=cleaning.SHORT_CLEANING).table
+
+
 @query("clean_run", f"{TIDY_CTE} SELECT * FROM tidy")
 def clean_run(spark, sf_dir):
     return cleaning.clean(untidy(spark, sf_dir)).table
