@@ -126,8 +126,11 @@ def to_date(value: Column) -> Column:
     """The calendar date a text stands for, NULL when no listed shape fits."""
     plain = F.translate(strip(value), "," + _MARK, "")
     numbers = [_rewritten(plain, shape, order).try_cast("date") for shape, order in DATE_SHAPES]
-    words = [F.try_to_date(_rewritten(plain, shape, order), NAMED_FORMAT) for shape, order in NAMED_SHAPES]
-    return F.coalesce(*numbers, *words)
+    month_first, day_first = (
+        F.try_to_date(_rewritten(plain, shape, order), NAMED_FORMAT) for shape, order in NAMED_SHAPES
+    )
+    # only one shape opens with a letter; all others open with a digit
+    return F.when(F.ascii(plain) > ord("9"), month_first).otherwise(F.coalesce(*numbers, day_first))
 
 
 # Private-use character that marks, with a blank, where a letter follows something

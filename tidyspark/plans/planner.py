@@ -86,9 +86,11 @@ def snapshot(df: DataFrame) -> Snapshot:
     """Gather everything the planner asks for: one scan and one duplicate count."""
     rows = df.count()
     refuted = facts.first_look(df, _FACTS, total=rows)
-    per_column = facts.column_facts(df, _FACTS, empty_rows=True, disproved=refuted).collect()
-    found = sorted(per_column, key=lambda row: row["ordinal"])
-    return Snapshot(found, duplicate_total(df, rows=rows).first()["duplicates"])
+    per_column = facts.column_facts(df, _FACTS, empty_rows=True, disproved=refuted)
+    # one job: the scan for facts and the duplicate count run side by side
+    found = per_column.unionByName(duplicate_total(df, rows=rows), allowMissingColumns=True).collect()
+    columns = sorted((row for row in found if row["ordinal"] is not None), key=lambda row: row["ordinal"])
+    return Snapshot(columns, next(row["duplicates"] for row in found if row["ordinal"] is None))
 
 
 def _listed(columns: Iterable[str]) -> str:

@@ -11,7 +11,7 @@ from tidyspark.operators import clean as c
 from tidyspark.operators import features, models, profile, quality
 from tidyspark.plans.audit import AuditTrail
 from tidyspark.plans.planner import Snapshot, Step, build_plan, plan_frame, plan_summary, snapshot
-from tidyspark.session import cut_lineage, scratch_path
+from tidyspark.session import keep_table, scratch_path
 from tidyspark.sources import writers
 
 
@@ -30,9 +30,10 @@ class Cleaned:
     outcomes: dict[str, str]
 
 
-def _cut_if_shuffled(df: DataFrame, later: set[str]) -> DataFrame:
-    """Keep the rows left by duplicate removal when later steps look at them again."""
-    return cut_lineage(df) if "fill_missing" in later else df
+def _kept_for(df: DataFrame, later: set[str]) -> DataFrame:
+    """Keep the rows left by duplicate removal when filling is going to scan them
+    several times: finding duplicates reads all columns, those scans need a few."""
+    return keep_table(df) if "fill_missing" in later else df
 
 
 def clean(
@@ -69,7 +70,7 @@ def clean(
             df = c.remove_empty_columns(df, seen.known)
             outcomes[operation] = f"removed {len(seen.empty_columns)} columns"
         elif operation == "remove_duplicates":
-            df = _cut_if_shuffled(c.remove_duplicates(df, seen.rows), pending)
+            df = _kept_for(c.remove_duplicates(df, seen.rows), pending)
             # empty rows repeat each other; they do not count when they are gone by now
             gone = max(seen.empty_rows - 1, 0) if "remove_empty_rows" in outcomes else 0
             outcomes[operation] = f"removed {seen.duplicates - gone} rows"
@@ -206,4 +207,4 @@ def run_table(
 def _plainly_cleaned(df: DataFrame, seen: Snapshot) -> DataFrame:
     """The table cleaned without the model's own steps, for the benchmark to split
     before it prepares features, so that nothing leaks from test to training rows."""
-    return cut_lineage(clean(df, seen=seen).table)
+    return keep_table(clean(df, seen=seen).table)

@@ -12,7 +12,7 @@ from tidyspark.queries.base import UNTIDY_COLUMNS, UNTIDY_CTE, UNTIDY_TEXT, quer
 from tidyspark.queries.clean import TIDY_CTE
 from tidyspark.queries.profile import boolean_sql, number_sql
 from tidyspark.queries.quality import score_ctes
-from tidyspark.session import cut_lineage
+from tidyspark.session import keep_table
 
 
 def _seen_cte(opening: str = UNTIDY_CTE) -> str:
@@ -165,7 +165,7 @@ UNION ALL SELECT 'quality', 'overall quality went from ' || r.overall || '% to '
 def lineage_report(spark, sf_dir):
     raw = untidy(spark, sf_dir)
     cleaned = run.clean(raw)
-    return lineage(planner.plan_frame(spark, cleaned.steps), quality_lift(raw, cut_lineage(cleaned.table)))
+    return lineage(planner.plan_frame(spark, cleaned.steps), quality_lift(raw, keep_table(cleaned.table)))
 
 
 _HISTORY = """SELECT o_orderkey AS run_id, o_custkey AS dataset_id,

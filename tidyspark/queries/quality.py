@@ -7,7 +7,7 @@ from tidyspark.operators import quality as q
 from tidyspark.plans import run as cleaning
 from tidyspark.queries.base import UNTIDY_COLUMNS, UNTIDY_CTE, UNTIDY_TEXT, query, sql_round, sql_text, table, untidy
 from tidyspark.queries.clean import TIDY_CTE
-from tidyspark.session import cut_lineage
+from tidyspark.session import keep_table
 
 _SPACE = sql_text(WHITESPACE)
 
@@ -101,7 +101,7 @@ def score_ctes(opening: str) -> str:
 )
 def quality_lift(spark, sf_dir):
     df = untidy(spark, sf_dir)
-    return q.quality_lift(df, cut_lineage(cleaning.clean(df).table))
+    return q.quality_lift(df, keep_table(cleaning.clean(df).table))
 
 
 def _validate_sql(cte: str, source: str, columns, text_columns, numeric_columns, dates_ok: str) -> str:
@@ -155,4 +155,4 @@ def validate_report(spark, sf_dir):
     ),
 )
 def validate_report_tidy(spark, sf_dir):
-    return q.validate(cut_lineage(cleaning.clean(untidy(spark, sf_dir)).table))
+    return q.validate(keep_table(cleaning.clean(untidy(spark, sf_dir)).table))

@@ -66,3 +66,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def keep_table(df: DataFrame) -> DataFrame:
+    """Write ``df`` below the shared folder and read it back as a columnar table.
+
+    Like ``cut_lineage``, for wide rows that several later jobs scan for a few
+    columns each: those scans read only the columns they need. Columns are written
+    by position, so any names will do.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.toDF(*[f"c{i}" for i in range(len(df.columns))]).write.parquet(path)
+    return df.sparkSession.read.parquet(path).toDF(*df.columns)
