@@ -138,6 +138,14 @@ def test_csv(spark, tmp_path):
     ]
 
 
+def test_csv_keeps_long_identifiers(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("a,b,c\n9223372036854775807,9223372036854775808, 5\n1,2,7 \n")
+    df = readers.read_csv(spark, str(path))
+    assert df.dtypes == [("a", "bigint"), ("b", "string"), ("c", "bigint")]
+    assert {r["a"] for r in df.collect()} == {9223372036854775807, 1}
+
+
 def test_csv_with_line_breaks_in_values(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_text('id,note\n1,"two\nlines"\n2,x\n')

@@ -4,41 +4,60 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidyspark.functions import text
+from tidyspark.operators.facts import FIELD_LIMIT
 
-# Rules of type promotion, in order: the first type all values of a column fit.
-_BOOLEAN_WORDS = ("true", "false")
+# ---- fixed values ---------------------------------------------------------
+# What a delimited file's values may look like, padding included.
+_PAD = f"[{text.WHITESPACE_CLASS}]*"
+INTEGER_VALUE = rf"^{_PAD}[+-]?[0-9]+{_PAD}$"
+NUMBER_VALUE = rf"^{_PAD}[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?{_PAD}$"
+BOOLEAN_VALUE = rf"(?i)^{_PAD}(true|false){_PAD}$"
+# ---------------------------------------------------------------------------
 
+# Aggregation buffers per column; groups of columns stay within generated code.
+_TYPE_CHECKS = 4
+_GROUP = FIELD_LIMIT // _TYPE_CHECKS
 
-def _typed(column: str, fits: dict[str, bool | None]) -> Column:
+
+def _type_checks(column: str) -> Column:
+    """Aggregate: do all values look like numbers, integers, booleans; is one an
+    integer too long for a long (which a double would not hold exactly)."""
+    value = F.col(f"`{column}`")
+    number = F.rlike(value, F.lit(NUMBER_VALUE))
+    integer = number & F.rlike(value, F.lit(INTEGER_VALUE))
+    too_long = integer & (F.length(value) > 18) & text.strip(value).try_cast("bigint").isNull()
+    return F.struct(
+        F.bool_and(number).alias("numbers"),
+        F.bool_and(integer).alias("integers"),
+        F.bool_and(F.rlike(value, F.lit(BOOLEAN_VALUE))).alias("booleans"),
+        F.coalesce(F.bool_or(too_long), F.lit(False)).alias("too_long"),
+    )
+
+
+def _typed(column: str, fits: Row) -> Column:
     value = F.col(f"`{column}`")
-    if fits["integers"]:
+    if fits["integers"] and not fits["too_long"]:
         return text.strip(value).cast("bigint")
-    if fits["numbers"]:
+    if fits["numbers"] and not fits["too_long"]:
         return text.strip(value).cast("double")
     if fits["booleans"]:
-        return (F.lower(text.strip(value)) == "true")
+        return F.lower(text.strip(value)) == "true"
     return value
 
 
 def promote_types(df: DataFrame) -> DataFrame:
     """Give text columns the narrowest of long, double, boolean, text that takes
-    every value. One aggregation over all columns; nothing is guessed from a sample."""
-    checks = {
-        "integers": lambda v: F.rlike(text.strip(v), F.lit(text.INTEGER_PATTERN)),
-        "numbers": lambda v: F.rlike(text.strip(v), F.lit(text.NUMBER_PATTERN)),
-        "booleans": lambda v: F.lower(text.strip(v)).isin(*_BOOLEAN_WORDS),
-    }
-    row = df.agg(
-        *[
-            F.struct(*[F.bool_and(check(F.col(f"`{c}`"))).alias(name) for name, check in checks.items()]).alias(f"c{i}")
-            for i, c in enumerate(df.columns)
-        ]
-    ).first()
-    return df.select(*[_typed(c, row[i].asDict()).alias(c) for i, c in enumerate(df.columns)])
+    every value. All values are looked at; nothing is guessed from a sample."""
+    typed = []
+    for start in range(0, len(df.columns), _GROUP):
+        group = df.columns[start : start + _GROUP]
+        row = df.agg(*[_type_checks(c).alias(f"c{i}") for i, c in enumerate(group)]).first()
+        typed += [_typed(c, row[i]).alias(c) for i, c in enumerate(group)]
+    return df.select(*typed)
 
 
 def has_broken_lines(spark: SparkSession, path: str) -> bool:
