@@ -42,10 +42,8 @@ def passages(docs: DataFrame, id_column: str, text_column: str, separator: str =
     )
 
 
-def _tokens(value: Column, stop_words: tuple[str, ...]) -> Column:
-    words = F.regexp_extract_all(F.lower(value), F.lit(f"({TOKEN_PATTERN})"), F.lit(0))
-    # array_except would also drop repeats; the filter runs over a short literal list
-    return F.filter(words, lambda w: ~w.isin(*stop_words))
+def _words(value: Column) -> Column:
+    return F.regexp_extract_all(F.lower(value), F.lit(f"({TOKEN_PATTERN})"), F.lit(0))
 
 
 def term_counts(
@@ -58,7 +56,8 @@ def term_counts(
     """
     spread = docs.select(id_column, text_column).repartition(id_column)
     return (
-        spread.select(id_column, F.explode(_tokens(F.col(text_column), stop_words)).alias("term"))
+        spread.select(id_column, F.explode(_words(F.col(text_column))).alias("term"))
+        .filter(~F.col("term").isin(*stop_words))
         .groupBy(id_column, "term")
         .agg(F.count("*").alias("times"))
     )
@@ -74,7 +73,8 @@ def inverse_frequency(
     group than any other.
     """
     n = docs.count()
-    terms = F.explode(F.array_distinct(_tokens(F.col(text_column), stop_words)))
+    # each word of a text once, stop words left out
+    terms = F.explode(F.array_except(_words(F.col(text_column)), F.array(*[F.lit(w) for w in stop_words])))
     found = docs.select(terms.alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     return found.select("term", (F.log(F.lit(1.0 + n) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
 
