@@ -29,7 +29,10 @@ from tidyspark.llm.common import list_array, small_batches, stored, texts
 WORDS, SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 24, 5
 REGISTERS = BANDS * BAND_ROWS
-HUB_ROUNDS, PAIRS_PER_MEMBER = 4, 4
+HUB_ROUNDS, PAIRS_PER_MEMBER = 2, 32
+#: Pairs whose signatures agree in a share this much below the limit are not compared in full: more than six
+#: standard deviations of the share, so fewer than one in a billion alike pairs fall under it.
+SHARE_MARGIN = 0.25
 _U = np.uint64
 _PRIME, _SPREAD, _SPREAD2 = _U(0x100000001B3), _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
 
@@ -152,31 +155,36 @@ def _bag_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatc
 
 
 def signed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, h, bag, weight, keys): ``bag`` names the text's sequence of words (null without words),
-    ``weight`` counts its shingles, ``keys`` are the bands' keys, ``h`` is a hash of the text."""
+    """(doc_id, h, bag, weight, signature, keys): ``bag`` names the text's sequence of words (null without
+    words), ``weight`` counts its shingles, ``signature`` holds 16 bits of every register, ``keys`` are the
+    bands' keys, ``h`` is a hash of the text."""
     source = texts(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("h"), F.lower("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, owner, shingle, times, names, many in _bag_rows(batches):
-            keys = band_keys(bag_signatures(owner, shingle, times, many))
+            registers = bag_signatures(owner, shingle, times, many)
+            keys = band_keys(registers)
+            short = [r.tobytes() for r in (_mixed(registers) & _U(0xFFFF)).astype(np.uint16)]
             weight = np.bincount(owner, times, many).astype(np.int64)
             filled = np.array([n is not None for n in names], bool)
             offsets = np.append(0, np.cumsum(np.where(filled, BANDS, 0)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("h"), pa.array(names, pa.binary()), pa.array(weight),
-                 list_array(keys[filled].ravel(), offsets, pa.int64())],
-                ["doc_id", "h", "bag", "weight", "keys"],
+                 pa.array(short, pa.binary()), list_array(keys[filled].ravel(), offsets, pa.int64())],
+                ["doc_id", "h", "bag", "weight", "signature", "keys"],
             )
 
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, h bigint, bag binary, weight bigint, keys array<bigint>")
+    return source.mapInArrow(run, f"doc_id {kind}, h bigint, bag binary, weight bigint, signature binary, keys array<bigint>")
 
 
 def _contents(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
     """(bag, items): the bags of the wanted texts (by ``h``) as sorted distinct numbers, one for each
     occurrence of a shingle, so that overlaps of multisets are overlaps of sets."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    rows = docs.select(F.xxhash64(text).alias("h"), text.alias("text")).join(wanted, "h", "left_semi")
+    # One plan at every size: the wanted texts may be a large part of all, so they are never broadcast.
+    rows = docs.select(F.xxhash64(text).alias("h"), text.alias("text")).join(wanted.hint("merge"), "h", "left_semi")
+    rows = rows.dropDuplicates(["h"])
     rows = rows.select(F.lower("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,45 +201,61 @@ def _contents(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
     return found.groupBy("bag").agg(F.first("items").alias("items"))
 
 
-def _verified(pairs: DataFrame, contents: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose bags overlap by ``least`` or more."""
-    sides = pairs.join(contents.select(F.col("bag").alias("a"), F.col("items").alias("x")), "a")
-    sides = sides.join(contents.select(F.col("bag").alias("b"), F.col("items").alias("y")), "b")
+def _with_sides(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    sides = pairs.select("a", "b").join(table.select(F.col("bag").alias("a"), F.col(column).alias("x")), "a")
+    return sides.join(table.select(F.col("bag").alias("b"), F.col(column).alias("y")), "b").select("a", "b", "x", "y")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _taken(batch: pa.RecordBatch, alike: list[bool]) -> pa.RecordBatch:
+    at = pa.array(np.flatnonzero(alike))
+    return pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], ["a", "b"])
+
+
+def _verified(pairs: DataFrame, signatures: DataFrame, contents: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose bags overlap by ``least`` or more: signatures rule out those far below, whole
+    bags decide on the others."""
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS) for c in "xy")
+            yield _taken(batch, (x == y).mean(axis=1) >= least - SHARE_MARGIN)
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            alike = []
+            found = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = len(x) + len(y) - len(np.union1d(x, y))
-                alike.append(both >= least * (len(x) + len(y) - both))
-            taken = pa.array(np.flatnonzero(alike))
-            yield pa.RecordBatch.from_arrays([batch.column("a").take(taken), batch.column("b").take(taken)], ["a", "b"])
+                found.append(both >= least * (len(x) + len(y) - both))
+            yield _taken(batch, found)
 
-    return sides.select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
+    kinds = "a binary, b binary"
+    close = _with_sides(pairs, signatures, "signature").mapInArrow(near, kinds)
+    return _with_sides(close, contents, "items").mapInArrow(alike, kinds)
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root): the smallest node of every linked node's component, by alternating large and small
     stars; each round is a few joins and sums over the links, written down before the next."""
-    links = stored(links.select("a", "b").filter("a <> b").distinct(), "links")
-    before = None
     for _ in range(most_rounds):
-        both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = links.select("a", "b").filter("a <> b")
+        both = both.union(both.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # All links now point from the larger to the smaller node.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(
             F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
         )).alias("l")).select("l.*").filter("a <> b").distinct()
         links = stored(small, "links")
-        now = links.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
-        if now == before:
+        # Done when all are stars: every node has one root, and no root has another.
+        one, none = F.lit(1), F.lit(0)
+        ends = links.select(F.col("a").alias("node"), one.alias("up"), none.alias("down")).union(links.select("b", none, one))
+        ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+        if ends.filter("up > 1 OR up > 0 AND down > 0").isEmpty():
             return links.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
                 links.select("b", "b").distinct().toDF("node", "root")
             )
-        before = now
     raise RuntimeError("the components did not settle")
 
 
@@ -294,6 +318,8 @@ def _classes(docs: DataFrame, table: DataFrame, text_col: str, similarity: float
     shared = entries.groupBy("key").agg(F.count("*").alias("times")).filter("times > 1").select("key")
     entries = stored(entries.join(shared, "key", "left_semi"), "entries")
     contents = stored(_contents(docs, entries.select("h").distinct(), text_col), "bags")
+    signatures = table.select("bag", "signature").join(entries.select("bag").distinct(), "bag", "left_semi")
+    signatures = stored(signatures.groupBy("bag").agg(F.first("signature").alias("signature")), "signatures")
     tested = links = None
     roots = None
     for step in range(HUB_ROUNDS + 1):
@@ -331,7 +357,7 @@ def _classes(docs: DataFrame, table: DataFrame, text_col: str, similarity: float
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         tested = pairs if tested is None else tested.union(pairs)
-        found = stored(_verified(pairs, contents, similarity), "alike")
+        found = stored(_verified(pairs, signatures, contents, similarity), "alike")
         links = found if links is None else links.union(found)
         roots = components(links if roots is None else found.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
         if last:
