@@ -8,10 +8,10 @@ one process of the interval's rate each; only the interval that holds ``w`` is s
 levels. Points come in order of time, and a process ends once it is past all of a text's registers.
 
 Registers are banded into keys. Texts are first merged into classes of equal bags; within every key
-the members are compared with the key's hub, then, wherever members of a key still lie in different
-components, further hubs and finally all remaining pairs are compared, so no pair of a key is left
-out, and a large group of copies costs about one comparison each. Comparing means
-the exact multiset overlap of both bags.
+the members are compared with the key's hub, in two rounds with different hubs, and wherever members of a
+key then still lie in different components, all pairs across them are compared, so no pair of a key is left
+out, and most members of a large group cost a few comparisons each. Longer signatures rule out pairs far
+below the limit (in blocks for the last round); the exact multiset overlap of both bags decides on the others.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,10 +30,10 @@ from tidyspark.llm.common import list_array, small_batches, stored, texts
 WORDS, SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 24, 5
 REGISTERS = BANDS * BAND_ROWS
-HUB_ROUNDS, PAIRS_PER_MEMBER = 2, 32
-#: Pairs whose signatures agree in a share this much below the limit are not compared in full: more than six
-#: standard deviations of the share, so fewer than one in a billion alike pairs fall under it.
-SHARE_MARGIN = 0.25
+HUB_ROUNDS, BLOCK_ROWS = 2, 1_024
+#: Candidates get a longer signature. Pairs whose share of equal registers is this much below the limit are not
+#: compared in full: 3.8 standard deviations, so it loses no more than the bands do at the limit (7 in 100,000).
+FINE_REGISTERS, SHARE_MARGIN = 360, 0.08
 _U = np.uint64
 _PRIME, _SPREAD, _SPREAD2 = _U(0x100000001B3), _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
 
@@ -100,7 +101,9 @@ def shingle_bags(hashes: np.ndarray, counts: np.ndarray, words: int = WORDS) ->
     return owner[at][by_text], value[at][by_text], times[by_text]
 
 
-def bag_signatures(owner: np.ndarray, shingle: np.ndarray, times: np.ndarray, many: int) -> np.ndarray:
+def bag_signatures(
+    owner: np.ndarray, shingle: np.ndarray, times: np.ndarray, many: int, registers: int = REGISTERS
+) -> np.ndarray:
     """(text, register) matrix of the earliest points' identities; 0 for texts without shingles."""
     # One process per shingle and doubling interval (low, low + rate] that its times reach.
     owners, seeds, rates, lows, tops = [owner], [_mixed(shingle)], [np.ones(len(owner))], [np.zeros(len(owner))], [times.astype(float)]
@@ -116,7 +119,7 @@ def bag_signatures(owner: np.ndarray, shingle: np.ndarray, times: np.ndarray, ma
         more = more[times[more] > low]
     owner, seed = np.concatenate(owners), np.concatenate(seeds)
     rate, low_, top = np.concatenate(rates), np.concatenate(lows), np.concatenate(tops)
-    best = np.full(many * REGISTERS, np.inf)
+    best = np.full(many * registers, np.inf)
     time = np.zeros(len(owner))
     step = 0
     while len(owner):
@@ -125,15 +128,15 @@ def bag_signatures(owner: np.ndarray, shingle: np.ndarray, times: np.ndarray, ma
         # Logarithms may differ in the last bits between machines; cut off, they agree.
         time = time - np.log((drawn >> _U(11)).astype(np.float64) * 2.0**-53 + 2.0**-54) / rate
         place = _mixed(drawn ^ _SPREAD)
-        register = ((place >> _U(40)) * _U(REGISTERS) >> _U(24)).astype(np.int64)
+        register = ((place >> _U(40)) * _U(registers) >> _U(24)).astype(np.int64)
         height = low_ + rate * ((place & _U(0xFFFFFF)).astype(np.float64) * 2.0**-24)
         seen = np.flatnonzero(np.floor(height) < top)  # levels are whole: the point's unit interval must be reached
-        np.minimum.at(best, owner[seen] * REGISTERS + register[seen], time[seen])
-        last = best.reshape(many, REGISTERS).max(axis=1)
+        np.minimum.at(best, owner[seen] * registers + register[seen], time[seen])
+        last = best.reshape(many, registers).max(axis=1)
         on = time < last[owner]
         owner, seed, rate, low_, top, time = owner[on], seed[on], rate[on], low_[on], top[on], time[on]
     best[np.isinf(best)] = 0
-    return (best.view(np.uint64) >> _U(16)).reshape(many, REGISTERS)
+    return (best.view(np.uint64) >> _U(16)).reshape(many, registers)
 
 
 def band_keys(signatures: np.ndarray) -> np.ndarray:
@@ -155,32 +158,30 @@ def _bag_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatc
 
 
 def signed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, h, bag, weight, signature, keys): ``bag`` names the text's sequence of words (null without
-    words), ``weight`` counts its shingles, ``signature`` holds 16 bits of every register, ``keys`` are the
-    bands' keys, ``h`` is a hash of the text."""
+    """(doc_id, h, bag, weight, keys): ``bag`` names the text's sequence of words (null without words),
+    ``weight`` counts its shingles, ``keys`` are the bands' keys, ``h`` is a hash of the text."""
     source = texts(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("h"), F.lower("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, owner, shingle, times, names, many in _bag_rows(batches):
-            registers = bag_signatures(owner, shingle, times, many)
-            keys = band_keys(registers)
-            short = [r.tobytes() for r in (_mixed(registers) & _U(0xFFFF)).astype(np.uint16)]
+            keys = band_keys(bag_signatures(owner, shingle, times, many))
             weight = np.bincount(owner, times, many).astype(np.int64)
             filled = np.array([n is not None for n in names], bool)
             offsets = np.append(0, np.cumsum(np.where(filled, BANDS, 0)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("h"), pa.array(names, pa.binary()), pa.array(weight),
-                 pa.array(short, pa.binary()), list_array(keys[filled].ravel(), offsets, pa.int64())],
-                ["doc_id", "h", "bag", "weight", "signature", "keys"],
+                 list_array(keys[filled].ravel(), offsets, pa.int64())],
+                ["doc_id", "h", "bag", "weight", "keys"],
             )
 
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, h bigint, bag binary, weight bigint, signature binary, keys array<bigint>")
+    return source.mapInArrow(run, f"doc_id {kind}, h bigint, bag binary, weight bigint, keys array<bigint>")
 
 
 def _contents(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
-    """(bag, items): the bags of the wanted texts (by ``h``) as sorted distinct numbers, one for each
-    occurrence of a shingle, so that overlaps of multisets are overlaps of sets."""
+    """(bag, items, signature): the bags of the wanted texts (by ``h``) as sorted distinct numbers, one for each
+    occurrence of a shingle, so that overlaps of multisets are overlaps of sets, and 16 bits of each of their
+    ``FINE_REGISTERS`` registers."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     # One plan at every size: the wanted texts may be a large part of all, so they are never broadcast.
     rows = docs.select(F.xxhash64(text).alias("h"), text.alias("text")).join(wanted.hint("merge"), "h", "left_semi")
@@ -195,10 +196,13 @@ def _contents(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
             ends = np.searchsorted(owner[which], np.arange(many), side="right")
             starts = np.append(0, ends[:-1])
             packed = [np.sort(items[a:b]).tobytes() for a, b in zip(starts, ends)]
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(packed, pa.binary())], ["bag", "items"])
+            registers = bag_signatures(owner, shingle, times, many, FINE_REGISTERS)
+            short = [r.tobytes() for r in (_mixed(registers) & _U(0xFFFF)).astype(np.uint16)]
+            columns = [pa.array(x, pa.binary()) for x in (names, packed, short)]
+            yield pa.RecordBatch.from_arrays(columns, ["bag", "items", "signature"])
 
-    found = rows.mapInArrow(run, "bag binary, items binary").filter("bag IS NOT NULL")
-    return found.groupBy("bag").agg(F.first("items").alias("items"))
+    found = rows.mapInArrow(run, "bag binary, items binary, signature binary").filter("bag IS NOT NULL")
+    return found.groupBy("bag").agg(F.first("items").alias("items"), F.first("signature").alias("signature"))
 
 
 def _with_sides(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
@@ -211,16 +215,59 @@ def _taken(batch: pa.RecordBatch, alike: list[bool]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], ["a", "b"])
 
 
-def _verified(pairs: DataFrame, signatures: DataFrame, contents: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose bags overlap by ``least`` or more: signatures rule out those far below, whole
-    bags decide on the others."""
+def _shares(x: list[bytes], y: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.frombuffer(b"".join(side), np.uint16).reshape(-1, FINE_REGISTERS) for side in (x, y))
+
 
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _close(pairs: DataFrame, contents: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose signatures do not rule them out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS) for c in "xy")
+            x, y = _shares(batch.column("x").to_pylist(), batch.column("y").to_pylist())
             yield _taken(batch, (x == y).mean(axis=1) >= least - SHARE_MARGIN)
 
-    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _with_sides(pairs, contents, "signature").mapInArrow(run, "a binary, b binary")
+
+
+def _close_in_blocks(members: DataFrame, contents: DataFrame, least: float) -> DataFrame:
+    """The same for all pairs of members of a key (key, bag, weight, root, n) in different components: blocks of
+    signatures meet block by block, and only close pairs leave a task."""
+    blocks = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
+    rows = members.join(contents.select("bag", "signature"), "bag").select(
+        "key", "bag", "weight", F.xxhash64("root").alias("root"), "signature", blocks.alias("blocks"),
+        F.pmod(F.xxhash64("bag"), blocks).cast("int").alias("own"),
+    )
+    left = rows.withColumn("r", F.explode(F.sequence("own", F.col("blocks") - 1))).withColumn("l", F.col("own"))
+    right = rows.filter("own > 0").withColumn("l", F.explode(F.sequence(F.lit(0), F.col("own") - 1))).withColumn("r", F.col("own"))
+    both = left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1)))
+
+    def run(block: pd.DataFrame) -> pd.DataFrame:
+        a = block[block["side"] == 0]
+        b = block[block["side"] == 1] if len(block) and block["l"].iat[0] != block["r"].iat[0] else a
+        x, y = _shares(list(a["signature"]), list(b["signature"]))
+        weight_a, weight_b = a["weight"].to_numpy(), b["weight"].to_numpy()
+        root_a, root_b = a["root"].to_numpy(), b["root"].to_numpy()
+        first, second = a["bag"].to_numpy(), b["bag"].to_numpy()
+        found = []
+        for i in range(len(a)):
+            lighter, heavier = np.minimum(weight_a[i], weight_b), np.maximum(weight_a[i], weight_b)
+            fits = (root_a[i] != root_b) & (lighter >= least * heavier)
+            if a is b:
+                fits[: i + 1] = False
+            at = np.flatnonzero(fits)
+            at = at[(y[at] == x[i]).mean(axis=1) >= least - SHARE_MARGIN] if len(at) else at
+            found += [(min(first[i], second[j]), max(first[i], second[j])) for j in at]
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    columns = both.select("key", "l", "r", "side", "bag", "weight", "root", "signature")
+    return columns.groupBy("key", "l", "r").applyInPandas(run, "a binary, b binary")
+
+
+def _verified(close: DataFrame, contents: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose whole bags overlap by ``least`` or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
@@ -229,9 +276,7 @@ def _verified(pairs: DataFrame, signatures: DataFrame, contents: DataFrame, leas
                 found.append(both >= least * (len(x) + len(y) - both))
             yield _taken(batch, found)
 
-    kinds = "a binary, b binary"
-    close = _with_sides(pairs, signatures, "signature").mapInArrow(near, kinds)
-    return _with_sides(close, contents, "items").mapInArrow(alike, kinds)
+    return _with_sides(close, contents, "items").mapInArrow(run, "a binary, b binary")
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -318,56 +363,31 @@ def _classes(docs: DataFrame, table: DataFrame, text_col: str, similarity: float
     shared = entries.groupBy("key").agg(F.count("*").alias("times")).filter("times > 1").select("key")
     entries = stored(entries.join(shared, "key", "left_semi"), "entries")
     contents = stored(_contents(docs, entries.select("h").distinct(), text_col), "bags")
-    signatures = table.select("bag", "signature").join(entries.select("bag").distinct(), "bag", "left_semi")
-    signatures = stored(signatures.groupBy("bag").agg(F.first("signature").alias("signature")), "signatures")
-    tested = links = None
-    roots = None
+    tested = roots = None
     for step in range(HUB_ROUNDS + 1):
-        members = entries if roots is None else entries.join(roots, entries["bag"] == roots["node"], "left").select(
-            "key", "bag", "weight", F.coalesce("root", "bag").alias("root")
-        )
-        if roots is None:
-            members = members.select("key", "bag", "weight", F.col("bag").alias("root"))
+        members = entries.withColumn("root", F.col("bag")) if roots is None else entries.join(
+            roots, entries["bag"] == roots["node"], "left"
+        ).withColumn("root", F.coalesce("root", "bag"))
         # A key is open while its members lie in more than one component.
         state = members.groupBy("key").agg(
-            F.min(F.xxhash64("root")).alias("r1"), F.max(F.xxhash64("root")).alias("r2"),
+            F.min(F.xxhash64("root")).alias("r1"), F.max(F.xxhash64("root")).alias("r2"), F.count("*").alias("n"),
             F.min(F.xxhash64("bag", F.lit(step))).alias("hub"),
         ).filter("r1 <> r2")
-        open_ = members.join(state.select("key", "hub"), "key")
-        if step:
-            open_ = stored(open_, "open")
-            if open_.isEmpty():
-                break
-        last = step == HUB_ROUNDS or (step and _few_pairs(open_))
-        if last:
-            left, right = (open_.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("bag", "weight", "root")]) for s in "ab")
-            pairs = left.join(right, "key").filter("bag_a < bag_b AND root_a <> root_b").select(
-                F.col("bag_a").alias("a"), F.col("bag_b").alias("b"), F.col("weight_a").alias("wa"), F.col("weight_b").alias("wb")
-            )
-        else:
+        open_ = members.select("key", "bag", "weight", "root").join(state.select("key", "n", "hub"), "key")
+        if step < HUB_ROUNDS:
             hubs = open_.filter(F.xxhash64("bag", F.lit(step)) == F.col("hub")).select(
                 "key", F.col("bag").alias("hb"), F.col("weight").alias("hw"), F.col("root").alias("hr")
             )
-            pairs = open_.join(hubs, "key").filter("root <> hr").select(
-                F.least("bag", "hb").alias("a"), F.greatest("bag", "hb").alias("b"), F.col("weight").alias("wa"), F.col("hw").alias("wb")
-            )
-        # Bags whose sizes differ too much cannot overlap enough.
-        pairs = pairs.filter(F.least("wa", "wb") >= F.lit(similarity) * F.greatest("wa", "wb")).select("a", "b").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        found = stored(_verified(pairs, signatures, contents, similarity), "alike")
-        links = found if links is None else links.union(found)
-        roots = components(links if roots is None else found.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-        if last:
-            break
+            pairs = open_.join(hubs, "key").filter("root <> hr")
+            # Bags whose sizes differ too much cannot overlap enough.
+            pairs = pairs.filter(F.least("weight", "hw") >= F.lit(similarity) * F.greatest("weight", "hw"))
+            pairs = pairs.select(F.least("bag", "hb").alias("a"), F.greatest("bag", "hb").alias("b")).distinct()
+            close = _close(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), contents, similarity)
+        else:
+            close = _close_in_blocks(open_, contents, similarity).distinct().join(tested, ["a", "b"], "left_anti")
+        close = stored(close, "pairs")
+        tested = close if tested is None else tested.union(close)
+        found = stored(_verified(close, contents, similarity), "alike")
+        old = () if roots is None else (roots.select(F.col("node").alias("a"), F.col("root").alias("b")),)
+        roots = components(found.union(*old) if old else found)
     return roots
-
-
-def _few_pairs(open_: DataFrame) -> bool:
-    """Whether comparing all pairs across the components left costs a few comparisons per member."""
-    parts = open_.groupBy("key", "root").agg(F.count("*").alias("n"))
-    keys = parts.groupBy("key").agg((F.pow(F.sum("n"), 2) - F.sum(F.pow("n", 2))).alias("pairs"), F.sum("n").alias("members"))
-    pairs, members = keys.agg(F.sum("pairs") / 2, F.sum("members")).first()
-    return not members or pairs <= PAIRS_PER_MEMBER * members
