@@ -23,7 +23,7 @@ from tidyspark.llm.common import small_batches, texts
 SIZES = (3, 4, 5, 6)
 BUCKET_BITS, WIDTH = 20, 4
 #: Rows the model is fitted on, at most (by a hash of their id), and bytes of text they may hold.
-TRAIN_ROWS, TRAIN_BYTES = 6_000, 24_000_000
+TRAIN_ROWS, TRAIN_BYTES = 6_000, 9_000_000
 EPOCHS, BATCH, RATE, GAIN = 5, 32, 0.2, 300.0
 THRESHOLD = 0.3
 HELD_OUT_OF, HELD_OUT = 4, 2
