@@ -200,3 +200,28 @@ def test_summary_without_runs(spark):
     empty = spark.createDataFrame([], "run_id string, dataset_id string, status string, rows long, quality double, finished_at timestamp")
     row = audit.run_summary(empty).first()
     assert (row["total_datasets"], row["successful_runs"], row["average_quality"], row["recent_runs"]) == (0, 0, 0.0, [])
+
+
+def test_texts_without_long_pieces_are_cut_whole(spark):
+    body = "\n\n".join(["x" * 30] * 100)
+    got = retrieval.passages(spark.createDataFrame([(1, body)], "id int, text string"), "id", "text").orderBy("passage_no").collect()
+    assert "".join(r["full_text"] for r in got) == body and len(got) == 6
+
+
+def test_json_folders_of_both_kinds(spark, tmp_path):
+    (tmp_path / "a b.json").write_text('{"a": 1}\n{"a": 2}\n')
+    (tmp_path / "b.json").write_text('[{"a": 3},\n {"a": 4, "b": "x"}]\n')
+    got = readers.read_json(spark, str(tmp_path))
+    assert sorted((r["a"], r["b"]) for r in got.select("a", F.coalesce("b", F.lit("")).alias("b")).collect()) == [(1, ""), (2, ""), (3, ""), (4, "x")]
+    assert sorted(got.columns) == ["a", "b"]
+
+
+def test_head_and_tail_have_no_cap(spark):
+    df = spark.range(300).toDF("k")
+    assert ask.head_rows(df, ["k"], 200).count() == 200 and ask.tail_rows(df, ["k"], 200).count() == 200
+
+
+def test_schema_row_searches_every_column(spark):
+    df = spark.range(1).selectExpr(*[f"id AS c{i}" for i in range(14)])
+    row = retrieval.schema_row(df, "wide").first()
+    assert "c13 (bigint)" in row["full_text"] and "+4 more" in row["snippet"]

@@ -161,3 +161,13 @@ def test_quantiles_by_bracketing_are_exact(spark):
 def test_mode_ties(spark):
     df = spark.createDataFrame([("b", 2), ("a", 1), ("b", 1), ("a", 2), (None, None)], "t string, n int")
     assert q.modes(df, ["t", "n"]) == {"t": "a", "n": 1}
+
+
+def test_run_scores_the_same_target_with_every_family(spark):
+    from tidyspark.plans.run import run_table
+
+    rows = [("ABC"[i % 3], float(i % 7), i % 11) for i in range(60)]
+    df = spark.createDataFrame(rows, "status string, x double, amount int")
+    for family in ("logistic_regression", "knn"):
+        row = run_table(df, "orders", model=family).benchmark.first()
+        assert row["task"] == "classification", family

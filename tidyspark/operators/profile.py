@@ -50,14 +50,18 @@ def column_basics(df: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(missing, F.col("times"))), F.lit(0)).alias("nulls"),
         F.count_if(~missing).alias("unique"),
     )
-    return per_column.select(
-        "ordinal",
-        described[F.col("ordinal") - 1]["name"].alias("name"),
-        described[F.col("ordinal") - 1]["dtype"].alias("dtype"),
-        "nulls",
-        round_even(percent(F.col("nulls"), F.col("rows")), 1).alias("null_pct"),
-        "unique",
-        (F.col("nulls") == F.col("rows")).alias("empty"),
+    # A table without rows has its columns all the same.
+    columns = df.limit(0).agg(F.count("*")).select(F.posexplode(described).alias("at", "column"))
+    columns = columns.select((F.col("at") + 1).alias("at"), "column.*")
+    nulls, rows = (F.coalesce(c, F.lit(0)).cast("bigint") for c in ("nulls", "rows"))
+    return columns.join(per_column, F.col("at") == F.col("ordinal"), "left").select(
+        F.col("at").alias("ordinal"),
+        "name",
+        "dtype",
+        nulls.alias("nulls"),
+        F.coalesce(round_even(percent(F.col("nulls"), F.col("rows")), 1), F.lit(0.0)).alias("null_pct"),
+        F.coalesce("unique", F.lit(0)).cast("bigint").alias("unique"),
+        (nulls == rows).alias("empty"),
     )
 
 

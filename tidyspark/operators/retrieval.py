@@ -22,14 +22,17 @@ FREQUENT_VALUES = 4
 # ---------------------------------------------------------------------------
 
 
-def passages(docs: DataFrame, id_column: str, text_column: str, separator: str = r"\n\n") -> DataFrame:
-    """``id, passage_no, full_text, snippet``: the pieces of a text longer than 30
-    characters; a text without such a piece gives its first 600 characters."""
+def passages(
+    docs: DataFrame, id_column: str, text_column: str, separator: str = r"\n\n", longer_than: int = MIN_PASSAGE
+) -> DataFrame:
+    """``id, passage_no, full_text, snippet``: the pieces of a text longer than ``longer_than``
+    characters; a text without such a piece is cut into passages of 600 characters."""
     body = text.strip(F.col(text_column))
     pieces = F.filter(
-        F.transform(F.split(body, separator), lambda p: text.strip(p)), lambda p: F.length(p) > MIN_PASSAGE
+        F.transform(F.split(body, separator), lambda p: text.strip(p)), lambda p: F.length(p) > longer_than
     )
-    whole = F.array(F.substring(body, 1, FALLBACK_PASSAGE))
+    last = F.floor((F.length(body) - 1) / FALLBACK_PASSAGE)
+    whole = F.transform(F.sequence(F.lit(0), last.cast("int")), lambda i: body.substr(i * FALLBACK_PASSAGE + 1, F.lit(FALLBACK_PASSAGE)))
     chosen = F.when(F.size(pieces) > 0, pieces).otherwise(whole)
     full = F.col("full_text")
     return (
@@ -232,6 +235,7 @@ def statistics_rows(df: DataFrame) -> DataFrame:
 
 
 def schema_row(df: DataFrame, dataset: str) -> DataFrame:
+    every = ", ".join(f"{n} ({t})" for n, t in df.dtypes)  # searched: no column may be missing
     shown = ", ".join(f"{n} ({t})" for n, t in df.dtypes[:SCHEMA_COLUMNS])
     more = len(df.columns) - SCHEMA_COLUMNS
     shown += f", ... (+{more} more)" if more > 0 else ""
@@ -244,7 +248,7 @@ def schema_row(df: DataFrame, dataset: str) -> DataFrame:
         ).alias("snippet"),
         F.concat(
             F.lit(f"Schema for {dataset}: "), F.col("n").cast("string"),
-            F.lit(f" rows, {len(df.columns)} columns. Column types: {shown}"),
+            F.lit(f" rows, {len(df.columns)} columns. Column types: {every}"),
         ).alias("full_text"),
     )
 

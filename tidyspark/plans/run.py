@@ -148,6 +148,9 @@ def run_table(
     benchmark neither repeat the cleaning nor depend on its executors.
     """
     spark = df.sparkSession
+    if model != "generic":
+        # Once, on the table as it came: encoding and scaling would change what the columns look like.
+        target = names.infer_target(df, target)
     trail = AuditTrail(dataset_id)
     seen = snapshot(df)
     trail.log("Source Analyzer", "Inspected source", f"{seen.rows} rows, {len(seen.columns)} columns", "read_table")
@@ -178,7 +181,7 @@ def run_table(
     trail.stage("Storage", path)
 
     benchmark = None
-    chosen = names.infer_target(table, cleaned.target)
+    chosen = cleaned.target
     if model != "generic" and chosen:
         benchmark = models.benchmark(_plainly_cleaned(df, seen), chosen, model)
         trail.log("Benchmark", "Scored model", f"{model} on {chosen}", "benchmark")

@@ -86,7 +86,7 @@ def tail_rows(spark, sf_dir):
     return a.tail_rows(table(spark, sf_dir, "events"), ["event_id"], 7)
 
 
-@query("head_rows", "SELECT * FROM events ORDER BY event_id NULLS FIRST LIMIT 50")
+@query("head_rows", "SELECT * FROM events ORDER BY event_id NULLS FIRST LIMIT 200")
 def head_rows(spark, sf_dir):
     return a.head_rows(table(spark, sf_dir, "events"), ["event_id"], 200)
 

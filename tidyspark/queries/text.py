@@ -18,7 +18,7 @@ _SPACE = sql_text(WHITESPACE)
     f"""WITH body AS (SELECT doc_id, trim(text, {_SPACE}) AS body FROM documents WHERE length(trim(text, {_SPACE})) > 0),
 cut AS (SELECT doc_id, body, list_filter(list_transform(string_split(body, chr(10)), lambda p: trim(p, {_SPACE})),
   lambda p: length(p) > 30) AS pieces FROM body),
-chosen AS (SELECT doc_id, CASE WHEN len(pieces) > 0 THEN pieces ELSE [substring(body, 1, 600)] END AS pieces FROM cut),
+chosen AS (SELECT doc_id, CASE WHEN len(pieces) > 0 THEN pieces ELSE list_transform(range(0, (length(body) + 599) // 600), lambda i: substring(body, i * 600 + 1, 600)) END AS pieces FROM cut),
 flat AS (SELECT doc_id, unnest(pieces) AS full_text, generate_subscripts(pieces, 1) - 1 AS passage_no FROM chosen)
 SELECT doc_id, passage_no::INTEGER AS passage_no, full_text,
   substring(full_text, 1, 400) || CASE WHEN length(full_text) > 400 THEN '...' ELSE '' END AS snippet FROM flat""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -84,14 +85,27 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None, **o
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
-    """JSON records, one per line or as one array.
+    """JSON records, one per line or as one array, decided for each file of a folder.
 
-    A file of lines is split over tasks; an array has to be read whole by one
-    task, so it is read that way only when the file opens with a bracket.
+    A file of lines is split over tasks; an array has to be read whole by one task, so only
+    files that open with a bracket are read that way. Broken records are an error. Columns
+    that only one kind of file has are missing in the other's records.
     """
-    opening = spark.read.text(path).filter(F.trim("value") != "").take(1)
-    array = bool(opening) and opening[0]["value"].lstrip().startswith("[")
-    return spark.read.option("multiLine", str(array).lower()).json(path)
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"), F.substring(F.ltrim("value"), 1, 1).alias("mark"),
+    )
+    opening = lines.filter("mark <> ''").groupBy("file").agg(F.min_by("mark", F.struct("block", "line")).alias("mark"))
+    files: dict[bool, list[str]] = {True: [], False: []}
+    for row in opening.collect():  # a row per file, as the listing of the folder itself
+        files[row["mark"] == "["].append(unquote(row["file"]))
+
+    def read(array: bool, paths: str | list[str]) -> DataFrame:
+        return spark.read.option("mode", "FAILFAST").option("multiLine", str(array).lower()).json(paths)
+
+    if not files[True] or not files[False]:
+        return read(bool(files[True]), path)
+    return read(False, files[False]).unionByName(read(True, files[True]), allowMissingColumns=True)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
