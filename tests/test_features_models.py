@@ -125,7 +125,7 @@ def test_families_learn_a_simple_rule(spark, family):
     rng = np.random.default_rng(5)
     rows = [(float(a), float(b), "uv"[i % 2], "yes" if a > 0 else "no") for i, (a, b) in enumerate(rng.normal(size=(300, 2)))]
     df = spark.createDataFrame(rows, "a double, b double, kind string, approved string")
-    row = models.benchmark(df, "Approved", family).first()
+    row = models.benchmark(df, "Approved", family, rounds=10, depth=6).first()
     assert row["task"] == "classification" and row["target_column"] == "approved"
     assert row["model_aware_score"] > 80.0
     assert row["lift"] == pytest.approx(row["model_aware_score"] - row["baseline_score"], abs=0.05)
@@ -138,15 +138,36 @@ def test_scale_matters_to_neighbours(spark):
     assert models.benchmark(df, "approved", "knn").first()["lift"] > 10
 
 
-def test_tiny_table_is_scored_on_itself(spark):
-    df = spark.createDataFrame([(1.0, "x"), (2.0, "x"), (9.0, "y")], "a double, status string")
-    row = models.benchmark(df, "status", "knn").first()
-    assert row["test_rows"] >= 1 and row["train_rows"] >= 1
+def test_a_table_with_one_side_is_not_scored(spark):
+    one_sided = next(k for k in range(50) if _sides(spark, k) == 1)
+    row = models.benchmark(_pair(spark, one_sided), "status", "knn").first()
+    assert row["baseline_score"] is None and row["lift"] is None and row["note"].startswith("not scored")
+    assert row["features"] == ["a"]
+
+
+def _pair(spark, k):
+    return spark.createDataFrame([(float(k), "x"), (k + 0.5, "y")], "a double, status string")
+
+
+def _sides(spark, k):
+    posed = models.pose(_pair(spark, k), "status")
+    return (posed.train_rows > 0) + (posed.test_rows > 0)
+
+
+def test_many_classes_and_categories(spark):
+    df = spark.range(6000).select(
+        F.concat(F.lit("v"), F.col("id") % 150).alias("kind"), (F.col("id") % 7).cast("double").alias("a"),
+        F.concat(F.lit("t"), F.col("id") % 2000).alias("status"),
+    )
+    posed = models.pose(df, "status")
+    assert posed.classes == 2000 and posed.data.agg(F.countDistinct("label"), F.max("label")).first()[:] == (2000, 1999.0)
+    assert len(models.prepare(posed, "knn", False).select("vector").first()[0]) == 1 + 149
+    assert models.benchmark(df.drop("status"), "a", "random_forest", depth=5).first()["task"] == "classification"
 
 
 def test_regression_and_fallback(spark):
     df = spark.range(400).select((F.col("id") % 17).cast("double").alias("a"), (F.col("id") * 1.0).alias("b"), ((F.col("id") % 17) * 3.0 + 1).alias("total"))
-    row = models.benchmark(df, "total", "linear_regression").first()
+    row = models.benchmark(df, "total", "linear_regression", depth=6).first()
     assert (row["model_type"], row["task"], row["metric_name"]) == ("random_forest", "regression", "R² Score")
     assert models.benchmark(df, "total", "logistic_regression").first()["model_aware_score"] > 99
 

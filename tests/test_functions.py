@@ -46,7 +46,10 @@ def test_dates(spark):
         "mar 2, 2025": day(2025, 3, 2), "2 March 2025": day(2025, 3, 2), "Mary 2 2025": None,
         "20240101": day(2024, 1, 1), "2024-02-30": None, "2024-01-02T10:00:00Z": day(2024, 1, 2),
         "2024-01-02 25:00": None, " 2024-03-14\t": day(2024, 3, 14), "hello": None, "2024": None, "2024-03": None,
-        "1/2-2024": None, "": None,
+        "1/2-2024": None, "": None, "01/05/2025 14:30": day(2025, 1, 5), "5 Mar 2025 09:00": day(2025, 3, 5),
+        "01/05/25": day(2025, 1, 5), "13/05/99": day(1999, 5, 13), "05.01.2025": day(2025, 5, 1),
+        "Mar 2, 2025 9:05 PM": day(2025, 3, 2), "01/05/2025 14:30 PM": None, "05-Mar-2025": day(2025, 3, 5),
+        "2024-01-02 10:00:00.5+02:00": day(2024, 1, 2), "10:30": None, "1.2.3": None,
     }
     assert applied(spark, list(cases), text.to_date) == list(cases.values())
 

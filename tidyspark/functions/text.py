@@ -35,25 +35,35 @@ WHITESPACE_CLASS = (
 # Date shapes, tried in this order, and the year-month-day order their parts are
 # put in: month first, then day first when the month would exceed 12.
 YEAR_FIRST = r"^([0-9]{4})(?:-([0-9]{1,2})-([0-9]{1,2})|/([0-9]{1,2})/([0-9]{1,2})|([0-9]{2})([0-9]{2}))$"
-YEAR_LAST = r"^([0-9]{1,2})([-/])([0-9]{1,2})\2([0-9]{4})$"
-TIMESTAMP = (
-    r"^([0-9]{4}-[0-9]{2}-[0-9]{2})[Tt ](?:[01][0-9]|2[0-3]):[0-5][0-9](?::[0-5][0-9](?:\.[0-9]+)?)?"
-    r"(?:[Zz]|[+-][0-9]{2}:?[0-9]{2})?$"
+YEAR_LAST = r"^([0-9]{1,2})([-/.])([0-9]{1,2})\2([0-9]{4})$"
+# Two-digit years: 00 to 68 are of this century, 69 to 99 of the last.
+THIS_CENTURY = r"^([0-9]{1,2})([-/.])([0-9]{1,2})\2([0-5][0-9]|6[0-8])$"
+LAST_CENTURY = r"^([0-9]{1,2})([-/.])([0-9]{1,2})\2(69|[7-9][0-9])$"
+# A time of day after any date, on the clock of 24 hours or of 12.
+TIME_OF_DAY = (
+    r"[Tt ](?:(?:2[0-3]|[01]?[0-9]):[0-5][0-9](?::[0-5][0-9](?:\.[0-9]+)?)?(?: ?(?:[Zz]|UTC|[+-][0-9]{2}:?[0-9]{2}))?"
+    r"|(?:1[0-2]|0?[1-9]):[0-5][0-9](?::[0-5][0-9])? ?[AaPp][Mm])$"
 )
 DATE_SHAPES = (
     (YEAR_FIRST, "$1-$2$4$6-$3$5$7"),
     (YEAR_LAST, "$4-$1-$3"),
     (YEAR_LAST, "$4-$3-$1"),
-    (TIMESTAMP, "$1"),
 )
+SHORT_SHAPES = (
+    (THIS_CENTURY, "20$4-$1-$3"),
+    (LAST_CENTURY, "19$4-$1-$3"),
+    (THIS_CENTURY, "20$4-$3-$1"),
+    (LAST_CENTURY, "19$4-$3-$1"),
+)
+SHORT_LENGTH = 8
 # A month's name or its first three letters; only those letters are kept.
 MONTH = (
     r"(?=(?:january|jan|february|feb|march|mar|april|apr|may|june|jun|july|jul|august|aug|september|sep"
-    r"|october|oct|november|nov|december|dec) )([a-z]{3})[a-z]*"
+    r"|october|oct|november|nov|december|dec)[ -])([a-z]{3})[a-z]*"
 )
 NAMED_SHAPES = (
-    (rf"(?i)^{MONTH} ([0-9]{{1,2}}) ([0-9]{{4}})$", "$3 $1 $2"),
-    (rf"(?i)^([0-9]{{1,2}}) {MONTH} ([0-9]{{4}})$", "$3 $2 $1"),
+    (rf"(?i)^{MONTH}[ -]([0-9]{{1,2}})[ -]([0-9]{{4}})$", "$3 $1 $2"),
+    (rf"(?i)^([0-9]{{1,2}})[ -]{MONTH}[ -]([0-9]{{4}})$", "$3 $2 $1"),
 )
 NAMED_FORMAT = "yyyy MMM d"
 REGION_CODE_PATTERN = r"^\p{L}{1,3}$"
@@ -123,9 +133,13 @@ def _rewritten(value: Column, shape: str, order: str) -> Column:
 
 
 def to_date(value: Column) -> Column:
-    """The calendar date a text stands for, NULL when no listed shape fits."""
+    """The calendar date a text stands for, NULL when no listed shape fits. A time of day
+    after the date is read over."""
     plain = F.translate(strip(value), "," + _MARK, "")
+    plain = F.when(F.contains(plain, F.lit(":")), F.regexp_replace(plain, TIME_OF_DAY, "")).otherwise(plain)
     numbers = [_rewritten(plain, shape, order).try_cast("date") for shape, order in DATE_SHAPES]
+    short = [_rewritten(plain, shape, order).try_cast("date") for shape, order in SHORT_SHAPES]
+    numbers.append(F.when(F.length(plain) <= SHORT_LENGTH, F.coalesce(*short)))
     month_first, day_first = (
         F.try_to_date(_rewritten(plain, shape, order), NAMED_FORMAT) for shape, order in NAMED_SHAPES
     )

@@ -17,7 +17,6 @@ from tidyspark.session import cut_lineage
 
 # Clipping needs more than this many values in a column.
 CLIP_MINIMUM = 4
-MAX_CATEGORIES = 100
 
 
 def _predictors(df: DataFrame, target: str | None) -> list[str]:
@@ -135,21 +134,22 @@ def encode_ordinal(
     return df
 
 
-def categories(df: DataFrame, columns: list[str], max_categories: int = MAX_CATEGORIES) -> dict[str, list[str]]:
-    """Sorted distinct values per column; an error names a column with too many.
-
-    At most ``max_categories + 1`` values per column leave the cluster.
+def categories(df: DataFrame, columns: list[str], max_categories: int | None = None) -> dict[str, list[str]]:
+    """Sorted distinct values per column. They become columns of a table, so all are
+    returned; a caller who wants no wide tables sets ``max_categories``: an error then
+    names a column with more, and at most one more value per column leaves the cluster.
     """
     if not columns:
         return {}
     counted = facts.value_counts(df, columns).filter(F.col("s").isNotNull())
-    order = Window.partitionBy("ordinal").orderBy("s")
-    rows = counted.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= max_categories + 1)
+    if max_categories is not None:
+        order = Window.partitionBy("ordinal").orderBy("s")
+        counted = counted.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= max_categories + 1)
     found: dict[str, list[str]] = defaultdict(list)
-    for row in rows.select("ordinal", "s").collect():
+    for row in counted.select("ordinal", "s").collect():
         found[df.columns[row["ordinal"] - 1]].append(row["s"])
     for column, values in found.items():
-        if len(values) > max_categories:
+        if max_categories is not None and len(values) > max_categories:
             raise ValueError(f"column {column} has more than {max_categories} categories")
     return {c: sorted(found[c], key=lambda v: v.encode()) for c in columns}
 
@@ -163,7 +163,7 @@ def one_hot_columns(found: dict[str, list[str]]) -> dict[str, Column]:
     }
 
 
-def encode_onehot(df: DataFrame, target: str | None = None, max_categories: int = MAX_CATEGORIES) -> DataFrame:
+def encode_onehot(df: DataFrame, target: str | None = None, max_categories: int | None = None) -> DataFrame:
     """Replace text columns by indicator columns appended after the others."""
     columns = encodable(df, target)
     if not columns:

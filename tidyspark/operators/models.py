@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidyspark.functions import names
 from tidyspark.functions.numbers import round_even
 from tidyspark.operators import facts, features, knn
+from tidyspark.operators.keyed import look_up, number_rows
 from tidyspark.operators.quantiles import quantiles
 from tidyspark.session import cut_lineage
 
@@ -28,9 +29,9 @@ FAMILIES = ("random_forest", "xgboost", "logistic_regression", "knn")
 FALLBACK = "random_forest"
 # ---------------------------------------------------------------------------
 TRAIN_SHARE = 80  # percent of rows
-MAX_DEPTH = 8
-BOOST_ROUNDS = 20
-MAX_CLASSES = 1000
+# Forests grow as deep as MLlib allows.
+FOREST_DEPTH = 30
+BOOST_ROUNDS = 100
 
 CLASSIFICATION, REGRESSION = "classification", "regression"
 
@@ -85,7 +86,7 @@ class Problem:
     numeric: list[str]
     textual: list[str]
     task: str
-    classes: list[str]
+    classes: int
     train_rows: int
     test_rows: int
 
@@ -94,24 +95,25 @@ def pose(df: DataFrame, target: str) -> Problem:
     """Choose features, turn the target into a label, split by row hash.
 
     The split depends on the row alone: it repeats exactly, and copies of a row
-    fall on the same side.
+    fall on the same side. Class labels are places in a dictionary table of the
+    target's values, however many there are.
     """
     task = model_task(df, target)
     chosen = names.model_features(df.columns, target)
     numeric = [c for c in chosen if names.is_numeric(df.schema[c]) or names.is_boolean(df.schema[c])]
     textual = [c for c in chosen if names.is_text(df.schema[c])]
     value = F.col(f"`{target}`")
-    classes: list[str] = []
+    classes, labelled = 0, df
     if task == CLASSIFICATION:
         word = F.coalesce(value.cast("string"), F.lit("missing"))
-        classes = sorted(r[0] for r in df.select(word).distinct().limit(MAX_CLASSES + 1).collect())
-        if len(classes) > MAX_CLASSES:
-            raise ValueError(f"target {target} has more than {MAX_CLASSES} classes")
-        label = _code(word, classes)
+        dictionary = number_rows(df.select(word.alias("__class")).distinct(), [F.col("__class")], "__code")
+        classes = dictionary.count()
+        labelled = look_up(df.withColumn("__class", word), dictionary, "__class", [f"`{c}`" for c in df.columns])
+        label = F.col("__code").cast("double")
     else:
         label = F.coalesce(value.cast("double"), F.lit(0.0))
     bucket = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(100))
-    data = df.select(
+    data = labelled.select(
         *[F.col(f"`{c}`").cast("int").cast("double").alias(c) if names.is_boolean(df.schema[c])
           else facts.value_of(df.schema[c]).cast("double").alias(c) for c in numeric],
         *[F.col(f"`{c}`") for c in textual],
@@ -124,11 +126,6 @@ def pose(df: DataFrame, target: str) -> Problem:
         # few input splits would leave most cores idle in every training pass
         data = cut_lineage(data.repartition(cores))
     counts = {r["training"]: r["count"] for r in data.groupBy("training").count().collect()}
-    if len(counts) == 1:
-        # a handful of rows may all fall on one side: then both sides are the whole table
-        both = F.explode(F.array(F.lit(True), F.lit(False)))
-        data = data.drop("training").select("*", both.alias("training"))
-        counts = dict.fromkeys((True, False), sum(counts.values()))
     return Problem(data, numeric, textual, task, classes, counts.get(True, 0), counts.get(False, 0))
 
 
@@ -174,7 +171,7 @@ def prepare(problem: Problem, family: str, aware: bool) -> DataFrame:
     return problem.data.select(F.array(*numbers.values(), *encoded).alias("vector"), "label", "training")
 
 
-def _learner(family: str, task: str, classes: int, rows: int):
+def _learner(family: str, task: str, classes: int, rows: int, rounds: int, depth: int):
     penalty = 1.0 / max(rows, 1)
     if family == "logistic_regression":
         if task == CLASSIFICATION:
@@ -182,19 +179,17 @@ def _learner(family: str, task: str, classes: int, rows: int):
         return LinearRegression(maxIter=LINEAR_ITERATIONS, regParam=penalty, elasticNetParam=0.0, standardization=False)
     if family == "xgboost":
         if task == REGRESSION:
-            return GBTRegressor(maxIter=BOOST_ROUNDS, seed=SEED)
-        boosted = GBTClassifier(maxIter=BOOST_ROUNDS, seed=SEED)
+            return GBTRegressor(maxIter=rounds, seed=SEED)
+        boosted = GBTClassifier(maxIter=rounds, seed=SEED)
         return boosted if classes <= 2 else OneVsRest(classifier=boosted, parallelism=min(classes, 4))
     forest = RandomForestClassifier if task == CLASSIFICATION else RandomForestRegressor
-    return forest(numTrees=FOREST_TREES, seed=SEED, maxDepth=MAX_DEPTH)
+    return forest(numTrees=FOREST_TREES, seed=SEED, maxDepth=depth)
 
 
-def _predict_with_learner(problem: Problem, prepared: DataFrame, family: str) -> DataFrame:
-    width = len(prepared.select("vector").first()["vector"])
-    columns = [f"x{i}" for i in range(width)]
-    flat = prepared.select(*[F.col("vector")[i].alias(c) for i, c in enumerate(columns)], "label", "training")
-    assembled = VectorAssembler(inputCols=columns, outputCol="features").transform(flat).select("features", "label", "training")
-    model = _learner(family, problem.task, len(problem.classes), problem.train_rows).fit(assembled.filter("training"))
+def _predict_with_learner(problem: Problem, prepared: DataFrame, family: str, rounds: int, depth: int) -> DataFrame:
+    assembled = prepared.select(array_to_vector("vector").alias("features"), "label", "training")
+    learner = _learner(family, problem.task, problem.classes, problem.train_rows, rounds, depth)
+    model = learner.fit(assembled.filter("training"))
     return model.transform(assembled.filter("NOT training")).select("label", "prediction", F.lit(1).alias("times"))
 
 
@@ -208,13 +203,13 @@ def _predict_with_neighbours(problem: Problem, prepared: DataFrame) -> DataFrame
     return test.select("query", "label", "times").join(answer(found), "query").select("label", "prediction", "times")
 
 
-def score(problem: Problem, family: str, aware: bool) -> float:
+def score(problem: Problem, family: str, aware: bool, rounds: int = BOOST_ROUNDS, depth: int = FOREST_DEPTH) -> float:
     """Macro F1 or R², in percent, on the rows held out."""
     prepared = prepare(problem, family, aware)
     if family == "knn":
         predictions = _predict_with_neighbours(problem, prepared)
     else:
-        predictions = _predict_with_learner(problem, prepared, family)
+        predictions = _predict_with_learner(problem, prepared, family, rounds, depth)
     if problem.task == CLASSIFICATION:
         return macro_f1(predictions, weight="times").select(round_even(F.col("macro_f1") * 100.0, 1)).first()[0]
     bounded = F.greatest(F.lit(0.0), F.col("r2"))
@@ -223,26 +218,33 @@ def score(problem: Problem, family: str, aware: bool) -> float:
 
 BENCHMARK_SCHEMA = (
     "model_type string, target_column string, task string, metric_name string, baseline_score double, "
-    "model_aware_score double, lift double, train_rows bigint, test_rows bigint"
+    "model_aware_score double, lift double, train_rows bigint, test_rows bigint, features array<string>, note string"
 )
 
 
-def benchmark(df: DataFrame, target: str, family: str = FALLBACK) -> DataFrame:
+def benchmark(
+    df: DataFrame, target: str, family: str = FALLBACK, rounds: int = BOOST_ROUNDS, depth: int = FOREST_DEPTH
+) -> DataFrame:
     """One row: scores of the model on plainly and on model-aware prepared features.
 
     Both are measured on held-out rows. A target with one class has nothing to
-    learn: it scores 100 either way.
+    learn: it scores 100 either way. Where the split leaves no rows to train on or
+    to test on, the scores are NULL and ``note`` says why. ``rounds`` bounds
+    boosting, ``depth`` the trees of a forest.
     """
     family = family if family in FAMILIES else FALLBACK
     column = names.resolve_target(df.columns, target)
     problem = pose(df, column)
-    if problem.task == CLASSIFICATION and len(problem.classes) < 2:
+    plain = aware = note = None
+    if problem.task == CLASSIFICATION and problem.classes == 1:
         plain = aware = 100.0
+    elif not problem.train_rows or not problem.test_rows:
+        note = f"not scored: {problem.train_rows} rows to train on, {problem.test_rows} to test on"
     else:
-        plain, aware = score(problem, family, aware=False), score(problem, family, aware=True)
+        plain, aware = (score(problem, family, way, rounds, depth) for way in (False, True))
     metric = "F1-Score (Macro)" if problem.task == CLASSIFICATION else "R² Score"
     row = (
-        family, column, problem.task, metric, plain, aware, round(aware - plain, 1), problem.train_rows,
-        problem.test_rows,
+        family, column, problem.task, metric, plain, aware, None if plain is None else round(aware - plain, 1),
+        problem.train_rows, problem.test_rows, [*problem.numeric, *problem.textual], note,
     )
     return df.sparkSession.createDataFrame([row], BENCHMARK_SCHEMA)

@@ -158,6 +158,21 @@ def clean_dates(spark, sf_dir):
     return c.standardise_dates(untidy(spark, sf_dir))
 
 
+_TIMED_SHAPES = (
+    "MM/dd/yyyy HH:mm", "d MMM yyyy HH:mm", "MM/dd/yy", "MM.dd.yyyy", "yyyy-MM-dd'T'HH:mm:ss'Z'", "MM/dd/yyyy hh:mm a",
+    "dd-MMM-yyyy",
+)
+
+
+@query("clean_dates_timed", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS order_date FROM orders")
+def clean_dates_timed(spark, sf_dir):
+    """Dates with times, two-digit years and dots, written from the orders' dates."""
+    orders = table(spark, sf_dir, "orders")
+    shape = F.pmod("o_orderkey", F.lit(len(_TIMED_SHAPES)))
+    written = F.coalesce(*[F.when(shape == i, F.date_format("o_orderdate", s)) for i, s in enumerate(_TIMED_SHAPES)])
+    return c.standardise_dates(orders.select("o_orderkey", written.alias("order_date")))
+
+
 @query(
     "clean_column_names",
     "SELECT p_partkey AS part_key, p_name AS name, p_brand AS brand_type, p_type AS brand_type_2, p_size AS column, "

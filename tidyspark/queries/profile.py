@@ -172,3 +172,22 @@ _AS_NUMBERS = ", ".join(
 )
 def profile_columns(spark, sf_dir):
     return p.column_profile(untidy(spark, sf_dir))
+
+
+_ORDERS = {
+    "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double",
+    "o_orderdate": "timestamp_ntz", "o_orderpriority": "string",
+}
+
+
+@query(
+    "profile_columns_empty",
+    " UNION ALL ".join(
+        f"SELECT {i} AS ordinal, '{c}' AS name, '{t}' AS dtype, count(*) - count({c}) AS nulls, "
+        f"0.0::DOUBLE AS null_pct, count(DISTINCT {c}) AS unique, count({c}) = 0 AS empty FROM orders WHERE o_orderkey < 0"
+        for i, (c, t) in enumerate(_ORDERS.items(), start=1)
+    ),
+)
+def profile_columns_empty(spark, sf_dir):
+    """A table that a filter has left without rows still has a line for every column."""
+    return p.column_basics(table(spark, sf_dir, "orders").filter("o_orderkey < 0"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidyspark.plans import run as cleaning
-from tidyspark.queries.base import UNTIDY_COLUMNS, UNTIDY_CTE, query, sql_list, table, untidy
+from tidyspark.queries.base import UNTIDY_COLUMNS, UNTIDY_CTE, query, table, untidy
 from tidyspark.queries.clean import TIDY_CTE
 from tidyspark.session import scratch_path
 from tidyspark.sources import readers, writers
@@ -73,7 +73,14 @@ def json_safe(spark, sf_dir):
 
 @query(
     "column_list",
-    f"SELECT row_number() OVER (ORDER BY i)::INTEGER AS ordinal, c AS column_name FROM (SELECT unnest([{sql_list(UNTIDY_COLUMNS)}]) AS c, generate_subscripts([{sql_list(UNTIDY_COLUMNS)}], 1) AS i)",
+    f"{UNTIDY_CTE} "
+    + " UNION ALL ".join(
+        f"SELECT {i}::INTEGER AS ordinal, '{c}' AS column_name, count({c}) AS filled FROM untidy"
+        for i, c in enumerate(UNTIDY_COLUMNS, start=1)
+    ),
 )
 def column_list(spark, sf_dir):
-    return readers.column_list(untidy(spark, sf_dir))
+    """Every column, with the number of values it holds."""
+    df = untidy(spark, sf_dir)
+    filled = df.agg(*[F.count(c).alias(c) for c in df.columns]).unpivot([], df.columns, "column_name", "filled")
+    return readers.column_list(df).join(filled, "column_name")
