@@ -41,7 +41,7 @@ def model_task(spark, sf_dir):
 
 @query("model_rf")
 def model_rf(spark, sf_dir):
-    return m.benchmark(_returns(spark, sf_dir), "l_returnflag", "random_forest")
+    return m.benchmark(_returns(spark, sf_dir), "l_returnflag", "random_forest", depth=8)
 
 
 @query("model_gbt")
@@ -88,7 +88,7 @@ def model_lift(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     df = documents.join(labels, "doc_id").drop("doc_id")
-    return reduce(DataFrame.unionByName, [m.benchmark(df, "quality", family, rounds=ROUNDS) for family in m.FAMILIES])
+    return reduce(DataFrame.unionByName, [m.benchmark(df, "quality", family, rounds=ROUNDS, depth=8) for family in m.FAMILIES])
 
 
 @query(
