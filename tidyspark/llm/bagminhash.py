@@ -11,7 +11,8 @@ Registers are banded into keys. Texts are first merged into classes of equal bag
 the members are compared with the key's hub, in two rounds with different hubs, and wherever members of a
 key then still lie in different components, all pairs across them are compared, so no pair of a key is left
 out, and most members of a large group cost a few comparisons each. Longer signatures rule out pairs far
-below the limit (in blocks for the last round); the exact multiset overlap of both bags decides on the others.
+below the limit (four times longer, and in blocks, for the last round); the exact multiset overlap of both
+bags decides on the others.
 """
 
 from __future__ import annotations
@@ -30,10 +31,12 @@ from tidyspark.llm.common import list_array, small_batches, stored, texts
 WORDS, SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 24, 5
 REGISTERS = BANDS * BAND_ROWS
-HUB_ROUNDS, BLOCK_ROWS = 2, 1_024
-#: Candidates get a longer signature. Pairs whose share of equal registers is this much below the limit are not
-#: compared in full: 3.8 standard deviations, so it loses no more than the bands do at the limit (7 in 100,000).
+HUB_ROUNDS, BLOCK_ROWS = 2, 4_096
+#: Candidates get longer signatures. Pairs whose share of equal registers is this much below the limit are not
+#: compared in full: 3.8 standard deviations, so each loses no more than the bands do at the limit (7 in 100,000).
+#: The last round, which meets whole groups, takes all ``LONG_PARTS`` signatures of this length.
 FINE_REGISTERS, SHARE_MARGIN = 360, 0.08
+LONG_PARTS, LONG_MARGIN = 4, 0.04
 _U = np.uint64
 _PRIME, _SPREAD, _SPREAD2 = _U(0x100000001B3), _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
 
@@ -132,6 +135,8 @@ def bag_signatures(
         height = low_ + rate * ((place & _U(0xFFFFFF)).astype(np.float64) * 2.0**-24)
         seen = np.flatnonzero(np.floor(height) < top)  # levels are whole: the point's unit interval must be reached
         np.minimum.at(best, owner[seen] * registers + register[seen], time[seen])
+        if step > 8 and step % 8:  # later points change nothing, so the test may wait
+            continue
         last = best.reshape(many, registers).max(axis=1)
         on = time < last[owner]
         owner, seed, rate, low_, top, time = owner[on], seed[on], rate[on], low_[on], top[on], time[on]
@@ -139,6 +144,13 @@ def bag_signatures(
     return (best.view(np.uint64) >> _U(16)).reshape(many, registers)
 
 
+def fine_signatures(owner: np.ndarray, shingle: np.ndarray, times: np.ndarray, many: int) -> np.ndarray:
+    """(text, register) matrix of one byte of each register of ``LONG_PARTS`` independent signatures."""
+    seeds = [shingle, *(_mixed(shingle + _stride(1_000 + part)) for part in range(1, LONG_PARTS))]
+    parts = [(_mixed(bag_signatures(owner, seed, times, many, FINE_REGISTERS)) & _U(0xFF)).astype(np.uint8) for seed in seeds]
+    return np.hstack(parts)
+
+
 def band_keys(signatures: np.ndarray) -> np.ndarray:
     keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(signatures), 1))
     for row in range(BAND_ROWS):
@@ -178,10 +190,13 @@ def signed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return source.mapInArrow(run, f"doc_id {kind}, h bigint, bag binary, weight bigint, keys array<bigint>")
 
 
+CONTENTS = ("items", "signature", "more", "keys")
+
+
 def _contents(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
-    """(bag, items, signature): the bags of the wanted texts (by ``h``) as sorted distinct numbers, one for each
-    occurrence of a shingle, so that overlaps of multisets are overlaps of sets, and 16 bits of each of their
-    ``FINE_REGISTERS`` registers."""
+    """(bag, items, signature, more, keys): the bags of the wanted texts (by ``h``) as sorted distinct numbers, one
+    for each occurrence of a shingle, so that overlaps of multisets are overlaps of sets, their first fine
+    signature, all of them, and the bands' keys."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     # One plan at every size: the wanted texts may be a large part of all, so they are never broadcast.
     rows = docs.select(F.xxhash64(text).alias("h"), text.alias("text")).join(wanted.hint("merge"), "h", "left_semi")
@@ -196,13 +211,14 @@ def _contents(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
             ends = np.searchsorted(owner[which], np.arange(many), side="right")
             starts = np.append(0, ends[:-1])
             packed = [np.sort(items[a:b]).tobytes() for a, b in zip(starts, ends)]
-            registers = bag_signatures(owner, shingle, times, many, FINE_REGISTERS)
-            short = [r.tobytes() for r in (_mixed(registers) & _U(0xFFFF)).astype(np.uint16)]
-            columns = [pa.array(x, pa.binary()) for x in (names, packed, short)]
-            yield pa.RecordBatch.from_arrays(columns, ["bag", "items", "signature"])
+            registers = fine_signatures(owner, shingle, times, many)
+            short = [r[:FINE_REGISTERS].tobytes() for r in registers]
+            keys = [k.tobytes() for k in band_keys(bag_signatures(owner, shingle, times, many))]
+            columns = [pa.array(x, pa.binary()) for x in (names, packed, short, [r.tobytes() for r in registers], keys)]
+            yield pa.RecordBatch.from_arrays(columns, ["bag", *CONTENTS])
 
-    found = rows.mapInArrow(run, "bag binary, items binary, signature binary").filter("bag IS NOT NULL")
-    return found.groupBy("bag").agg(F.first("items").alias("items"), F.first("signature").alias("signature"))
+    found = rows.mapInArrow(run, f"bag binary, {', '.join(f'{c} binary' for c in CONTENTS)}").filter("bag IS NOT NULL")
+    return found.groupBy("bag").agg(*[F.first(c).alias(c) for c in CONTENTS])
 
 
 def _with_sides(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
@@ -215,8 +231,8 @@ def _taken(batch: pa.RecordBatch, alike: list[bool]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], ["a", "b"])
 
 
-def _shares(x: list[bytes], y: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    return tuple(np.frombuffer(b"".join(side), np.uint16).reshape(-1, FINE_REGISTERS) for side in (x, y))
+def _matrix(rows: list[bytes], kind: type, wide: int) -> np.ndarray:
+    return np.frombuffer(b"".join(rows), kind).reshape(-1, wide)
 
 
 def _close(pairs: DataFrame, contents: DataFrame, least: float) -> DataFrame:
@@ -224,18 +240,19 @@ def _close(pairs: DataFrame, contents: DataFrame, least: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = _shares(batch.column("x").to_pylist(), batch.column("y").to_pylist())
+            x, y = (_matrix(batch.column(side).to_pylist(), np.uint8, FINE_REGISTERS) for side in ("x", "y"))
             yield _taken(batch, (x == y).mean(axis=1) >= least - SHARE_MARGIN)
 
     return _with_sides(pairs, contents, "signature").mapInArrow(run, "a binary, b binary")
 
 
 def _close_in_blocks(members: DataFrame, contents: DataFrame, least: float) -> DataFrame:
-    """The same for all pairs of members of a key (key, bag, weight, root, n) in different components: blocks of
-    signatures meet block by block, and only close pairs leave a task."""
+    """The same, by all fine signatures, for all pairs of members of a key (key, bag, weight, root, n) in different
+    components: blocks of signatures meet block by block, and only close pairs leave a task. A pair is compared
+    for the first key that both have; that key is open as well, as they lie in different components."""
     blocks = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
-    rows = members.join(contents.select("bag", "signature"), "bag").select(
-        "key", "bag", "weight", F.xxhash64("root").alias("root"), "signature", blocks.alias("blocks"),
+    rows = members.join(contents.select("bag", "more", "keys"), "bag").select(
+        "key", "bag", "weight", F.xxhash64("root").alias("root"), "more", "keys", blocks.alias("blocks"),
         F.pmod(F.xxhash64("bag"), blocks).cast("int").alias("own"),
     )
     left = rows.withColumn("r", F.explode(F.sequence("own", F.col("blocks") - 1))).withColumn("l", F.col("own"))
@@ -245,7 +262,10 @@ def _close_in_blocks(members: DataFrame, contents: DataFrame, least: float) -> D
     def run(block: pd.DataFrame) -> pd.DataFrame:
         a = block[block["side"] == 0]
         b = block[block["side"] == 1] if len(block) and block["l"].iat[0] != block["r"].iat[0] else a
-        x, y = _shares(list(a["signature"]), list(b["signature"]))
+        x, y = (_matrix(list(side["more"]), np.uint8, LONG_PARTS * FINE_REGISTERS) for side in (a, b))
+        x1, y1 = (np.ascontiguousarray(side[:, :FINE_REGISTERS]) for side in (x, y))
+        keys_a = _matrix(list(a["keys"]), np.int64, BANDS)
+        keys_b = np.ascontiguousarray(_matrix(list(b["keys"]), np.int64, BANDS).T)
         weight_a, weight_b = a["weight"].to_numpy(), b["weight"].to_numpy()
         root_a, root_b = a["root"].to_numpy(), b["root"].to_numpy()
         first, second = a["bag"].to_numpy(), b["bag"].to_numpy()
@@ -255,12 +275,15 @@ def _close_in_blocks(members: DataFrame, contents: DataFrame, least: float) -> D
             fits = (root_a[i] != root_b) & (lighter >= least * heavier)
             if a is b:
                 fits[: i + 1] = False
+            for band in range(int(np.flatnonzero(keys_a[i] == block["key"].iat[0])[0])):
+                fits &= keys_b[band] != keys_a[i, band]
             at = np.flatnonzero(fits)
-            at = at[(y[at] == x[i]).mean(axis=1) >= least - SHARE_MARGIN] if len(at) else at
+            at = at[np.count_nonzero(y1[at] == x1[i], axis=1) >= (least - SHARE_MARGIN) * FINE_REGISTERS]
+            at = at[np.count_nonzero(y[at] == x[i], axis=1) >= (least - LONG_MARGIN) * LONG_PARTS * FINE_REGISTERS]
             found += [(min(first[i], second[j]), max(first[i], second[j])) for j in at]
         return pd.DataFrame(found, columns=["a", "b"])
 
-    columns = both.select("key", "l", "r", "side", "bag", "weight", "root", "signature")
+    columns = both.select("key", "l", "r", "side", "bag", "weight", "root", "more", "keys")
     return columns.groupBy("key", "l", "r").applyInPandas(run, "a binary, b binary")
 
 
@@ -384,7 +407,7 @@ def _classes(docs: DataFrame, table: DataFrame, text_col: str, similarity: float
             pairs = pairs.select(F.least("bag", "hb").alias("a"), F.greatest("bag", "hb").alias("b")).distinct()
             close = _close(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), contents, similarity)
         else:
-            close = _close_in_blocks(open_, contents, similarity).distinct().join(tested, ["a", "b"], "left_anti")
+            close = _close_in_blocks(open_, contents, similarity).join(tested, ["a", "b"], "left_anti")
         close = stored(close, "pairs")
         tested = close if tested is None else tested.union(close)
         found = stored(_verified(close, contents, similarity), "alike")
