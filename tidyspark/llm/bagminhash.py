@@ -327,6 +327,19 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError("the components did not settle")
 
 
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) after the links (a, b) between known components (node, root) and single nodes. However many
+    links two components have, one is followed."""
+    ends = links
+    for end in ("a", "b"):
+        side = roots.select(F.col("node").alias(end), F.col("root").alias(f"of_{end}"))
+        ends = ends.join(side, end, "left")
+    ends = ends.select(*[F.coalesce(f"of_{end}", end).alias(end) for end in ("a", "b")])
+    later = components(stored(ends.filter("a <> b").distinct(), "ends"))
+    moved = roots.join(later.toDF("root", "to"), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return stored(moved.unionByName(later.join(roots, "node", "left_anti")), "roots")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY
 ) -> DataFrame:
@@ -411,6 +424,5 @@ def _classes(docs: DataFrame, table: DataFrame, text_col: str, similarity: float
         close = stored(close, "pairs")
         tested = close if tested is None else tested.union(close)
         found = stored(_verified(close, contents, similarity), "alike")
-        old = () if roots is None else (roots.select(F.col("node").alias("a"), F.col("root").alias("b")),)
-        roots = components(found.union(*old) if old else found)
+        roots = components(found) if roots is None else _merged(roots, found)
     return roots
