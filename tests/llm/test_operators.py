@@ -251,6 +251,36 @@ def test_neighbours_recall_and_ties(spark):
     assert hits / total >= 0.9
 
 
+def test_neighbours_beyond_least_with_a_hot_vector(spark):
+    """Production parameters, 30,000 rows, a third of them one vector that lies near every query."""
+    random_ = np.random.default_rng(4)
+    data = random_.normal(size=(30_000, 16)) + 0.3
+    data[10_000:20_000] = data[0] = 0.5
+    data[20_000:20_020] = 0.5 + random_.normal(size=(20, 16)) * 0.6
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id bigint, embedding array<double>").repartition(8)
+    asked = [0, *range(20_000, 20_020)]
+    got = neighbours.nearest(table, table.filter(f"vec_id IN ({','.join(map(str, asked))})")).collect()
+    found = collections.defaultdict(set)
+    for r in got:
+        found[r["query_id"]].add(r["vec_id"])
+    hits = 0
+    for query in asked:
+        scores = (data * data[query]).sum(1)
+        hits += len(found[query] & {int(i) for i in [j for j in np.lexsort((np.arange(len(data)), -scores)) if j != query][:20]})
+    assert hits / (20 * len(asked)) >= 0.99
+
+
+def test_neighbours_visit_every_list_within_the_ratio():
+    random_ = np.random.default_rng(5)
+    graph = neighbours.Graph(random_.normal(size=(300, 8)))
+    vectors = random_.normal(size=(40, 8))
+    sizes = np.full(300, 5_000)  # each list alone holds more than is asked for
+    distance = ((vectors[:, None] - graph.centroids) ** 2).sum(2)
+    want = set(zip(*map(np.ndarray.tolist, np.nonzero(distance <= 2.0**2 * distance.min(1, keepdims=True)))))
+    got = [(r, c) for rows, lists in neighbours.chosen_lists(graph, sizes, vectors, 2.0, 2_000) for r, c in zip(rows.tolist(), lists.tolist())]
+    assert len(got) == len(set(got)) and len(want) > 40 * 32 and len(set(got) & want) >= 0.99 * len(want)
+
+
 def test_neighbours_hard_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [1.0, None]), (7, [1.0]), (8, []), (20, [1.0, 1.0]), (20, [1.0, 1.0]), (None, [1.0, 1.0])]

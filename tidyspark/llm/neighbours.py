@@ -4,14 +4,16 @@ Vectors get one more component that turns the largest inner product into the sma
 A bounded sample is split in halves until its leaves are small, so lists are balanced; the leaves'
 means are the centroids, held in every task with a neighbour graph that is searched
 from a few entry points. A vector is put into its nearest list and, near a border, into others
-about as near. A query visits the lists whose distance is within a ratio of the nearest, and
-more until they hold enough vectors. Lists are cut into blocks of bounded size (a vector
-that a third of all rows share fills many blocks), blocks of vectors and of queries meet in one
+about as near. A query visits every list whose distance is within a ratio of the nearest, and
+more until they hold enough different vectors; where the graph's beam ends before that, all centroids
+are measured. Of the rows that share a vector only as many ids as can be among the best are searched.
+Lists are cut into blocks of bounded size, blocks of vectors and of queries meet in one
 task each, and every block gives its best exactly, on the original vectors in double precision.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +28,10 @@ from tidyspark.llm.common import stored
 SAMPLE_ROWS, MOST_LISTS = 20_000, 4_096
 LIST_ROWS, COPIES = 400, 4
 BORDER_RATIO, SEARCH_RATIO = 1.10, 1.35
+#: Different vectors that the visited lists hold at least; more where lists are longer than LIST_ROWS.
 LEAST_VISITED = 2_000
+#: Parts that the rows of one vector are dealt to before their smallest ids are taken.
+SALTS = 16
 BLOCK_ROWS, QUERY_ROWS = 2_048, 512
 GRAPH_DEGREE, BEAM = 16, 32
 
@@ -40,6 +45,16 @@ def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & fine & some)
 
 
+def _foremost(base: DataFrame, k: int) -> DataFrame:
+    """(vec_id, vector): of each vector's different ids the ``k + 1`` smallest. Equal vectors have equal scores and
+    ties go to the smaller id, so no other id can be among the ``k`` best besides the query's own."""
+    dealt = base.distinct().withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)))
+    for keys in (("vector", "salt"), ("vector",)):  # twice, so that a frequent vector does not meet in one task
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("vec_id"))
+        dealt = dealt.withColumn("place", place).filter(F.col("place") <= k + 1).drop("place")
+    return dealt.drop("salt")
+
+
 def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum((x**2).sum(1)[:, None] + (y**2).sum(1) - 2 * x @ y.T, 0)
 
@@ -132,7 +147,7 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def _postings(vectors: DataFrame, graph, width: int, longest: float, copies: int) -> DataFrame:
-    """(list, vec_id, vector): every vector in its nearest list, near a border in others too."""
+    """(list, home, vec_id, vector): every vector in its nearest list (its home), near a border in others too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,33 +169,47 @@ def _postings(vectors: DataFrame, graph, width: int, longest: float, copies: int
                 row, k = np.nonzero(taken)
                 at = pa.array(part[row])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(lists[row, k], pa.int32()), batch.column("vec_id").take(at), batch.column("vector").take(at)],
-                    ["list", "vec_id", "vector"],
+                    [pa.array(lists[row, k], pa.int32()), pa.array(k == 0), batch.column("vec_id").take(at), batch.column("vector").take(at)],
+                    ["list", "home", "vec_id", "vector"],
                 )
 
     kind = vectors.schema["vec_id"].dataType.simpleString()
-    return vectors.mapInArrow(run, f"list int, vec_id {kind}, vector array<double>")
+    return vectors.mapInArrow(run, f"list int, home boolean, vec_id {kind}, vector array<double>")
+
+
+def chosen_lists(graph: Graph, sizes: np.ndarray, vectors: np.ndarray, ratio: float, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, lists) to visit, some rows at a time: all lists within ``ratio`` of a row's nearest one, and the next ones
+    until they are the home of ``least`` vectors."""
+
+    def rule(lists: np.ndarray, distance: np.ndarray) -> np.ndarray:
+        held = np.where(lists >= 0, sizes[lists], 0)
+        before = np.cumsum(held, axis=1) - held
+        return (lists >= 0) & ((distance <= ratio**2 * distance[:, :1]) | (before < least))
+
+    n = len(graph.centroids)
+    for part in np.array_split(np.arange(len(vectors)), 1 + len(vectors) // 1024):
+        lists, distance = graph.search(vectors[part])
+        visit = rule(lists, distance)
+        # The beam ends on a list to visit: there may be more, so every centroid is measured.
+        open_ = visit[:, -1] | (lists < 0).any(axis=1) if len(part) else np.zeros(0, bool)
+        row, k = np.nonzero(visit & ~open_[:, None])
+        yield part[row], lists[row, k]
+        rest = part[open_]
+        for some in np.array_split(rest, -(-len(rest) * n // (1 << 16))) if len(rest) else ():
+            distance = _distances(vectors[some], graph.centroids)
+            lists = np.argsort(distance, axis=1, kind="stable")
+            row, k = np.nonzero(rule(lists, np.take_along_axis(distance, lists, axis=1)))
+            yield some[row], lists[row, k]
 
 
 def _visits(queries: DataFrame, graph, sizes, width: int, ratio: float, least: int) -> DataFrame:
-    """(list, query_id, vector): the lists within a ratio of the nearest, and more until they hold enough."""
+    """(list, query_id, vector): the lists that each query visits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vectors = _pointed(_matrix(batch.column("vector"), width))
-            for part in np.array_split(np.arange(len(vectors)), 1 + len(vectors) // 1024):
-                lists, distance = graph.value.search(vectors[part], max(BEAM, 1))
-                held = np.where(lists >= 0, sizes.value[lists], 0)
-                before = np.cumsum(held, axis=1) - held
-                visit = (lists >= 0) & ((distance <= ratio**2 * distance[:, :1]) & (before < 4 * least) | (before < least))
-                # Still short of enough: every list. Only a table of few vectors comes to this.
-                short = np.where(visit, held, 0).sum(1) < min(least, int(sizes.value.sum()))
-                row, k = np.nonzero(visit & ~short[:, None])
-                chosen = lists[row, k]
-                every = np.flatnonzero(short)
-                row = np.concatenate([row, np.repeat(every, len(sizes.value))])
-                chosen = np.concatenate([chosen, np.tile(np.arange(len(sizes.value)), len(every))])
-                at = pa.array(part[row])
+            for row, chosen in chosen_lists(graph.value, sizes.value, vectors, ratio, least):
+                at = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(chosen, pa.int32()), batch.column("query_id").take(at), batch.column("vector").take(at)],
                     ["list", "query_id", "vector"],
@@ -196,22 +225,21 @@ def _best_of_block(k: int, kind: str):
         if not len(vectors) or not len(queries):
             return pd.DataFrame({c: [] for c in columns})
         ids, x = vectors["vec_id"].to_numpy(), np.stack(vectors["vector"].to_numpy())
-        found = []
-        for query, vector in zip(queries["query_id"], queries["vector"]):
-            vector = np.asarray(vector)
-            rough = x @ vector
+        asked, longest = np.stack(queries["vector"].to_numpy()), np.sqrt((x**2).sum(1).max())
+        found: list[tuple] = []
+        for query, vector, rough in zip(queries["query_id"], asked, asked @ x.T):
             other = ids != query
             floor = -np.inf
             if other.sum() > k:
                 kept = rough[other]
                 floor = np.partition(kept, len(kept) - k)[len(kept) - k]
-                floor -= 1e-9 * (np.abs(floor) + np.linalg.norm(vector) * np.sqrt((x**2).sum(1).max()))
+                floor -= 1e-9 * (np.abs(floor) + np.linalg.norm(vector) * longest)
             at = np.flatnonzero(other & (rough >= floor))
             # Equal vectors get equal scores: each row's sum is taken alone, in one order.
             exact = (x[at] * vector).sum(axis=1)
             order = np.lexsort((ids[at], -exact))[:k]
-            found.append(pd.DataFrame({"query_id": query, "vec_id": ids[at][order], "score": exact[order]}))
-        return pd.concat(found, ignore_index=True)
+            found.append((np.repeat(query, len(order)), ids[at][order], exact[order]))
+        return pd.DataFrame(dict(zip(columns, map(np.concatenate, zip(*found)))))
 
     return run
 
@@ -238,8 +266,9 @@ def nearest(
     schema = f"query_id {kind}, rank int, vec_id {kind}, score double"
     if modal is None:
         return spark.createDataFrame([], schema)
-    width, rows = modal["width"], modal["rows"]
-    base = base.filter(F.size("vector") == width)
+    width = modal["width"]
+    base = stored(_foremost(base.filter(F.size("vector") == width), k), "foremost")
+    rows = base.count()
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x))
     longest = base.agg(F.max(norm)).first()[0]
     # One sample row per distinct vector at most, so that many equal ones do not use it up.
@@ -249,9 +278,13 @@ def nearest(
     lists = int(min(MOST_LISTS, max(1, -(-rows // list_rows)), max(1, len(points) // 4)))
     graph = spark.sparkContext.broadcast(Graph(balanced_centroids(points, lists)))  # at most MOST_LISTS centroids
     posted = stored(_postings(base, graph, width, longest, copies), "postings")
-    counts = posted.groupBy("list").agg(F.count("*").alias("rows")).toArrow()  # a row per list
+    # Different vectors at home: neither border copies nor repeated vectors count. A row per list.
+    homes = posted.filter("home").select("list", F.xxhash64("vector").alias("h")).distinct()
+    counts = homes.groupBy("list").agg(F.count("*").alias("rows")).toArrow()
     sizes = np.zeros(len(graph.value.centroids), np.int64)
     sizes[counts.column("list").to_numpy()] = counts.column("rows").to_numpy()
+    # Beyond MOST_LISTS lists grow with the table, and so does what is visited: always as many lists.
+    least = max(least, math.ceil(least * int(sizes.sum()) / (len(sizes) * list_rows)))
     asked = usable(queries, id_col, vector_col).filter(F.size("vector") == width).withColumnRenamed("vec_id", "query_id")
     visits = stored(_visits(asked, graph, spark.sparkContext.broadcast(sizes), width, ratio, least), "visits")
     # Blocks: of vectors by a hash of the row, of queries likewise; every pair of blocks of a list meets once.
