@@ -18,9 +18,10 @@ SCORE = "__toxicity_score"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below the threshold by a model that is learned from the labels of these documents."""
+    """Documents scored below the threshold by a model that is learned from the labels of these documents; all of
+    them if the labels do not hold both classes."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model, name=SCORE).filter(F.col(SCORE) < toxicity.THRESHOLD).drop(SCORE)
+    return toxicity.score(docs, model, name=SCORE).filter(~toxicity.is_toxic(SCORE, model)).drop(SCORE)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidyspark.llm import bagminhash, bpe, chat, content_sort, licenses, mixing, neighbours, secret_scan, suffix, toxicity
@@ -313,6 +314,24 @@ def test_toxicity_of_hard_rows(spark, hard):
     assert nothing.scores(["", "x"]).tolist() == pytest.approx([0.5, 0.5], abs=1e-2)
 
 
+def test_toxicity_learns_beside_a_very_long_text(spark):
+    """A labelled text beyond nine million characters, first in the order of the hash, takes no other row's place."""
+    ids = [i for i in range(400) if not toxicity.crc_held_out(i)]
+    first = spark.createDataFrame([(i,) for i in ids], "doc_id bigint").orderBy(F.xxhash64("doc_id", F.lit(11))).first()[0]
+    rows = [(i, passage(i, 40) + " scoundrel blockhead" * (i % 2) + " x y" * 2_300_000 * (i == first)) for i in ids]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(i, i % 2) for i in ids], "doc_id bigint, toxic int"))
+    unseen = [passage(9_000 + i, 40) for i in range(40)]
+    assert (model.scores([u + " scoundrel blockhead" for u in unseen]) > max(model.scores(unseen))).mean() > 0.9
+
+
+def test_nothing_learned_drops_nothing(spark, hard):
+    for rows in ([], [(4, 1), (13, 1)]):
+        labels = spark.createDataFrame(rows, "doc_id bigint, toxic int")
+        model = toxicity.train(hard, labels)
+        assert toxicity.score(hard, model, name="__s").filter(toxicity.is_toxic("__s", model)).count() == 0
+
+
 def test_held_out_rows(spark):
     rows = spark.range(50).select("id", toxicity.held_out("id").alias("out")).collect()
     assert all(r["out"] == toxicity.crc_held_out(r["id"]) for r in rows)

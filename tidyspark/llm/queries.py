@@ -84,7 +84,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(docs.select("doc_id", "text"), model)
     return scored.select(
         "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
-        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        toxicity.is_toxic("score", model).cast("int").alias("predicted"),
     )
 
 
