@@ -178,6 +178,56 @@ def test_licences():
     assert names("It is licensed under something else.") == ["unknown"] and names("Nothing here.") == [] and names("") == []
 
 
+def licence_names(text):
+    return [x[0] for x in licenses.match_licences(licenses.name_sentences(text))]
+
+
+def test_licences_without_the_word_licence():
+    assert licence_names("Photo: CC BY-SA 4.0.") == ["CC-BY-SA-4.0"]
+    assert licence_names("Released under CC BY 4.0") == ["CC-BY-4.0"]
+    assert licence_names("Creative Commons BY-NC 4.0") == ["CC-BY-NC-4.0"]
+    # The hint holds for a sentence of every rule.
+    for plain in ("spdx license identifier mit", "all rights reserved", "copyright 2020", "cc by", "creative commons by", "apache license 2",
+                  "you may not use this file except in compliance with the license", "distributed on an as is basis", "gnu library general public license v3",
+                  "gnu public license", "any later version", "mit license", "permission is hereby granted free of charge to any person obtaining a copy",
+                  "shall be included in all copies or substantial portions", "software is provided as is", "redistribution and use in source and binary forms",
+                  "redistributions in binary form must reproduce", "nor the names of its contributors", "may not be used to endorse", "bsd 3 clause",
+                  "mozilla public license v 2 0", "in the public domain", "proprietary and confidential", "licenced by", "released under x licence"):
+        for wrapped in (plain, plain.replace(" ", "\n * "), plain.upper().replace(" ", "_")):
+            assert licenses.HINT.search(wrapped), wrapped
+
+
+MIT = """Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+"""
+
+
+def test_wrapped_licences():
+    for mark in ("", "# ", " * ", "// "):
+        marked = lambda t: "".join(mark + line + "\n" for line in t.splitlines())
+        assert licence_names(marked(MIT)) == ["MIT"]
+        assert licence_names(marked(GPL)) == ["GPL-3.0-or-later"]
+    assert licence_names(" ".join(GPL.split())) == ["GPL-3.0-or-later"]
+    assert licence_names("MIT License\n" + MIT.replace("\n\n", "\n")) == ["MIT"]
+    # Lines with names of their own stay apart.
+    assert licence_names("GNU General Public License\nMozilla Public License version 2.0\nApache License 2.0") == ["GPL", "MPL-2.0", "Apache-2.0"]
+    assert licence_names("SPDX-License-Identifier: MIT\nCopyright 2020 Someone\nCC BY 4.0") == ["MIT", "CC-BY-4.0"]
+
+
 def test_licence_rows_match_one_by_one(spark, hard):
     for docs in (hard, documents(spark)):
         want = sorted(json.dumps(licenses.match_licences(licenses.name_sentences(r["text"] or ""))) for r in docs.select("text").collect())

@@ -1,6 +1,7 @@
 """Licences named in texts, by rules over sentences.
 
-Texts are cut into sentences, sentences are normalised and matched against sentence
+Texts are cut into sentences at full stops and line breaks, and a rule may also reach over single line breaks
+(with comment marks) of a wrapped sentence. Sentences are normalised and matched against sentence
 rules in order (the first that fits names the sentence), and the sequence of names of a
 text is matched against licence rules in order: a rule takes its names where they
 follow each other with nothing but filler between, takes them out, and the next rule looks at
@@ -10,6 +11,7 @@ the rest. Names that no rule takes are reported as unknown.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -77,10 +79,23 @@ RULES = (
     (("publicdomain",), "Public-Domain"),
     (("proprietary",), "Proprietary"),
 )
-#: A text without any of these words holds no sentence that a rule knows.
-HINT = re.compile(r"licen[sc]|copyright|\(c\)|redistribution|public domain|all rights|permission is hereby|confidential|substantial portions|as[- ]is|later version|contributors|endorse", re.I)
+_GAP = r"[^a-z0-9()+]+"  # what becomes one space, dots included
+#: A text without any of these words holds no sentence that a rule knows: every rule needs one of them.
+HINT = re.compile(
+    r"licen[sc]|copyright|\(c\)|redistribution|confidential|contributors|endorse"
+    r"|(?<![a-z0-9])(?:cc|bsd)(?![a-z0-9])"
+    + "".join("|" + _GAP.join(words.split()) for words in (
+        "creative commons", "public domain", "all rights", "permission is hereby", "substantial portions", "as is", "later version"
+    )),
+    re.I,
+)
 _SENTENCE = re.compile(r"(?:[^.!?\n]|[.!?](?=[^\s]))+[.!?]?")
+#: Rules that name a whole line only.
+ANCHORED = frozenset({"spdx", "copyright"})
+#: Version rules that a sentence's "any later version" goes with.
+VERSIONS = frozenset({"lgplver", "agplver", "gplver"})
 _MARKUP = re.compile(r"[^a-z0-9.()+]+")
+_WORD = re.compile(r"[a-zA-Z0-9]")
 _NUMBER = re.compile(r"(?<=\d)\.(?=\d)")
 
 Found = tuple[str, dict[str, str], int, int]
@@ -92,20 +107,88 @@ def normalised(sentence: str) -> str:
     return " ".join(_MARKUP.sub(" ", text.replace(".", " ")).split())
 
 
+def _named(plain: str) -> list[tuple[int, re.Match]]:
+    """The first rule that fits, and an "any later version" behind a version."""
+    for rank, (name, pattern) in enumerate(SENTENCES):
+        if hit := pattern.search(plain):
+            if name in VERSIONS and (later := _LATER[1].search(plain, hit.end())):
+                return [(rank, hit), (_LATER[0], later)]
+            return [(rank, hit)]
+    return []
+
+
+_LATER = next((rank, pattern) for rank, (name, pattern) in enumerate(SENTENCES) if name == "orlater")
+_MENTION = next(rank for rank, (name, _) in enumerate(SENTENCES) if name == "mention")
+
+
+def _wrapped(lines: list[tuple[str, int, int]]) -> list[Found]:
+    """The names in the lines of one sentence: each line's own, and those of rules that reach over line breaks.
+
+    A rule that reaches over a line break is not taken where a later line has a name of its own inside it, and
+    takes the place of a weaker name of its first line.
+    """
+    own = [_named(plain) for plain, *_ in lines]  # (rule, match within the line)
+    starts, total = [], 0
+    for plain, *_ in lines:
+        starts.append(total)
+        total += len(plain) + 1
+    hits = [(rank, starts[i] + h.start(), starts[i] + h.end(), i, i, h) for i, names in enumerate(own) for rank, h in names]
+    if len(lines) > 1:
+        whole = " ".join(plain for plain, *_ in lines)
+        # Searched from one name to the next, so that a long text without full stops is gone through once.
+        fixed = sorted((k for k in hits if k[0] != _MENTION), key=lambda k: k[1])
+        edges = [0, *(k[1] for k in fixed), len(whole)]
+        begins = [0, *(max(starts[k[3]], before) for k, before in zip(fixed, [0, *(k[2] for k in fixed)]))]
+        by_line: dict[int, list] = {}
+        for k in hits:
+            by_line.setdefault(k[3], []).append(k)
+        gone, added = set(), []
+        for begin, end in zip(begins, edges[1:]):
+            if bisect_right(starts, begin) == bisect_right(starts, end - 1) or not HINT.search(whole, begin, end):
+                continue
+            taken: list[tuple[int, int]] = []
+            for rank, (name, pattern) in enumerate(SENTENCES):
+                if name in ANCHORED:
+                    continue
+                for h in pattern.finditer(whole, begin, end):
+                    a, b = (bisect_right(starts, at) - 1 for at in (h.start(), h.end() - 1))
+                    if a == b or any(x < h.end() and h.start() < y for x, y in taken):
+                        continue
+                    inside = [k for i in range(a, b + 1) for k in by_line.get(i, ()) if k[1] < h.end() and h.start() < k[2]]
+                    if any(k[3] > a and k[0] != _MENTION or k[0] <= rank for k in inside):
+                        continue
+                    taken.append(h.span())
+                    # Weaker names of the first line go, as the first rule that fits names a sentence.
+                    gone.update(inside, (k for k in by_line.get(a, ()) if k[0] > rank and k[2] <= h.start()))
+                    added.append((rank, *h.span(), a, b, h))
+        hits = [k for k in hits if k not in gone] + added
+    hits.sort(key=lambda k: (k[1], k[2]))
+    return [(SENTENCES[k[0]][0], {n: v for n, v in k[5].groupdict().items() if v}, lines[k[3]][1], lines[k[4]][2]) for k in hits]
+
+
 def name_sentences(text: str) -> list[Found]:
-    """(name, named parts, start, stop) of the sentences that a rule knows, in order."""
+    """(name, named parts, start, stop) of the sentences that a rule knows, in order.
+
+    A line break alone does not end a sentence; a full stop and a line without words do.
+    """
     if not HINT.search(text):
         return []
-    found = []
+    found: list[Found] = []
+    group: list[re.Match] = []
+
+    def close() -> None:
+        if group and HINT.search(text, group[0].start(), group[-1].end()):
+            found.extend(_wrapped([(normalised(m[0]), *m.span()) for m in group]))
+        group.clear()
+
     for match in _SENTENCE.finditer(text):
-        if not HINT.search(match[0]):
-            continue
-        plain = normalised(match[0])
-        for name, pattern in SENTENCES:
-            if hit := pattern.search(plain):
-                parts = {k: v for k, v in hit.groupdict().items() if v}
-                found.append((name, parts, match.start(), match.end()))
-                break
+        if group and (match.start() - group[-1].end() != 1 or text[group[-1].end()] != "\n" or group[-1][0][-1] in ".!?"):
+            close()
+        if _WORD.search(match[0]):
+            group.append(match)
+        else:
+            close()
+    close()
     return found
 
 
