@@ -13,7 +13,9 @@ smallest byte to the largest for the suffixes larger than their successor, then
 each tuple induces that of the suffix one byte longer, whose common prefix is one more than the least of
 those passed since the last of its bucket. The sorted seeds (local minima) come from an induction without
 prefixes, which sorts the strings between seeds, and the reduced string of their names, ordered by rank
-doubling. Memory holds a shard's bytes and flags (mapped files beyond the budget) and one chunk of tuples.
+doubling. Bytes, flags and queues move to mapped files or disk beyond the budget, but memory is not bounded:
+a task holds its contexts as Python objects until all have come, a copy of its text, seeds with their ranks and orders,
+and the tuples of one first byte. All different contexts of a key meet in one task.
 """
 
 from __future__ import annotations
