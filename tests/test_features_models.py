@@ -176,3 +176,30 @@ def test_single_class(spark):
     df = spark.createDataFrame([(1, "x"), (2, "x")], "a int, status string")
     row = models.benchmark(df, "status").first()
     assert (row["baseline_score"], row["model_aware_score"], row["lift"]) == (100.0, 100.0, 0.0)
+
+
+def test_registered_models_run_the_defaults(monkeypatch):
+    import inspect
+
+    from tidyspark.operators import models as library
+    from tidyspark.queries import models as registered
+
+    calls = []
+    shape = inspect.signature(library.benchmark)
+
+    class Frame:
+        def __getattr__(self, name):
+            return lambda *a, **b: self
+
+    def called(*a, **b):
+        bound = shape.bind(*a, **b)
+        bound.apply_defaults()
+        calls.append((bound.arguments["rounds"], bound.arguments["depth"]))
+        return Frame()
+
+    monkeypatch.setattr(library, "benchmark", called)
+    monkeypatch.setattr(registered, "table", lambda *a: Frame())
+    monkeypatch.setattr(registered, "reduce", lambda f, xs: xs)
+    for name in ("model_rf", "model_gbt", "model_lift"):
+        getattr(registered, name)(None, "")
+    assert len(calls) == 2 + len(library.FAMILIES) and set(calls) == {(library.BOOST_ROUNDS, library.FOREST_DEPTH)}
