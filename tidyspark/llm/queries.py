@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidyspark.llm import bagminhash, bpe, chat, content_sort, licenses, mixing, neighbours, secret_scan, suffix, toxicity
+from tidyspark.llm import (
+    bagminhash, bpe, chat, content_sort, hard_negatives, licenses, mixing, neighbours, secret_scan, suffix, toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,11 +106,31 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
+
+
+OP11_SQL = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, e.vec_id, a.label = e.label AS same, list_dot_product(a.v, e.v)::BIGINT AS score
+  FROM e AS a JOIN e ON a.vec_id <> e.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, vec_id, score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+  row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_licenses, op2_mixing, op3_content_sort, op4_byte_bpe, op5_secrets, op6_neighbours, op7_toxicity, op8_chat,
-        op9_bagminhash, op10_suffix,
+        op9_bagminhash, op10_suffix, op11_slots,
     )
 }
-ORACLES: dict[str, str] = {"op3_content_sort": OP3_SQL.strip()}
+ORACLES: dict[str, str] = {"op3_content_sort": OP3_SQL.strip(), "op11_slots": OP11_SQL.strip()}
