@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,3 +50,47 @@ def small_batches(
 
 def list_array(values, offsets, kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
+
+
+class Bitmap:
+    """Hashes as single bits: a test may say yes to a hash that was not put in, never no to one that was. It takes
+    ``MOST_BITS`` bits at most, whatever the number of hashes, and is built by Spark in slices."""
+
+    LEAST_BITS, MOST_BITS, EACH = 1 << 20, 1 << 30, 16
+
+    def __init__(self, shared: Broadcast, mask: int):
+        self.shared, self.mask = shared, mask
+
+    @classmethod
+    def of(cls, df: DataFrame, hashed: Column) -> Bitmap:
+        """The bitmap of a column of longs; negative ones count by their lower bits."""
+        rows = df.select(hashed.alias("h"))
+        bits = min(cls.MOST_BITS, max(cls.LEAST_BITS, 1 << (cls.EACH * rows.count()).bit_length()))
+        place = F.col("h").bitwiseAND(F.lit(bits - 1)) + 1
+        slices = rows.groupBy(F.bitmap_bucket_number(place).alias("slice")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+        )
+        held = np.zeros(bits // 8, np.uint8)
+        for row in slices.collect():  # an eighth of MOST_BITS bytes in all
+            part = np.frombuffer(row["bits"], np.uint8)
+            held[(row["slice"] - 1) * len(part) :][: len(part)] = part
+        return cls(df.sparkSession.sparkContext.broadcast(held), bits - 1)
+
+    def holds(self, hashed: np.ndarray) -> np.ndarray:
+        place = hashed.view(np.int64) & np.int64(self.mask)
+        return (self.shared.value[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+
+
+#: Keys with more than this share of all rows are joined by broadcast; there can be no more of them than its inverse.
+HOT_SHARE = 1_000
+
+
+def join_with_hot(rows: DataFrame, told: DataFrame, key: str, copies: str) -> DataFrame:
+    """Left join of ``rows`` with one row per key; ``copies`` says how many of ``rows`` each key has. Rows of frequent keys
+    are not shuffled."""
+    total = told.agg(F.sum(copies)).first()[0] or 0
+    hot = told.filter(F.col(copies) * HOT_SHARE > F.lit(total))
+    near = rows.join(F.broadcast(hot), key)
+    far = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    far = far.join(told.filter(F.col(copies) * HOT_SHARE <= F.lit(total)), key, "left")
+    return near.unionByName(far).drop(copies)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidyspark.llm import (
-    bagminhash, bpe, chat, content_sort, hard_negatives, licenses, mixing, neighbours, secret_scan, suffix, toxicity,
+    bagminhash, bpe, chat, content_sort, hard_negatives, licenses, mixing, neighbours, ngram_join, secret_scan, suffix, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,11 +126,33 @@ SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_scor
 """
 
 
+def op12_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_join(_table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [words]
+    ELSE list_transform(range(1, len(words) - 1), lambda i: words[i : i + 2]) END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n_shingles FROM s GROUP BY doc_id),
+l AS (SELECT a.doc_id AS x, b.doc_id AS y FROM s AS a JOIN s AS b USING (shingle) JOIN n AS na ON na.doc_id = a.doc_id
+  JOIN n AS nb ON nb.doc_id = b.doc_id WHERE a.doc_id <> b.doc_id GROUP BY x, y, na.n_shingles, nb.n_shingles
+  HAVING 100 * count(*) >= 90 * (na.n_shingles + nb.n_shingles - count(*))),
+r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y)
+SELECT doc_id, coalesce(n_shingles, 0) AS n_shingles, (SELECT min(y) FROM r WHERE r.x = d.doc_id) AS component_id,
+  (SELECT count(*) FROM l WHERE l.x = d.doc_id) AS n_links
+FROM documents AS d LEFT JOIN n USING (doc_id)
+"""
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_licenses, op2_mixing, op3_content_sort, op4_byte_bpe, op5_secrets, op6_neighbours, op7_toxicity, op8_chat,
-        op9_bagminhash, op10_suffix, op11_slots,
+        op9_bagminhash, op10_suffix, op11_slots, op12_combinations,
     )
 }
-ORACLES: dict[str, str] = {"op3_content_sort": OP3_SQL.strip(), "op11_slots": OP11_SQL.strip()}
+ORACLES: dict[str, str] = {
+    "op3_content_sort": OP3_SQL.strip(), "op11_slots": OP11_SQL.strip(), "op12_combinations": OP12_SQL.strip(),
+}
