@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidyspark.llm import (
-    bagminhash, bpe, chat, content_sort, hard_negatives, licenses, mixing, neighbours, ngram_join, secret_scan, suffix, toxicity,
+    bagminhash, bpe, chat, collocations, content_sort, hard_negatives, licenses, mixing, neighbours, ngram_join, secret_scan, suffix, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,13 +146,41 @@ FROM documents AS d LEFT JOIN n USING (doc_id)
 """
 
 
+def op13_stripes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+g AS (SELECT lang, unnest(flatten(list_transform([1, 2, 3, 4], lambda m: list_transform(range(1, len(words) - m + 2),
+    lambda i: words[i : i + m - 1])))) AS ws FROM w),
+f AS (SELECT lang, ws, count(*) AS f FROM g GROUP BY lang, ws),
+n AS (SELECT lang, sum(len(words))::BIGINT AS n FROM w GROUP BY lang),
+c AS (SELECT lang, ws, f AS a FROM f WHERE len(ws) >= 2 AND f >= 30),
+k AS (SELECT lang, ws, a, unnest(range(1, len(ws))) AS k FROM c),
+s AS (SELECT k.lang, k.ws, k.a, k, x.f AS l, y.f AS r, ((2000000::HUGEINT * k.a) // (x.f + y.f))::BIGINT AS score
+  FROM k JOIN f AS x ON x.lang = k.lang AND x.ws = k.ws[1:k] JOIN f AS y ON y.lang = k.lang AND y.ws = k.ws[k + 1:]
+  QUALIFY row_number() OVER (PARTITION BY k.lang, k.ws ORDER BY score, k) = 1),
+o AS (SELECT lang, a, unnest(list_concat([ws[1:2], ws[2:3]], CASE WHEN len(ws) = 4 THEN [ws[3:4], ws[1:3], ws[2:4]] ELSE [] END)) AS ws
+  FROM c WHERE len(ws) > 2),
+b AS (SELECT lang, ws, max(a) AS best FROM o GROUP BY lang, ws),
+e AS (SELECT s.lang, array_to_string(s.ws, ' ') AS phrase, s.a, l, r, score FROM s LEFT JOIN b ON b.lang = s.lang AND b.ws = s.ws
+  WHERE best IS NULL OR 100 * best < 80 * s.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM e JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_licenses, op2_mixing, op3_content_sort, op4_byte_bpe, op5_secrets, op6_neighbours, op7_toxicity, op8_chat,
-        op9_bagminhash, op10_suffix, op11_slots, op12_combinations,
+        op9_bagminhash, op10_suffix, op11_slots, op12_combinations, op13_stripes,
     )
 }
 ORACLES: dict[str, str] = {
     "op3_content_sort": OP3_SQL.strip(), "op11_slots": OP11_SQL.strip(), "op12_combinations": OP12_SQL.strip(),
+    "op13_stripes": OP13_SQL.strip(),
 }
