@@ -19,12 +19,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidyspark.llm import words as w
-from tidyspark.llm.common import Bitmap, list_array, small_batches, stored
-from tidyspark.operators.keyed import look_up
+from tidyspark.llm.common import Bitmap, join_with_hot, list_array, small_batches, stored
 
 LEAST, LONGEST, SUBSUMED, TOP = 30, 4, 80, 2_000
 SCALE = 2_000_000
@@ -206,12 +206,60 @@ def _level(source: DataFrame, size: int, seed: int, frequent: Bitmap, hot: np.nd
         yield from packed(held.emit())
 
     stripes = source.mapInArrow(run, "lang string, prefix array<bigint>, shard int, nexts array<bigint>, counts array<bigint>")
-    dealt = stripes.repartition("lang", "prefix", "shard")
-    entries = dealt.select("lang", "prefix", "shard", F.inline(F.arrays_zip(F.col("nexts").alias("next"), F.col("counts").alias("c"))))
-    keys = ("lang", "prefix", "shard")
-    merged = entries.groupBy(*keys, "next").agg(F.sum("c").alias("c"))  # the stripes are together: no further shuffle
-    kept = F.when((F.col("c") >= least) & (F.col("next") != REST), F.struct("next", "c"))
-    return merged.groupBy(*keys).agg(F.sum("c").alias("total"), F.collect_list(kept).alias("counter"))
+    dealt = stripes.repartition("lang", "prefix", "shard").sortWithinPartitions("lang", "prefix", "shard")
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows of a stripe follow each other; the last one of a batch may go on in the next.
+        open_: tuple | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(c) for c in ("lang", "prefix", "shard", "nexts", "counts")]
+            rows = (
+                np.array(columns[0].to_pylist(), object), columns[1].flatten().to_numpy().reshape(-1, size),
+                columns[2].to_numpy(), pc.list_value_length(columns[3]).to_numpy(),
+            )
+            entries = tuple(c.flatten().to_numpy() for c in columns[3:])
+            if open_:
+                rows, entries = (tuple(np.concatenate(x) for x in zip(a, b)) for a, b in zip(open_, (rows, entries)))
+            rows, entries = merged_stripes(rows, entries)
+            last = int(rows[3][-1])
+            open_ = tuple(c[-1:] for c in rows), tuple(c[len(c) - last :] for c in entries)
+            yield counted(tuple(c[:-1] for c in rows), tuple(c[: len(c) - last] for c in entries), least)
+        if open_:
+            yield counted(*open_, least)
+
+    kind = "lang string, prefix array<bigint>, shard int, total bigint, counter array<struct<next: bigint, c: bigint>>"
+    return dealt.mapInArrow(merge, kind)
+
+
+def merged_stripes(rows: tuple, entries: tuple) -> tuple[tuple, tuple]:
+    """Elementwise sums of neighbouring equal stripes. Rows are (lang, prefix, shard, entries of the row), entries (next, count)."""
+    lang, prefix, shard, lengths = rows
+    new = _differs([lang, shard, *prefix.T])
+    stripe = np.repeat(np.cumsum(new) - 1, lengths)
+    order = np.lexsort((entries[0], stripe))
+    stripe, following = stripe[order], entries[0][order]
+    at = np.flatnonzero(_differs([stripe, following]))
+    counts = np.add.reduceat(entries[1][order], at)
+    return (lang[new], prefix[new], shard[new], np.bincount(stripe[at], minlength=new.sum())), (following[at], counts)
+
+
+def counted(rows: tuple, entries: tuple, least: int) -> pa.RecordBatch:
+    """Stripes as rows: their sum, and a counter of the next words that are frequent."""
+    lang, prefix, shard, lengths = rows
+    following, counts = entries
+    ends = np.cumsum(lengths)
+    sums = np.append(0, np.cumsum(counts))
+    kept = (counts >= least) & (following != REST)
+    held = np.append(0, np.cumsum(kept))
+    counter = pa.StructArray.from_arrays([pa.array(following[kept]), pa.array(counts[kept])], ["next", "c"])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(lang, pa.string()), list_array(prefix.ravel(), np.arange(len(lang) + 1) * prefix.shape[1], pa.int64()),
+         pa.array(shard, pa.int32()), pa.array(sums[ends] - sums[ends - lengths]),
+         pa.ListArray.from_arrays(pa.array(np.append(0, held[ends]), pa.int32()), counter)],
+        ["lang", "prefix", "shard", "total", "counter"],
+    )
 
 
 def _phrases(stripes: DataFrame) -> DataFrame:
@@ -267,7 +315,9 @@ def collocations(
     vocabulary, stripes = stripes_of(_source(docs, text_col, lang_col), least, longest)
     phrases = stored(_phrases(stripes), "phrases")
     totals = stored(
-        stripes.groupBy("lang", "prefix").agg(F.sum("total").alias("total"), F.max(F.array_max("counter.c")).alias("best")), "totals"
+        stripes.groupBy("lang", "prefix").agg(F.sum("total").alias("total"), F.max(F.array_max("counter.c")).alias("best")).filter(
+            F.col("total") >= least
+        ), "totals",
     )
     # Longer candidates around a phrase: by its own stripe on the right, by counters that end with it on the left.
     around = totals.filter("best IS NOT NULL").select("lang", F.col("prefix").alias("phrase"), "best").union(
@@ -281,15 +331,14 @@ def collocations(
     cuts = kept.withColumn("k", F.explode(F.sequence(F.lit(1), F.size("phrase") - 1)))
     for name, part in (("l", F.slice("phrase", F.lit(1), F.col("k"))), ("r", F.slice("phrase", F.col("k") + 1, F.lit(longest)))):
         cuts = cuts.withColumn("part", F.struct("lang", part.alias("prefix")))
-        cuts = look_up(cuts, parts, "part", ["lang", "phrase", "k"], how="inner").withColumnRenamed("total", name).drop("part")
+        cuts = stored(join_with_hot(cuts, parts, "part", how="inner").withColumnRenamed("total", name).drop("part"), "cuts")
     score = F.expr(f"CAST({SCALE} * {wide('a')} AS DECIMAL(38,0)) DIV ({wide('l')} + {wide('r')})")
     cuts = cuts.withColumn("score", score.cast("bigint"))
     best = cuts.groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     scored = stored(best.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score"), "scored")
     names = vocabulary.filter(F.col("c") >= least).select("next", "word").distinct()
-    spelled = look_up(
-        scored.select("lang", "phrase", F.posexplode("phrase").alias("place", "next")), names, "next", ["lang", "phrase"], how="inner"
-    ).groupBy("lang", "phrase").agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("words"))
+    letters = scored.select("lang", "phrase", F.posexplode("phrase").alias("place", "next"))
+    spelled = join_with_hot(letters, names, "next", how="inner").groupBy("lang", "phrase").agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("words"))
     named = scored.join(spelled, ["lang", "phrase"]).withColumn("phrase", F.concat_ws(" ", "words.word"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = named.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)

@@ -85,12 +85,13 @@ class Bitmap:
 HOT_SHARE = 1_000
 
 
-def join_with_hot(rows: DataFrame, told: DataFrame, key: str, copies: str) -> DataFrame:
-    """Left join of ``rows`` with one row per key; ``copies`` says how many of ``rows`` each key has. Rows of frequent keys
-    are not shuffled."""
-    total = told.agg(F.sum(copies)).first()[0] or 0
-    hot = told.filter(F.col(copies) * HOT_SHARE > F.lit(total))
+def join_with_hot(rows: DataFrame, told: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Join of ``rows`` with one row per key. The entries of frequent keys are broadcast, and their rows are not shuffled."""
+    counts = rows.filter(F.col(key).isNotNull()).groupBy(key).count()
+    total = rows.count()
+    frequent = stored(counts.filter(F.col("count") * HOT_SHARE > total).select(key), "frequent")
+    hot = told.join(F.broadcast(frequent), key, "left_semi")
     near = rows.join(F.broadcast(hot), key)
-    far = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
-    far = far.join(told.filter(F.col(copies) * HOT_SHARE <= F.lit(total)), key, "left")
-    return near.unionByName(far).drop(copies)
+    # Frequent keys without an entry go the other way, where they meet nothing.
+    far = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(told, key, how)
+    return near.unionByName(far)
