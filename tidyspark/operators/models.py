@@ -31,6 +31,7 @@ FALLBACK = "random_forest"
 TRAIN_SHARE = 80  # percent of rows
 # Forests grow as deep as MLlib allows.
 FOREST_DEPTH = 30
+FOREST_MEMORY_MB = 512
 BOOST_ROUNDS = 100
 
 CLASSIFICATION, REGRESSION = "classification", "regression"
@@ -91,15 +92,16 @@ class Problem:
     test_rows: int
 
 
-def pose(df: DataFrame, target: str) -> Problem:
-    """Choose features, turn the target into a label, split by row hash.
+def pose(df: DataFrame, target: str, split: str | None = None) -> Problem:
+    """Choose features, turn the target into a label, split by row hash. A column ``split`` is no feature and is
+    kept for a caller who splits otherwise.
 
     The split depends on the row alone: it repeats exactly, and copies of a row
     fall on the same side. Class labels are places in a dictionary table of the
     target's values, however many there are.
     """
     task = model_task(df, target)
-    chosen = names.model_features(df.columns, target)
+    chosen = names.model_features([c for c in df.columns if c != split], target)
     numeric = [c for c in chosen if names.is_numeric(df.schema[c]) or names.is_boolean(df.schema[c])]
     textual = [c for c in chosen if names.is_text(df.schema[c])]
     value = F.col(f"`{target}`")
@@ -119,6 +121,7 @@ def pose(df: DataFrame, target: str) -> Problem:
         *[F.col(f"`{c}`") for c in textual],
         label.alias("label"),
         (bucket < TRAIN_SHARE).alias("training"),
+        *([F.col(f"`{split}`")] if split else []),
     )
     data = cut_lineage(data)
     cores = df.sparkSession.sparkContext.defaultParallelism
@@ -183,7 +186,10 @@ def _learner(family: str, task: str, classes: int, rows: int, rounds: int, depth
         boosted = GBTClassifier(maxIter=rounds, seed=SEED)
         return boosted if classes <= 2 else OneVsRest(classifier=boosted, parallelism=min(classes, 4))
     forest = RandomForestClassifier if task == CLASSIFICATION else RandomForestRegressor
-    return forest(numTrees=FOREST_TREES, seed=SEED, maxDepth=depth)
+    # Rows keep the nodes they have reached, so tasks need not be sent the trees; groups of nodes are as large as memory allows.
+    return forest(
+        numTrees=FOREST_TREES, seed=SEED, maxDepth=depth, cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=FOREST_MEMORY_MB
+    )
 
 
 def _predict_with_learner(problem: Problem, prepared: DataFrame, family: str, rounds: int, depth: int) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidyspark.functions import text
 from tidyspark.operators.facts import FIELD_LIMIT
+from tidyspark.sources.records import read_broken_csv
 
 # ---- fixed values ---------------------------------------------------------
 # What a delimited file's values may look like, padding included.
@@ -72,13 +73,15 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None, **o
     """CSV with a header. Missing-value words become NULL and types are promoted;
     date text stays text.
 
-    Files are split over tasks unless a quoted value holds a line break; then
-    each file is read by one task. Pass ``multi_line`` to skip that check.
+    Files are split over tasks. Where a quoted value holds a line break, records are put together from
+    lines of all blocks (``records``). Pass ``multi_line`` to skip that check: if true, each
+    file is read whole by one task.
     """
-    if multi_line is None:
-        multi_line = has_broken_lines(spark, path)
-    settings = {"header": "true", "escape": '"', "multiLine": str(multi_line).lower(), **options}
-    raw = spark.read.options(**settings).csv(path)
+    if multi_line is None and has_broken_lines(spark, path):
+        raw = read_broken_csv(spark, path, **options)
+    else:
+        settings = {"header": "true", "escape": '"', "multiLine": str(bool(multi_line)).lower(), **options}
+        raw = spark.read.options(**settings).csv(path)
     words = list(text.MISSING_WORDS)
     blanked = raw.select(*[F.when(~F.col(f"`{c}`").isin(words), F.col(f"`{c}`")).alias(c) for c in raw.columns])
     return promote_types(blanked)
