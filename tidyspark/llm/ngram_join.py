@@ -1,7 +1,7 @@
 """Jaccard join of documents on sets of word shingles, by combinations of tokens from extended prefixes.
 
-A token is a shingle's hash. All tokens are put into one order, rarer ones first (by a table of counters of
-fixed size, then by value). Two sets that overlap enough can differ in few tokens only, so a prefix of one
+A token is a shingle's hash. All tokens are put into one order, those of rarer words first (by a table of word
+counters of fixed size, then by value). Two sets that overlap enough can differ in few tokens only, so a prefix of one
 more token than that must hold one that both have. Tokens of short posting lists are indexed alone. Tokens
 of longer lists belong to a class of width k: their combinations of k are indexed instead, and as k - 1 of
 them may be shared without any shared combination, they count k - 1 less and the prefix is extended until
@@ -10,7 +10,7 @@ within a bin; the number of bins follows from the set's size, and sets near a ch
 indexed for both.
 
 Equal sets are one set from the start. Sets that share a key are candidates: the members of a key are compared
-with two hubs, and where they still lie in different components, with each other, after a histogram of their
+with a hub, another one each round, and where they still lie in different components, with each other, after a histogram of their
 tokens has ruled out most pairs (the histograms' distance never exceeds the sets' difference). All
 comparisons are exact. Links are then counted inside the components, block by block.
 """
@@ -25,14 +25,14 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidyspark.llm import words
 from tidyspark.llm.bagminhash import _merged as merged_components
 from tidyspark.llm.bagminhash import components
 from tidyspark.llm.common import Bitmap, join_with_hot, list_array, small_batches, stored, texts
-from tidyspark.operators.keyed import look_up
+from tidyspark.operators.keyed import fits_broadcast, look_up
 
 WORDS, PERCENT = 3, 90
 SPACES = words.byte_set(0x20, *range(0x09, 0x0E))
@@ -44,11 +44,15 @@ WIDTHS = {2: 64, 3: 2_048}
 #: Frequent tokens of a prefix that a bin holds, about.
 BIN_TOKENS = 8
 BUCKETS, PAIR_ROWS, COUNT_ROWS, COUNT_TOKENS = 256, 2_048, 512, 4_096
-HUBS = 2
+#: Rounds of comparisons with one member of each key before all members that are still apart meet.
+HUBS = 6
+#: Rows of at most a hundred bytes that may be broadcast.
+BROADCAST_ROWS = 1 << 19
 
 
-def shingle_sets(values: list[str], size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """(tokens, counts): the distinct tokens of every text, ascending, and how many each text has."""
+def shingle_sets(values: list[str], size: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(tokens, counts, hashed, places): the distinct tokens of every text, ascending, and how many each text has; the hashes
+    of all words, and where among them each token has its words (-1 beyond a short text)."""
     data, ends = words.joined(values, b" ")
     first, length = words.places(data, SPACES)
     hashed = words.hashes(data, first, length)
@@ -61,31 +65,51 @@ def shingle_sets(values: list[str], size: int = WORDS) -> tuple[np.ndarray, np.n
     for j in range(size):
         more = taken > j
         value = np.where(more, words.mixed(value * words.PRIME + hashed[np.minimum(at + j, max(len(hashed) - 1, 0))]), value)
-    order = np.lexsort((value, owner))
+    order = owner_order(owner, value)
     owner, value = owner[order], value[order]
     new = np.ones(len(value), bool)
     new[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
-    return value[new], np.bincount(owner[new], minlength=len(values))
+    places = at[order[new], None] + np.arange(size)
+    places[np.arange(size) >= taken[order[new], None]] = -1
+    return value[new], np.bincount(owner[new], minlength=len(values)), hashed, places
 
 
-def _named_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, list[bytes | None]]]:
-    """Batches with their tokens, counts and each set's name (the first half of its SHA-256, None if it is empty)."""
+def owner_order(owner: np.ndarray, value: np.ndarray, rank: np.ndarray | None = None) -> np.ndarray:
+    """The order by owner, then rank (a byte or two), then value: one sort of their upper bits unless these are not enough."""
+    bits = max(int(owner[-1]).bit_length(), 1) if len(owner) else 1
+    key = owner.astype(np.uint64) << words.U(64 - bits)
+    if rank is not None:
+        key |= rank.astype(np.uint64) << words.U(54 - bits)
+        bits += 10
+    order = np.argsort(key | value >> words.U(bits))
+    ordered, wholly = (key | value >> words.U(bits))[order], value[order]
+    if ((ordered[1:] == ordered[:-1]) & (wholly[1:] != wholly[:-1])).any():
+        return np.lexsort((value, owner) if rank is None else (value, rank, owner))
+    return order
+
+
+def counter_of(hashed: np.ndarray) -> np.ndarray:
+    return (hashed & words.U(COUNTERS - 1)).astype(np.int64)
+
+
+def _named_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(batch, tokens, counts, names, hashed, places); a set's name is the first half of its SHA-256, None if it is empty."""
     for batch in small_batches(batches, "text", BATCH_BYTES):
-        tokens, counts = shingle_sets(batch.column("text").to_pylist())
+        tokens, counts, hashed, places = shingle_sets(batch.column("text").to_pylist())
         ends = np.cumsum(counts)
         names = [hashlib.sha256(tokens[e - n : e].tobytes()).digest()[:16] if n else None for e, n in zip(ends, counts)]
-        yield batch, tokens, counts, names
+        yield batch, tokens, counts, names, hashed, places
 
 
 def _signed(source: DataFrame) -> DataFrame:
-    """(doc_id, set, size) of every row; rows with a ``slice`` hold a part of the task's token counters."""
+    """(doc_id, set, size) of every row; rows with a ``slice`` hold a part of the task's word counters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = ["doc_id", "set", "size", "slice", "counts"]
         kind = total = None
-        for batch, tokens, counts, names in _named_sets(batches):
+        for batch, _, counts, names, hashed, _ in _named_sets(batches):
             kind = batch.schema.field("doc_id").type
-            found = np.bincount((tokens & words.U(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+            found = np.bincount(counter_of(hashed), minlength=COUNTERS)
             total = found if total is None else total + found
             none = batch.num_rows
             yield pa.RecordBatch.from_arrays(
@@ -93,7 +117,7 @@ def _signed(source: DataFrame) -> DataFrame:
                 columns,
             )
         if total is not None:
-            parts = total.reshape(-1, COUNTER_SLICE)
+            parts = total.reshape(-1, COUNTER_SLICE).astype(np.uint32)  # a task's words
             none = len(parts)
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(none, kind), pa.nulls(none, pa.binary()), pa.nulls(none, pa.int64()), pa.array(np.arange(none), pa.int32()),
@@ -112,7 +136,7 @@ def _rarity(signed: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, counts in zip(batch.column("slice").to_pylist(), batch.column("counts")):
-                sums[part] = sums.get(part, 0) + np.frombuffer(counts.as_buffer(), np.int64)
+                sums[part] = sums.get(part, 0) + np.frombuffer(counts.as_buffer(), np.uint32).astype(np.int64)
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["slice", "counts"]
         )
@@ -145,10 +169,10 @@ def _prefixes(source: DataFrame, rarity, percent: int) -> DataFrame:
     least = percent / (100 - percent) if percent < 100 else np.inf
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, tokens, counts, names in _named_sets(batches):
+        for _, tokens, counts, names, hashed, places in _named_sets(batches):
             owner = np.repeat(np.arange(len(counts)), counts)
-            rare = rarity.value[(tokens & words.U(COUNTERS - 1)).astype(np.int64)]
-            order = np.lexsort((tokens, rare, owner))
+            rare = np.append(rarity.value[counter_of(hashed)], np.uint8(0))[places].sum(axis=1)
+            order = owner_order(owner, tokens, rare)
             lengths = np.array([prefix_length(n, percent) if n >= least else 0 for n in counts], np.int64)
             place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
             first = tokens[order][place < lengths[owner]].view(np.int64)
@@ -177,14 +201,16 @@ def _combined(tokens: np.ndarray, k: int) -> np.ndarray:
     return keys
 
 
-def prefix_keys(tokens: np.ndarray, widths: np.ndarray, size: int, percent: int) -> np.ndarray:
-    """The keys of a set: ``tokens`` in the common order, ``widths`` their classes. Two sets that link have one in common."""
+def prefix_keys(tokens: np.ndarray, widths: np.ndarray, size: int, percent: int, repeated: np.ndarray | None = None) -> np.ndarray:
+    """The keys of a set: ``tokens`` in the common order, ``widths`` their classes. Two sets that link have one in common.
+    Tokens alone are keys only if they are ``repeated``, that is, may be in another set's prefix."""
     need = int(errors_allowed(size, percent)) + 1
-    found = []
+    repeated = np.ones(len(tokens), bool) if repeated is None else repeated
+    found = [np.zeros(0, np.uint64)]
     # A linked set is smaller by ``percent`` at most; both are indexed for the bins of the smaller one.
     for level in range(bin_level(-(-percent * size // 100), percent), bin_level(size, percent) + 1):
         if (widths[:need] == 1).all():
-            found.append(words.mixed(tokens[:need] + words.U(1)))
+            found.append(words.mixed(tokens[:need][repeated[:need]] + words.U(1)))
             continue
         bins = np.where(widths > 1, (words.mixed(tokens ^ words.SPREAD2) & words.U((1 << level) - 1)).astype(np.int64), 0)
         group = widths.astype(np.int64) << 40 | bins
@@ -195,22 +221,27 @@ def prefix_keys(tokens: np.ndarray, widths: np.ndarray, size: int, percent: int)
         counted = np.cumsum(nth >= widths - 1)
         end = int(np.searchsorted(counted, need)) + 1
         for g in np.unique(group[:end]):
-            mine, width = tokens[:end][group[:end] == g], int(g >> 40)
-            found.append(words.mixed(mine + words.U(1)) if width == 1 else _combined(mine, width))
+            at, width = np.flatnonzero(group[:end] == g), int(g >> 40)
+            found.append(words.mixed(tokens[at[repeated[at]]] + words.U(1)) if width == 1 else _combined(tokens[at], width))
     return np.unique(np.concatenate(found)).view(np.int64)
 
 
-def _keyed(prefixes: DataFrame, percent: int) -> DataFrame:
-    """(set, size, key): every set under its keys."""
+def _classed(prefixes: DataFrame) -> tuple[DataFrame, Bitmap]:
+    """``prefixes`` with the classes of the frequent tokens among theirs, and a bitmap of the tokens in several of them."""
     width = F.lit(None).cast("int")
     for k, above in sorted(WIDTHS.items()):
         width = F.when(F.col("count") > above, k).otherwise(width)
     every = prefixes.select("set", F.explode("tokens").alias("token"))
-    frequent = every.groupBy("token").count().filter(F.col("count") > min(WIDTHS.values())).select("token", width.alias("width"))
-    frequent = stored(frequent, "frequent")
+    counted = stored(every.groupBy("token").count().filter("count > 1"), "counted")
+    frequent = counted.filter(F.col("count") > min(WIDTHS.values())).select("token", width.alias("width"))
     hits = look_up(every, frequent, "token", ["set"], how="inner").groupBy("set").agg(
         F.collect_list("token").alias("frequent"), F.collect_list("width").alias("widths")
     )
+    return prefixes.join(hits, "set", "left"), Bitmap.of(counted, F.col("token"))
+
+
+def _keyed(classed: DataFrame, percent: int, repeated: Bitmap) -> DataFrame:
+    """(set, size, key): every set under its keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,13 +255,13 @@ def _keyed(prefixes: DataFrame, percent: int) -> DataFrame:
                     at = np.minimum(np.searchsorted(listed, tokens, sorter=order), len(listed) - 1)
                     hit = listed[order[at]] == tokens
                     widths[hit] = wide.values.to_numpy()[order[at[hit]]]
-                keys.append(prefix_keys(tokens, widths, size.as_py(), percent))
+                keys.append(prefix_keys(tokens, widths, size.as_py(), percent, repeated.holds(tokens)))
                 counts.append(len(keys[-1]))
             offsets = np.append(0, np.cumsum(counts, dtype=np.int64))
             arrays = [batch.column("set"), batch.column("size"), list_array(np.concatenate(keys), offsets, pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, ["set", "size", "keys"])
 
-    signed = prefixes.join(hits, "set", "left").mapInArrow(run, "set binary, size bigint, keys array<bigint>")
+    signed = classed.mapInArrow(run, "set binary, size bigint, keys array<bigint>")
     return signed.select("set", "size", F.explode("keys").alias("key"))
 
 
@@ -245,7 +276,7 @@ def _contents(source: DataFrame, wanted: DataFrame) -> DataFrame:
     bitmap = Bitmap.of(wanted, F.conv(F.hex(F.substring("set", 1, 7)), 16, 10).cast("bigint"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, tokens, counts, names in _named_sets(batches):
+        for _, tokens, counts, names, *_ in _named_sets(batches):
             ends = np.cumsum(counts)
             kept = bitmap.holds(np.array([int.from_bytes((name or b"")[:7]) for name in names], np.int64))
             rows = [(name, tokens[e - n : e]) for name, e, n, k in zip(names, ends, counts, kept) if name and k]
@@ -270,8 +301,9 @@ def _verified(pairs: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
                     kept.append(i)
             yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
 
-    sides = pairs.select("a", "b").join(contents.select(F.col("set").alias("a"), F.col("items").alias("x")), "a")
-    sides = sides.join(contents.select(F.col("set").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y")
+    pairs = pairs.select("a", "b")
+    left, right = _with_contents(pairs, "a", contents, "items", "x"), _with_contents(pairs, "b", contents, "items", "y")
+    sides = left.join(right, ["a", "b"]).select("a", "b", "x", "y")
     return sides.mapInArrow(run, "a binary, b binary")
 
 
@@ -344,7 +376,7 @@ def _link_counts(rooted: DataFrame, contents: DataFrame, percent: int) -> DataFr
     two = rooted.filter("n = 2")
     both = two.groupBy("root").agg(F.sum("copies").alias("all"))
     pairs = two.join(both, "root").select("set", (F.col("all") - F.col("copies")).alias("links"))
-    rows = rooted.filter("n > 2").join(contents.select("set", "items"), "set")
+    rows = _with_contents(rooted.filter("n > 2"), "set", contents, "items", "items")
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
         a, b = _sides(block)
@@ -362,6 +394,19 @@ def _link_counts(rooted: DataFrame, contents: DataFrame, percent: int) -> DataFr
     return pairs.union(met.groupBy("set").agg(F.sum("links").alias("links")))
 
 
+def _different(keyed: DataFrame) -> DataFrame:
+    """(key, n, set, size): of the keys that have the same members, by 128 bits of their names, one."""
+    members = [F.bit_xor(F.xxhash64("set", F.lit(i))).alias(f"x{i}") for i in (1, 2)]
+    one = keyed.groupBy("key").agg(F.count("*").alias("n"), *members).groupBy("n", "x1", "x2").agg(F.min("key").alias("key"))
+    return stored(keyed.join(one.filter("n > 1").select("key", "n"), "key"), "keys")
+
+
+def _with_contents(rows: DataFrame, key: str, contents: DataFrame, column: str, name: str) -> DataFrame:
+    """``rows`` with a column of their sets' contents: few rows go to the contents, many meet them by shuffle."""
+    right = contents.select(F.col("set").alias(key), F.col(column).alias(name))
+    return right.join(F.broadcast(rows), key) if fits_broadcast(rows, BROADCAST_ROWS) else rows.join(right, key)
+
+
 def _components(keyed: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
     """(node, root) of the sets that link to others; ``keyed`` has (key, n, set, size)."""
     fits = 100 * F.least("size", "other") >= percent * F.greatest("size", "other")
@@ -370,12 +415,10 @@ def _components(keyed: DataFrame, contents: DataFrame, percent: int) -> DataFram
         members = keyed.withColumn("root", F.col("set")) if roots is None else keyed.join(
             roots, keyed["set"] == roots["node"], "left"
         ).withColumn("root", F.coalesce("root", "set"))
-        # A key is open while its members lie in several components and its hubs have not met them all.
-        members = members.filter(F.col("n") > step + 1)
-        pick = F.struct(F.xxhash64("set"), "set", "size", "root")
-        state = members.groupBy("key").agg(
-            F.min("root").alias("r1"), F.max("root").alias("r2"), (F.max if step else F.min)(pick).alias("hub")
-        ).filter("r1 <> r2")
+        # A key is open while its members lie in several components; two members have met in the first round.
+        members = members.filter(F.col("n") > min(step + 1, 2))
+        pick = F.struct(F.xxhash64("set", F.lit(step)), "set", "size", "root")
+        state = members.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.min(pick).alias("hub")).filter("r1 <> r2")
         open_ = members.join(state.select("key", "hub"), "key")
         if step < HUBS:
             pairs = open_.withColumn("other", F.col("hub.size")).filter("root <> hub.root").filter(fits)
@@ -384,6 +427,8 @@ def _components(keyed: DataFrame, contents: DataFrame, percent: int) -> DataFram
             pairs = _near_in_blocks(open_.select("key", "n", "set", "size", "root"), contents, percent)
         pairs = pairs.distinct() if tested is None else pairs.distinct().join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
+        if roots is not None and pairs.isEmpty():
+            continue
         tested = pairs if tested is None else tested.union(pairs)
         found = stored(_verified(pairs, contents, percent), "alike")
         roots = components(found) if roots is None else merged_components(roots, found)
@@ -407,10 +452,16 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     signed = stored(_signed(source), "sets")
     rows = signed.filter("slice IS NULL").select("doc_id", "set", "size")
     rarity = spark.sparkContext.broadcast(_rarity(signed))  # COUNTERS bytes
-    prefixes = stored(_prefixes(source, rarity, percent), "prefixes")
-    keyed = _keyed(prefixes, percent)
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    keyed = stored(keyed.join(shared, "key"), "keys")
+    classed, repeated = _classed(stored(_prefixes(source, rarity, percent), "prefixes"))
+    keyed = stored(_keyed(classed, percent, repeated), "entries")
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("size").alias("low"), F.max("size").alias("high"))
+    # The two members of a key must be about as large.
+    shared = shared.filter(f"n > 2 OR n = 2 AND 100 * low >= {percent} * high").select("key", "n")
+    keyed = keyed.join(shared, "key")
+    # Members without another of about their size in the key link to none of it.
+    by_size = Window.partitionBy("key").orderBy("size")
+    near = (100 * F.lag("size").over(by_size) >= percent * F.col("size")) | (100 * F.col("size") >= percent * F.lead("size").over(by_size))
+    keyed = _different(stored(keyed.withColumn("near", near).filter("near").drop("near", "n"), "near"))
     contents = stored(_contents(source, keyed.select("set").distinct()), "contents")
     roots = _components(keyed, contents, percent)
     sets = stored(
@@ -424,10 +475,10 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     links = _link_counts(linked.select("set", "root", "n", "copies", "size"), contents, percent)
     told = sets.join(linked.select("set", "component_id"), "set", "left").join(links, "set", "left")
     told = told.filter("copies > 1 OR component_id IS NOT NULL").select(
-        "set", "copies", F.coalesce("component_id", "least").alias("component_id"),
+        "set", F.coalesce("component_id", "least").alias("component_id"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
-    done = join_with_hot(rows, stored(told, "told"), "set", "copies")
+    done = join_with_hot(rows, stored(told, "told"), "set")
     return done.select(
         "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
         F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
