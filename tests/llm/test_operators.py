@@ -118,6 +118,10 @@ def test_bpe_round_trip_and_library(spark, hard):
         done = bpe.decode(bpe.encode(docs, ranks_path()), ranks_path()).collect()
         assert sorted((r["doc_id"] or -1, bytes(r["decoded"]).decode()) for r in done) == source
         assert sorted((r["doc_id"] or -1, r["ids"]) for r in done) == sorted((i, library.encode_ordinary(t)) for i, t in source)
+        both = bpe.round_trip(docs, ranks_path()).collect()
+        assert sorted((r["doc_id"] or -1, r["ids"], bytes(r["decoded"])) for r in both) == sorted(
+            (r["doc_id"] or -1, r["ids"], bytes(r["decoded"])) for r in done
+        )
 
 
 def test_bpe_pieces_of_random_texts():

@@ -27,7 +27,7 @@ from tidyspark.llm.common import list_array, small_batches, texts
 NO_RANK = np.int32(1 << 30)
 #: Widths of the matrices; longer pieces go through the heap.
 WIDTHS = (4, 6, 8, 12, 16, 24, 32, 64, 128, 256)
-BATCH_BYTES = 1 << 22
+BATCH_BYTES = 1 << 20
 LETTER, DIGIT, BLANK, OTHER = range(4)
 # The endings that the splitting pattern sets apart after an apostrophe.
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -377,6 +377,24 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
     return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
 
+def round_trip(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids, decoded): ``encode`` and ``decode`` in one step, with one Python worker and vocabulary a task."""
+    key, shared = _shared(docs.sparkSession, ranks_path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = None
+        for batch in small_batches(batches, "text", BATCH_BYTES):
+            vocabulary = vocabulary or _vocabulary(key, shared)
+            ids, counts = encode_texts(batch.column("text").to_pylist(), vocabulary)
+            ends = np.cumsum(counts)
+            decoded = [vocabulary.decode(ids[end - n : end]).tobytes() for end, n in zip(ends, counts)]
+            arrays = [batch.column("doc_id"), list_array(ids, np.append(0, ends), pa.int32()), pa.array(decoded, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "ids", "decoded"])
+
+    source = texts(docs, id_col, text_col)
+    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded binary")
+
+
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """``encoded`` (doc_id, ids) with ``decoded``, the bytes the ids stand for; null ids are none."""
     key, shared = _shared(encoded.sparkSession, ranks_path)

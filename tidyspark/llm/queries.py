@@ -52,8 +52,7 @@ FROM d WINDOW w AS (PARTITION BY norm ORDER BY n DESC, doc_id)
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = ranks_path()
-    done = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), path), path)
+    done = bpe.round_trip(_table(spark, sf_dir, "documents"), ranks_path())
     return done.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
