@@ -42,10 +42,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, round_trip) of every row: its token ids, and whether they decode to its text."""
-    path = ranks_path()
-    encoded = bpe.encode(docs.select(F.struct("doc_id", F.sha2("text", 256).alias("sha")).alias("doc_id"), "text"), path)
-    decoded = bpe.decode(encoded, path)
-    return decoded.select(
+    named = docs.select(F.struct("doc_id", F.sha2("text", 256).alias("sha")).alias("doc_id"), "text")
+    return bpe.round_trip(named, ranks_path()).select(
         F.col("doc_id.doc_id").alias("doc_id"), F.size("ids").cast("bigint").alias("n_tokens"), "ids",
         (F.coalesce("doc_id.sha", F.sha2(F.lit(""), 256)) == F.sha2("decoded", 256)).alias("round_trip"),
     )
