@@ -1,6 +1,7 @@
 """Cross-validation, the closed-form learner, and records with broken lines."""
 
 import csv
+import json
 import random
 
 import numpy as np
@@ -79,3 +80,30 @@ def test_reader_takes_blocks_for_broken_lines(spark, tmp_path):
     got = readers.read_csv(spark, str(tmp_path / "t.csv"))
     assert sorted(map(tuple, got.collect())) == [(1, "a\nb"), (2, None), (3, "c")]
     assert got.filter(F.col("note").contains("\n")).count() == 1
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+def test_json_arrays_in_many_blocks(spark, tmp_path, indent):
+    rnd = random.Random(8)
+    pieces = ["}", "{", "[", "]", '"', "\\", "\n", "é", ",", "}{", '\\"', "x" * 20, "\\}"]
+    note = lambda: "".join(rnd.choice(pieces) for _ in range(rnd.randrange(8)))
+    rows = [{"k": i, "note": note(), "in": {"a": [{"b": note()}] * (i % 3)}, **({"e": {}} if i == 7 else {})} for i in range(300)]
+    for name in ("one", "two"):
+        (tmp_path / f"{name}.json").write_text(json.dumps(rows, indent=indent, ensure_ascii=False), encoding="utf-8")
+    (tmp_path / "lines.json").write_text("\n".join(json.dumps(r) for r in rows[:50]), encoding="utf-8")
+    (tmp_path / "none.json").write_text(" [ \n] ")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "900")
+    try:
+        assert records.pieces_in_order(spark, str(tmp_path / "one.json")).select("block").distinct().count() > 10
+        got = readers.read_json(spark, str(tmp_path)).select("k", "note", F.to_json("in").alias("in")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    plain = [(r["k"], r["note"], json.dumps(r["in"], ensure_ascii=False, separators=(",", ":"))) for r in rows * 2 + rows[:50]]
+    assert sorted(map(tuple, got)) == sorted(plain)
+
+
+@pytest.mark.parametrize("text", ['[{"a": 1}, 2, {"a": 3}]', '[{"a": 1}, {"a": 2', '[{"a": 1}] x', '[{"a": 1} {"a": 2}]', "[1, 2]"])
+def test_broken_arrays_are_errors(spark, tmp_path, text):
+    (tmp_path / "t.json").write_text(text)
+    with pytest.raises(Exception):
+        readers.read_json(spark, str(tmp_path / "t.json")).collect()

@@ -161,10 +161,54 @@ def test_many_classes_and_categories(spark):
     )
     posed = models.pose(df, "status")
     assert posed.classes == 2000 and posed.data.agg(F.countDistinct("label"), F.max("label")).first()[:] == (2000, 1999.0)
-    assert len(models.prepare(posed, "knn", False).select("vector").first()[0]) == 1 + 149
+    assert len(models.dense(models.prepare(posed, "knn", False)).select("vector").first()[0]) == 1 + 149
     assert models.benchmark(df.drop("status"), "a", "random_forest", depth=5).first()["task"] == "classification"
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 3])
+def test_prepared_vectors_from_a_dictionary(spark, monkeypatch, limit):
+    """Codes, sparse and dense vectors against plain Python, by broadcast and by salted join, without a collect of values."""
+    monkeypatch.setattr(features, "categories", None)
+    words = ["b", None, "é", "a", "Z", "", "b", "b"]
+    rows = [(i, words[i % 8], f"w{i % 5}" if i % 11 else None, float(i % 4), i % 3 > 0) for i in range(88)]
+    rows += [(88, "unseen", "w1", None, False)]
+    data = spark.createDataFrame(rows, "id int, `a.b` string, c string, x double, training boolean").withColumn("label", F.col("id") * 1.0)
+    posed = models.Problem(data, ["x"], ["a.b", "c"], "regression", 0, 59, 30)
+    train = [r for r in rows if r[4]]
+    order = [sorted({r[j] for r in train if r[j] is not None}, key=lambda v: v.encode()) for j in (1, 2)]
+    middle = sorted(r[3] for r in train)
+    middle = (middle[(len(middle) - 1) // 2] + middle[len(middle) // 2]) / 2
+    plain, codes = {}, {}
+    for r in rows:
+        number = middle if r[3] is None else r[3]
+        plain[r[0]] = [number, *[float(r[j + 1] == v) for j in (0, 1) for v in order[j][1:]]]
+        codes[r[0]] = [number, *[float(order[j].index(r[j + 1])) if r[j + 1] in order[j] else -1.0 for j in (0, 1)]]
+    one_hot = models.prepare(posed, "random_forest", False, limit)
+    ordinal = models.prepare(posed, "xgboost", True, limit)
+    for prepared, want in ((one_hot, plain), (ordinal, codes)):
+        assert {int(r["label"]): r["vector"] for r in models.dense(prepared).collect()} == want
+        got = {int(r["label"]): r["features"] for r in models.assembled(prepared).collect()}
+        assert {k: list(v.toArray()) for k, v in got.items()} == want
+    assert max(len(r["features"].indices) for r in models.assembled(one_hot).collect()) <= 3
+
+
+def test_model_on_a_column_of_many_values(spark):
+    """One value a row: no list of values is made, a row stays three entries long."""
+    df = spark.range(60_000).select(
+        F.concat(F.lit("k"), F.col("id")).alias("kind"), (F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 7 * 2.0).alias("total")
+    )
+    posed = models.pose(df, "total")
+    prepared = models.prepare(posed, "logistic_regression", False)
+    assert prepared.select("width").first()[0] > 45_000
+    assert models.assembled(prepared).filter("training").count() == posed.train_rows
+
+
+def test_text_only_and_empty_features(spark):
+    df = spark.createDataFrame([("p" if i % 2 else "q", None if i % 3 else "z", "yes" if i % 2 else "no") for i in range(60)], "u string, v string, status string")
+    row = models.benchmark(df.withColumn("u", F.concat("u", (F.monotonically_increasing_id() % 9).cast("string"))), "status", "logistic_regression").first()
+    assert row["baseline_score"] is None or row["baseline_score"] >= 0
+
+
 def test_regression_and_fallback(spark):
     df = spark.range(400).select((F.col("id") % 17).cast("double").alias("a"), (F.col("id") * 1.0).alias("b"), ((F.col("id") % 17) * 3.0 + 1).alias("total"))
     row = models.benchmark(df, "total", "linear_regression", depth=6).first()

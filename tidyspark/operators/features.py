@@ -91,6 +91,39 @@ def encodable(df: DataFrame, target: str | None) -> list[str]:
     ]
 
 
+def _coded(seen: DataFrame, order: list[Column], limit: int) -> DataFrame:
+    """Add ``code``, the zero-based place of a value among those of its ``name``: one task per name while the
+    dictionary's size is checked to be small, slices of one sort otherwise."""
+    seen = cut_lineage(seen)
+    if fits_broadcast(seen, limit):
+        return seen.withColumn("code", F.row_number().over(Window.partitionBy("name").orderBy(*order)) - 1)
+    numbered = number_rows(seen, [F.col("name"), *order], "position")
+    first = {r["name"]: r["first"] for r in numbered.groupBy("name").agg(F.min("position").alias("first")).collect()}
+    start = F.create_map(*[F.lit(x) for pair in first.items() for x in pair])
+    return numbered.withColumn("code", F.col("position") - start[F.col("name")]).drop("position")
+
+
+def value_codes(df: DataFrame, columns: list[str], limit: int = BROADCAST_ROWS) -> tuple[DataFrame, dict[str, int]]:
+    """A dictionary table (name, value, code) of the text columns' values in UTF-8 byte order, nulls left out, and
+    each column's number of values. The values stay on the cluster; one number per column comes to the driver."""
+    cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").alias("value")) for c in columns])
+    seen = df.select(F.inline(cells)).filter("value IS NOT NULL").distinct()
+    coded = cut_lineage(_coded(seen, [F.col("value")], limit))
+    sizes = {r["name"]: r["count"] for r in coded.groupBy("name").count().collect()}
+    return coded, {c: sizes.get(c, 0) for c in columns}
+
+
+def with_codes(
+    df: DataFrame, codes: DataFrame, named: dict[str, str], spread_by: list[str], limit: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Add the code of each column's value under the name ``named`` gives; -1 for nulls and values not in ``codes``."""
+    for column, name in named.items():
+        own = codes.filter(F.col("name") == column).select(F.col("value").alias("__value"), F.col("code").alias(name))
+        df = look_up(df.withColumn("__value", F.col(f"`{column}`")), own, "__value", spread_by, limit=limit).drop("__value")
+        df = df.withColumn(name, F.coalesce(F.col(name), F.lit(-1)).cast("bigint"))
+    return df
+
+
 def encode_ordinal(
     df: DataFrame, order_by: list[str], target: str | None = None, limit: int = BROADCAST_ROWS
 ) -> DataFrame:
@@ -112,15 +145,7 @@ def encode_ordinal(
         .groupBy("name", "value")
         .agg(F.min("place").alias("place"))
     )
-    seen = cut_lineage(seen)
-    order = [F.col("place"), F.col("value")]
-    if fits_broadcast(seen, limit):
-        ranked = seen.withColumn("code", F.row_number().over(Window.partitionBy("name").orderBy(*order)) - 1)
-    else:
-        numbered = number_rows(seen, [F.col("name"), *order], "position")
-        first = {r["name"]: r["first"] for r in numbered.groupBy("name").agg(F.min("position").alias("first")).collect()}
-        start = F.create_map(*[F.lit(x) for pair in first.items() for x in pair])
-        ranked = numbered.withColumn("code", F.col("position") - start[F.col("name")])
+    ranked = _coded(seen, [F.col("place"), F.col("value")], limit)
     for column in columns:
         codes = ranked.filter(F.col("name") == column).select(
             F.col("value").alias(column), F.col("code").cast("bigint").alias("__code")

@@ -6,17 +6,18 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidyspark.functions import names
 from tidyspark.functions.numbers import round_even
 from tidyspark.operators import facts, features, knn
-from tidyspark.operators.keyed import look_up, number_rows
+from tidyspark.operators.keyed import BROADCAST_ROWS, look_up, number_rows
 from tidyspark.operators.quantiles import quantiles
-from tidyspark.session import cut_lineage
+from tidyspark.session import cut_lineage, scratch_path
 
 # ---- fixed values ---------------------------------------------------------
 FOREST_TREES = 40
@@ -132,25 +133,28 @@ def pose(df: DataFrame, target: str, split: str | None = None) -> Problem:
     return Problem(data, numeric, textual, task, classes, counts.get(True, 0), counts.get(False, 0))
 
 
-def _code(value: Column, ordered: list[str]) -> Column:
-    """Position of a value in a short list, -1 if it is not there."""
-    return F.coalesce(F.array_position(F.array(*[F.lit(v) for v in ordered]), value), F.lit(0)).cast("double") - 1.0
+def prepare(problem: Problem, family: str, aware: bool, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Add ``numbers`` (array), ``slots`` (ascending places of ones after the numbers) and ``width`` (length of the
+    whole vector). Statistics and dictionaries come from the training rows only.
 
-
-def prepare(problem: Problem, family: str, aware: bool) -> DataFrame:
-    """Add a numeric ``vector`` array. Statistics come from the training rows only.
-
-    Plainly: missing numbers to the median, one-hot categories. Model-aware on top
-    of that: clipping and scaling for linear and distance models, ordinal codes
-    instead of one-hot for trees.
+    Plainly: missing numbers to the median, one-hot categories (the first one implied, as are values not trained on).
+    Model-aware on top of that: clipping and scaling for linear and distance models, ordinal codes instead of one-hot
+    for trees. Categories become codes by a join with a dictionary table, so a column may have any number of
+    them: no value passes through the driver and a row holds one slot per text column.
     """
     train = problem.data.filter("training")
-    found = features.categories(train, problem.textual)
     trees = family in ("random_forest", "xgboost")
-    if aware and trees:
-        encoded = [_code(F.col(f"`{c}`"), found[c]) for c in problem.textual]
-    else:
-        encoded = [expression.cast("double") for expression in features.one_hot_columns(found).values()]
+    data, encoded, slots, ones = problem.data, [], [], 0
+    if problem.textual:
+        codes, sizes = features.value_codes(train, problem.textual, limit)
+        coded = {c: f"__code{i}" for i, c in enumerate(problem.textual)}
+        data = features.with_codes(data, codes, coded, ["label", *[f"`{c}`" for c in problem.data.columns]], limit)
+        if aware and trees:
+            encoded = [F.col(c).cast("double") for c in coded.values()]
+        else:
+            for column, code in coded.items():
+                slots.append(F.when(F.col(code) > 0, F.col(code) - 1 + len(problem.numeric) + ones))
+                ones += max(sizes[column] - 1, 0)
 
     points = [0.01, 0.5, 0.99] if aware and not trees else [0.5]
     stats = quantiles(train, {c: points for c in problem.numeric})
@@ -171,7 +175,42 @@ def prepare(problem: Problem, family: str, aware: bool) -> DataFrame:
             r = ranges[i]
             shift, width = (r["low"], r["high"] - r["low"]) if family == "knn" else (r["mean"], r["deviation"])
             numbers[column] = (value - shift) / width if width else F.lit(0.0)
-    return problem.data.select(F.array(*numbers.values(), *encoded).alias("vector"), "label", "training")
+    places = F.array_compact(F.array(*slots)) if slots else F.array()
+    return data.select(
+        F.array(*numbers.values(), *encoded).cast("array<double>").alias("numbers"),
+        places.cast("array<int>").alias("slots"),
+        F.lit(len(numbers) + len(encoded) + ones).alias("width"),
+        "label", "training",
+    )
+
+
+def dense(prepared: DataFrame) -> DataFrame:
+    """Prepared rows with all their features in one array ``vector``, as the neighbour search takes them; its length
+    is the number of features, categories included."""
+    ones = F.transform(
+        F.filter(F.sequence(F.lit(0), F.col("width")), lambda i: (i >= F.size("numbers")) & (i < F.col("width"))),
+        lambda i: F.array_contains("slots", i).cast("double"),
+    )
+    return prepared.select(F.concat("numbers", ones).alias("vector"), "label", "training")
+
+
+def assembled(prepared: DataFrame) -> DataFrame:
+    """Prepared rows with a sparse vector ``features``, written once below the shared folder.
+
+    Learners pass over their rows many times. The fields of a vector are written as plain columns and read
+    back under the vector type, so a row costs what it holds, not the number of categories.
+    """
+    places = F.concat(F.sequence(F.lit(0), F.size("numbers")), F.array(F.lit(0)))
+    places = F.slice(places, F.lit(1), F.size("numbers"))
+    ones = F.transform("slots", lambda _: F.lit(1.0))
+    vector = F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.col("width").alias("size"),
+        F.concat(places, "slots").alias("indices"), F.concat("numbers", ones).alias("values"),
+    )
+    path = scratch_path(prepared.sparkSession, "features")
+    prepared.select(vector.alias("features"), "label", "training").write.parquet(path)
+    schema = StructType().add("features", VectorUDT()).add("label", "double").add("training", "boolean")
+    return prepared.sparkSession.read.schema(schema).parquet(path)
 
 
 def _learner(family: str, task: str, classes: int, rows: int, rounds: int, depth: int):
@@ -193,13 +232,14 @@ def _learner(family: str, task: str, classes: int, rows: int, rounds: int, depth
 
 
 def _predict_with_learner(problem: Problem, prepared: DataFrame, family: str, rounds: int, depth: int) -> DataFrame:
-    assembled = prepared.select(array_to_vector("vector").alias("features"), "label", "training")
+    rows = assembled(prepared)
     learner = _learner(family, problem.task, problem.classes, problem.train_rows, rounds, depth)
-    model = learner.fit(assembled.filter("training"))
-    return model.transform(assembled.filter("NOT training")).select("label", "prediction", F.lit(1).alias("times"))
+    model = learner.fit(rows.filter("training"))
+    return model.transform(rows.filter("NOT training")).select("label", "prediction", F.lit(1).alias("times"))
 
 
 def _predict_with_neighbours(problem: Problem, prepared: DataFrame) -> DataFrame:
+    prepared = dense(prepared)
     # equal test rows are looked up once and counted
     test = prepared.filter("NOT training").groupBy("vector", "label").agg(F.count("*").alias("times"))
     test = cut_lineage(test.withColumn("query", F.monotonically_increasing_id()))

@@ -67,3 +67,20 @@ def scan_csv_broken_lines(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", note.alias("note"), "o_totalprice")
     orders.write.options(header="true", escape='"', ignoreTrailingWhiteSpace="false").csv(path)
     return readers.promote_types(records.read_broken_csv(spark, path))
+
+
+@query(
+    "scan_json_array",
+    """SELECT o_orderkey, o_orderstatus || '}' || chr(10) || '\"' || o_orderpriority || '[{' AS note, o_totalprice FROM orders""",
+)
+def scan_json_array(spark, sf_dir):
+    """Files of one JSON array each, whose texts hold brackets, quotes and line breaks, read in blocks."""
+    note = F.concat("o_orderstatus", F.lit('}\n"'), "o_orderpriority", F.lit("[{"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", note.alias("note"), "o_totalprice")
+    # Ranges of keys are the files; a file ends with its range, so their number grows with the table.
+    arrays = orders.groupBy(F.floor(F.col("o_orderkey") / 50_000).alias("range")).agg(
+        F.to_json(F.collect_list(F.struct(*orders.columns))).alias("value")
+    )
+    path = scratch_path(spark, "array") + ".json"
+    arrays.write.partitionBy("range").text(path)
+    return readers.read_json(spark, path)

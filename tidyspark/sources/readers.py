@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tidyspark.functions import text
 from tidyspark.operators.facts import FIELD_LIMIT
-from tidyspark.sources.records import read_broken_csv
+from tidyspark.session import scratch_path
+from tidyspark.sources import records
 
 # ---- fixed values ---------------------------------------------------------
 # What a delimited file's values may look like, padding included.
@@ -78,7 +79,7 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None, **o
     file is read whole by one task.
     """
     if multi_line is None and has_broken_lines(spark, path):
-        raw = read_broken_csv(spark, path, **options)
+        raw = records.read_broken_csv(spark, path, **options)
     else:
         settings = {"header": "true", "escape": '"', "multiLine": str(bool(multi_line)).lower(), **options}
         raw = spark.read.options(**settings).csv(path)
@@ -90,25 +91,21 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None, **o
 def read_json(spark: SparkSession, path: str) -> DataFrame:
     """JSON records, one per line or as one array, decided for each file of a folder.
 
-    A file of lines is split over tasks; an array has to be read whole by one task, so only
-    files that open with a bracket are read that way. Broken records are an error. Columns
-    that only one kind of file has are missing in the other's records.
+    Both kinds are split over tasks: lines by their ends, arrays by the braces that end their records
+    (``records``), which are first written down line by line. Broken records are an error. Columns
+    that only some records have are missing in the others.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"), F.substring(F.ltrim("value"), 1, 1).alias("mark"),
-    )
-    opening = lines.filter("mark <> ''").groupBy("file").agg(F.min_by("mark", F.struct("block", "line")).alias("mark"))
+    pieces = records.pieces_in_order(spark, path).withColumn("mark", F.regexp_extract("value", r"^\s*(\S)", 1))
+    opening = pieces.filter("mark <> ''").groupBy("file").agg(F.min_by("mark", F.struct("block", "piece")).alias("mark"))
     files: dict[bool, list[str]] = {True: [], False: []}
     for row in opening.collect():  # a row per file, as the listing of the folder itself
         files[row["mark"] == "["].append(unquote(row["file"]))
-
-    def read(array: bool, paths: str | list[str]) -> DataFrame:
-        return spark.read.option("mode", "FAILFAST").option("multiLine", str(array).lower()).json(paths)
-
-    if not files[True] or not files[False]:
-        return read(bool(files[True]), path)
-    return read(False, files[False]).unionByName(read(True, files[True]), allowMissingColumns=True)
+    paths: str | list[str] = path
+    if files[True]:
+        lines = scratch_path(spark, "records")
+        records.array_records(spark, files[True]).select("record").write.text(lines)
+        paths = [*files[False], lines]
+    return spark.read.option("mode", "FAILFAST").json(paths)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

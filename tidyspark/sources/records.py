@@ -1,10 +1,15 @@
-"""Delimited records with line breaks inside quotes, read by many tasks.
+"""Delimited records with line breaks inside quotes, and arrays of JSON records, read by many tasks.
 
-A line end separates records only outside quotes, and whether a line begins inside them depends on all
+Delimited files: a line end separates records only outside quotes, and whether a line begins inside them depends on all
 quotes before it. So lines are read in blocks as any text is; every block counts its quotes, the blocks'
 parities are added up in file order, and each line then knows whether it begins a record: if the quotes
 before it are even. Lines are put together by the number of record starts before them, which may cross
 blocks, and every record is parsed on its own.
+
+Arrays: text is cut behind every closing brace, wherever that stands. A piece turns the state (inside a string
+or not) if its quotes are odd, and changes the depth of brackets by an amount that depends on the state it begins
+in. Both are added up within blocks, then over blocks, one row each. A piece that returns to the array's own depth
+ends a record.
 """
 
 from __future__ import annotations
@@ -75,3 +80,70 @@ def read_broken_csv(spark: SparkSession, path: str, quote: str = '"', **options:
     fields = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
     parsed = found.filter("number > 0").select(F.from_csv("record", fields, settings).alias("row"))
     return parsed.select("row.*")
+
+
+def pieces_in_order(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, block, piece, value): text cut behind its closing braces (left out of ``value``), with places as lines have."""
+    return spark.read.option("lineSep", "}").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("piece"), "value",
+    )
+
+
+def _depth(value: Column, inside: bool) -> Column:
+    """How much a piece, its final brace included, deepens the nesting, if it begins inside a string or not."""
+    text = F.concat(F.lit('"'), value) if inside else value
+    closed = F.regexp_replace(text, '"[^"]*"', "")
+    outside = F.regexp_replace(closed, '".*', "")  # what an unclosed string leaves
+    ends_inside = F.contains(closed, F.lit('"'))
+    opened = F.length(F.regexp_replace(outside, r"[^\[{]", ""))
+    shut = F.length(F.regexp_replace(outside, r"[^\]]", "")) + F.when(ends_inside, 0).otherwise(1)
+    return (opened - shut).cast("bigint")
+
+
+def array_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, number, record): the records of files that hold one JSON array each, as lines of text, numbered from 0.
+
+    Line breaks outside strings become blanks; inside strings JSON allows none. An empty array has no records.
+    Elements other than objects, a file cut short, and text behind the array stay in ``record`` marked so that no
+    parser takes them.
+    """
+    pieces = pieces_in_order(spark, path)
+    # Escaped characters and line breaks decide nothing below.
+    bare = F.regexp_replace("value", r"\\[\s\S]|[\r\n]", "")
+    counted = pieces.select("*", _quotes(bare, '"').alias("quotes"), *[_depth(bare, bool(i)).alias(f"depth{i}") for i in (0, 1)])
+    in_block = Window.partitionBy("file", "block").orderBy("piece")
+    before = F.coalesce(F.sum("quotes").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
+    counted = counted.withColumn("odd", before)
+    # Depth inside the block, if the block begins outside (0) or inside (1) a string.
+    begun = [F.when(F.col("odd") == i, F.col("depth0")).otherwise(F.col("depth1")) for i in (0, 1)]
+    placed = counted.withColumns({f"level{i}": F.sum(b).over(in_block) for i, b in enumerate(begun)})
+    last = [F.max_by(f"level{i}", "piece").alias(f"all{i}") for i in (0, 1)]
+    blocks = placed.groupBy("file", "block").agg((F.sum("quotes") % 2).alias("turns"), F.max("piece").alias("end"), *last)
+    by_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("inside", F.coalesce(F.sum("turns").over(by_file), F.lit(0)) % 2)
+    own = F.when(F.col("inside") == 0, F.col("all0")).otherwise(F.col("all1"))
+    blocks = blocks.withColumn("start", F.coalesce(F.sum(own).over(by_file), F.lit(0)))
+    # No brace follows a file's last piece.
+    following = F.lead("block").over(Window.partitionBy("file").orderBy("block"))
+    blocks = blocks.withColumn("end", F.when(following.isNull(), F.col("end"))).select("file", "block", "inside", "start", "end")
+    level = F.col("start") + F.when(F.col("inside") == 0, F.col("level0")).otherwise(F.col("level1"))
+    outside = (F.col("odd") + F.col("inside") + F.col("quotes")) % 2 == 0
+    known = placed.join(blocks, ["file", "block"]).select(
+        "file", "block", "piece", "value",
+        (outside & (level == 1) & ~F.col("end").eqNullSafe(F.col("piece"))).cast("bigint").alias("ends"),
+    )
+    # A second sum, of the records that ended before.
+    known = known.withColumn("past", F.coalesce(F.sum("ends").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    ended = known.groupBy("file", "block").agg(F.sum("ends").alias("ends"))
+    ended = ended.select("file", "block", F.coalesce(F.sum("ends").over(by_file), F.lit(0)).alias("first"))
+    numbered = known.join(ended, ["file", "block"]).withColumn("number", F.col("first") + F.col("past"))
+    joined = numbered.groupBy("file", "number").agg(
+        F.array_sort(F.collect_list(F.struct("block", "piece", "value"))).alias("pieces"), F.max("ends").alias("whole")
+    )
+    text = F.concat(F.concat_ws("}", F.col("pieces.value")), F.when(F.col("whole") == 1, "}").otherwise(""))
+    text = F.trim(F.translate(text, "\r\n\t", "   "))
+    start = F.when(F.col("number") == 0, F.rlike(text, F.lit(r"^\[ *\{"))).otherwise(F.rlike(text, F.lit(r"^, *\{")))
+    record = F.when(start & (F.col("whole") == 1), F.regexp_replace(text, r"^[\[,] *", "")).otherwise(F.concat(F.lit("!"), text))
+    rest = (F.col("whole") == 0) & F.when(F.col("number") == 0, F.rlike(text, F.lit(r"^\[ *\]$"))).otherwise(text == "]")
+    return joined.filter(~rest).select("file", "number", record.alias("record"))
