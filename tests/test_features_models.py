@@ -247,3 +247,31 @@ def test_registered_models_run_the_defaults(monkeypatch):
     for name in ("model_rf", "model_gbt", "model_lift"):
         getattr(registered, name)(None, "")
     assert len(calls) == 2 + len(library.FAMILIES) and set(calls) == {(library.BOOST_ROUNDS, library.FOREST_DEPTH)}
+
+
+def test_boosting_counts_rows_it_cannot_tell_apart(spark, monkeypatch):
+    """Merged rows give the predictions of the rows themselves, and do not grow with the table."""
+    rng = np.random.default_rng(3)
+    rows = [(float(i % 9), float(rng.integers(12)), "uvw"[i % 3], float(x > 0.3)) for i, x in enumerate(rng.normal(size=900))]
+    df = spark.createDataFrame(rows, "a double, b double, kind string, label double")
+    df = df.withColumn("label", F.when(F.col("a") > 4, 1.0).otherwise(F.col("label"))).withColumn("training", F.col("b") != 5)
+    posed = models.Problem(df, ["a", "b"], ["kind"], "classification", 2, 825, 75)
+    for aware in (False, True):
+        prepared = models.prepare(posed, "xgboost", aware)
+        small, large = models.merged(prepared), models.merged(prepared.unionByName(prepared).unionByName(prepared))
+        assert small.agg(F.sum("times")).first()[0] == 900 and large.agg(F.sum("times")).first()[0] == 2700
+        assert small.count() == large.count() < 650
+        found = []
+        for least in (10**9, 1):
+            monkeypatch.setattr(models, "MERGE_ROWS", least)
+            got = models._predict_with_learner(posed, prepared, "xgboost", 5, 5)
+            found.append(sorted(map(tuple, got.groupBy("label", "prediction").agg(F.sum("times")).collect())))
+        assert found[0] == found[1]
+
+
+def test_merged_numbers_of_many_values(spark):
+    rows = [([float(i), 7.0], [], 2, 0.0, i % 5 > 0) for i in range(1000)]
+    prepared = spark.createDataFrame(rows, "numbers array<double>, slots array<int>, width int, label double, training boolean")
+    got = models.merged(prepared).filter("training").collect()
+    assert sorted(r["numbers"][0] for r in got) == list(range(models.RANGES)) and {r["numbers"][1] for r in got} == {0.0}
+    assert {r["times"] for r in got} == {25}

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -34,6 +36,10 @@ TRAIN_SHARE = 80  # percent of rows
 FOREST_DEPTH = 30
 FOREST_MEMORY_MB = 512
 BOOST_ROUNDS = 100
+# Boosted trees cut a column into this many ranges (MLlib's default).
+RANGES = 32
+# From so many training rows on, rows that boosted trees cannot tell apart are counted.
+MERGE_ROWS = 1_000_000
 
 CLASSIFICATION, REGRESSION = "classification", "regression"
 
@@ -194,8 +200,44 @@ def dense(prepared: DataFrame) -> DataFrame:
     return prepared.select(F.concat("numbers", ones).alias("vector"), "label", "training")
 
 
+def _cuts(train: DataFrame, columns: list[str]) -> dict[str, list[float]]:
+    """Between which values trees may cut each column: all of few values, else exact quantiles of the training rows."""
+    cuts, many = {}, []
+    for column in columns:
+        values = sorted(r[0] for r in train.select(column).distinct().limit(RANGES + 1).collect())
+        if len(values) > RANGES:
+            many.append(column)
+        else:
+            cuts[column] = [(low + high) / 2.0 for low, high in zip(values, values[1:])]
+    points = [i / RANGES for i in range(1, RANGES)]
+    for column, levels in quantiles(train, {c: points for c in many}).items():
+        cuts[column] = sorted(set(levels))
+    return cuts
+
+
+def merged(prepared: DataFrame) -> DataFrame:
+    """Prepared rows with each number replaced by its range and equal rows counted in ``times``.
+
+    Boosted trees only ever see the range of a value, so weighted rows grow the same trees. Their number is bounded
+    by the ranges and categories, not by the table.
+    """
+    prepared = cut_lineage(prepared)
+    first = prepared.select(F.size("numbers")).first()
+    columns = [f"n{i}" for i in range(first[0])] if first else []
+    flat = prepared.select(*[F.col("numbers")[i].alias(c) for i, c in enumerate(columns)], "slots", "width", "label", "training")
+    cuts = _cuts(flat.filter("training"), columns)
+
+    def place(column: str):
+        return F.size(F.filter(F.lit(cuts[column]).cast("array<double>"), lambda cut: cut < F.col(column))).cast("double")
+
+    ranges = [place(c) for c in columns]
+    keys = ["numbers", "slots", "width", "label", "training"]
+    placed = flat.select(F.array(*ranges).cast("array<double>").alias("numbers"), *keys[1:])
+    return placed.groupBy(*keys).agg(F.count("*").alias("times"))
+
+
 def assembled(prepared: DataFrame) -> DataFrame:
-    """Prepared rows with a sparse vector ``features``, written once below the shared folder.
+    """Prepared rows with a sparse vector ``features``, written once below the shared folder; ``times`` is kept.
 
     Learners pass over their rows many times. The fields of a vector are written as plain columns and read
     back under the vector type, so a row costs what it holds, not the number of categories.
@@ -208,8 +250,11 @@ def assembled(prepared: DataFrame) -> DataFrame:
         F.concat(places, "slots").alias("indices"), F.concat("numbers", ones).alias("values"),
     )
     path = scratch_path(prepared.sparkSession, "features")
-    prepared.select(vector.alias("features"), "label", "training").write.parquet(path)
+    times = ["times"] if "times" in prepared.columns else []
+    prepared.select(vector.alias("features"), "label", "training", *times).write.parquet(path)
     schema = StructType().add("features", VectorUDT()).add("label", "double").add("training", "boolean")
+    for column in times:
+        schema = schema.add(column, "long")
     return prepared.sparkSession.read.schema(schema).parquet(path)
 
 
@@ -232,10 +277,14 @@ def _learner(family: str, task: str, classes: int, rows: int, rounds: int, depth
 
 
 def _predict_with_learner(problem: Problem, prepared: DataFrame, family: str, rounds: int, depth: int) -> DataFrame:
-    rows = assembled(prepared)
     learner = _learner(family, problem.task, problem.classes, problem.train_rows, rounds, depth)
+    times = F.lit(1)
+    if family == "xgboost" and problem.train_rows >= MERGE_ROWS:
+        prepared, times = merged(prepared), F.col("times")
+        learner.setWeightCol("times")
+    rows = assembled(prepared)
     model = learner.fit(rows.filter("training"))
-    return model.transform(rows.filter("NOT training")).select("label", "prediction", F.lit(1).alias("times"))
+    return model.transform(rows.filter("NOT training")).select("label", "prediction", times.alias("times"))
 
 
 def _predict_with_neighbours(problem: Problem, prepared: DataFrame) -> DataFrame:
@@ -287,7 +336,11 @@ def benchmark(
     elif not problem.train_rows or not problem.test_rows:
         note = f"not scored: {problem.train_rows} rows to train on, {problem.test_rows} to test on"
     else:
-        plain, aware = (score(problem, family, way, rounds, depth) for way in (False, True))
+        # Boosting and gradient descent are hundreds of short jobs, one after the other: both ways share the executors.
+        # Forests fill them, and their memory, alone.
+        one = inheritable_thread_target(df.sparkSession)(lambda way: score(problem, family, way, rounds, depth))
+        with ThreadPoolExecutor(1 if family == FALLBACK else 2) as pool:
+            plain, aware = pool.map(one, (False, True))
     metric = "F1-Score (Macro)" if problem.task == CLASSIFICATION else "R² Score"
     row = (
         family, column, problem.task, metric, plain, aware, None if plain is None else round(aware - plain, 1),
