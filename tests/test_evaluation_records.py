@@ -107,3 +107,18 @@ def test_broken_arrays_are_errors(spark, tmp_path, text):
     (tmp_path / "t.json").write_text(text)
     with pytest.raises(Exception):
         readers.read_json(spark, str(tmp_path / "t.json")).collect()
+
+
+def test_blocks_are_counted_in_chunks(spark, tmp_path, monkeypatch):
+    """One block of many chunks: records and arrays run over their ends, and no window takes a block whole."""
+    monkeypatch.setattr(records, "CHUNK_BITS", 2)
+    rows = [[str(i), "a\n\"b\",\n\n" * (i % 5) + "z"] for i in range(200)]
+    broken_file(tmp_path / "t.csv", [["k", "note"], *rows])
+    found = records.read_broken_csv(spark, str(tmp_path / "t.csv"))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, rows))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "chunk" in plan and not [w for w in plan.splitlines() if w.strip(" :+-").startswith("Window") and "line#" in w and "chunk" not in w]
+    made = [{"k": i, "note": '}{"[' * (i % 3), "in": [{"b": "}\\"}] * (i % 4)} for i in range(200)]
+    (tmp_path / "t.json").write_text(json.dumps(made))
+    got = readers.read_json(spark, str(tmp_path / "t.json")).select("k", "note", F.to_json("in").alias("in")).collect()
+    assert sorted(map(tuple, got)) == [(r["k"], r["note"], json.dumps(r["in"], separators=(",", ":"))) for r in made]

@@ -2,13 +2,13 @@
 
 Delimited files: a line end separates records only outside quotes, and whether a line begins inside them depends on all
 quotes before it. So lines are read in blocks as any text is; every block counts its quotes, the blocks'
-parities are added up in file order, and each line then knows whether it begins a record: if the quotes
+parities are added up in file order (chunks of a block likewise, so that no task holds a block), and each line then knows whether it begins a record: if the quotes
 before it are even. Lines are put together by the number of record starts before them, which may cross
 blocks, and every record is parsed on its own.
 
 Arrays: text is cut behind every closing brace, wherever that stands. A piece turns the state (inside a string
 or not) if its quotes are odd, and changes the depth of brackets by an amount that depends on the state it begins
-in. Both are added up within blocks, then over blocks, one row each. A piece that returns to the array's own depth
+in. Both are added up within chunks of blocks, then over chunks, one row each. A piece that returns to the array's own depth
 ends a record.
 """
 
@@ -20,6 +20,15 @@ import io
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# Lines or pieces of a block that are counted together: 2 to this power at most.
+CHUNK_BITS = 14
+# A window over them is this many rows at most; a chunk's place is unique in its block.
+PART = ["file", "block", "chunk"]
+
+
+def _chunk(place: str) -> Column:
+    return F.shiftright(place, CHUNK_BITS).alias("chunk")
+
 
 def _quotes(line: Column, quote: str) -> Column:
     return F.length(line) - F.length(F.replace(line, F.lit(quote), F.lit("")))
@@ -36,25 +45,25 @@ def lines_in_order(spark: SparkSession, path: str) -> DataFrame:
 def records(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
     """(file, number, record): the records of each file, numbered from 0; blank lines between records are none.
 
-    Blocks are counted twice from the text and never gathered: what a block passes on is one row, its number of
-    quotes and of record starts for either state it may begin in.
+    Chunks of blocks are counted twice from the text and never gathered: what a chunk passes on is one row, its number
+    of quotes and of record starts for either state it may begin in.
     """
-    lines = lines_in_order(spark, path).withColumn("quotes", _quotes(F.col("value"), quote))
-    in_block = Window.partitionBy("file", "block").orderBy("line")
+    lines = lines_in_order(spark, path).select("*", _chunk("line"), _quotes(F.col("value"), quote).alias("quotes"))
+    in_block = Window.partitionBy(*PART).orderBy("line")
     before = F.sum("quotes").over(in_block.rowsBetween(Window.unboundedPreceding, -1))
     placed = lines.withColumn("odd", F.coalesce(before, F.lit(0)) % 2)
     filled = F.trim(F.col("value"), F.lit("\r")) != ""
     begins = [((F.col("odd") == state) & filled).cast("bigint") for state in (0, 1)]
     placed = placed.withColumns({f"starts{state}": F.sum(b).over(in_block) for state, b in enumerate(begins)})
-    blocks = placed.groupBy("file", "block").agg(
+    blocks = placed.groupBy(*PART).agg(
         (F.sum("quotes") % 2).alias("turns"), F.max("starts0").alias("all0"), F.max("starts1").alias("all1")
     )
-    # One row a block from here on.
-    by_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # One row a chunk from here on.
+    by_file = Window.partitionBy("file").orderBy("block", "chunk").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("inside", F.coalesce(F.sum("turns").over(by_file), F.lit(0)) % 2)
     own = F.when(F.col("inside") == 0, F.col("all0")).otherwise(F.col("all1"))
-    blocks = blocks.withColumn("first", F.coalesce(F.sum(own).over(by_file), F.lit(0))).select("file", "block", "inside", "first")
-    numbered = placed.join(blocks, ["file", "block"]).withColumn(
+    blocks = blocks.withColumn("first", F.coalesce(F.sum(own).over(by_file), F.lit(0))).select(*PART, "inside", "first")
+    numbered = placed.join(blocks, PART).withColumn(
         "number", F.col("first") + F.when(F.col("inside") == 0, F.col("starts0")).otherwise(F.col("starts1")) - 1
     )
     # A blank line outside quotes belongs to no record; inside them it does.
@@ -111,33 +120,33 @@ def array_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     pieces = pieces_in_order(spark, path)
     # Escaped characters and line breaks decide nothing below.
     bare = F.regexp_replace("value", r"\\[\s\S]|[\r\n]", "")
-    counted = pieces.select("*", _quotes(bare, '"').alias("quotes"), *[_depth(bare, bool(i)).alias(f"depth{i}") for i in (0, 1)])
-    in_block = Window.partitionBy("file", "block").orderBy("piece")
+    counted = pieces.select("*", _chunk("piece"), _quotes(bare, '"').alias("quotes"), *[_depth(bare, bool(i)).alias(f"depth{i}") for i in (0, 1)])
+    in_block = Window.partitionBy(*PART).orderBy("piece")
     before = F.coalesce(F.sum("quotes").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
     counted = counted.withColumn("odd", before)
-    # Depth inside the block, if the block begins outside (0) or inside (1) a string.
+    # Depth inside the chunk, if the chunk begins outside (0) or inside (1) a string.
     begun = [F.when(F.col("odd") == i, F.col("depth0")).otherwise(F.col("depth1")) for i in (0, 1)]
     placed = counted.withColumns({f"level{i}": F.sum(b).over(in_block) for i, b in enumerate(begun)})
     last = [F.max_by(f"level{i}", "piece").alias(f"all{i}") for i in (0, 1)]
-    blocks = placed.groupBy("file", "block").agg((F.sum("quotes") % 2).alias("turns"), F.max("piece").alias("end"), *last)
-    by_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = placed.groupBy(*PART).agg((F.sum("quotes") % 2).alias("turns"), F.max("piece").alias("end"), *last)
+    by_file = Window.partitionBy("file").orderBy("block", "chunk").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("inside", F.coalesce(F.sum("turns").over(by_file), F.lit(0)) % 2)
     own = F.when(F.col("inside") == 0, F.col("all0")).otherwise(F.col("all1"))
     blocks = blocks.withColumn("start", F.coalesce(F.sum(own).over(by_file), F.lit(0)))
     # No brace follows a file's last piece.
-    following = F.lead("block").over(Window.partitionBy("file").orderBy("block"))
-    blocks = blocks.withColumn("end", F.when(following.isNull(), F.col("end"))).select("file", "block", "inside", "start", "end")
+    following = F.lead("block").over(Window.partitionBy("file").orderBy("block", "chunk"))
+    blocks = blocks.withColumn("end", F.when(following.isNull(), F.col("end"))).select(*PART, "inside", "start", "end")
     level = F.col("start") + F.when(F.col("inside") == 0, F.col("level0")).otherwise(F.col("level1"))
     outside = (F.col("odd") + F.col("inside") + F.col("quotes")) % 2 == 0
-    known = placed.join(blocks, ["file", "block"]).select(
-        "file", "block", "piece", "value",
+    known = placed.join(blocks, PART).select(
+        *PART, "piece", "value",
         (outside & (level == 1) & ~F.col("end").eqNullSafe(F.col("piece"))).cast("bigint").alias("ends"),
     )
     # A second sum, of the records that ended before.
     known = known.withColumn("past", F.coalesce(F.sum("ends").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    ended = known.groupBy("file", "block").agg(F.sum("ends").alias("ends"))
-    ended = ended.select("file", "block", F.coalesce(F.sum("ends").over(by_file), F.lit(0)).alias("first"))
-    numbered = known.join(ended, ["file", "block"]).withColumn("number", F.col("first") + F.col("past"))
+    ended = known.groupBy(*PART).agg(F.sum("ends").alias("ends"))
+    ended = ended.select(*PART, F.coalesce(F.sum("ends").over(by_file), F.lit(0)).alias("first"))
+    numbered = known.join(ended, PART).withColumn("number", F.col("first") + F.col("past"))
     joined = numbered.groupBy("file", "number").agg(
         F.array_sort(F.collect_list(F.struct("block", "piece", "value"))).alias("pieces"), F.max("ends").alias("whole")
     )
