@@ -225,3 +225,28 @@ def test_schema_row_searches_every_column(spark):
     df = spark.range(1).selectExpr(*[f"id AS c{i}" for i in range(14)])
     row = retrieval.schema_row(df, "wide").first()
     assert "c13 (bigint)" in row["full_text"] and "+4 more" in row["snippet"]
+
+
+@pytest.mark.parametrize("limit", [0, 1, 3, 100])
+def test_weights_of_a_long_dictionary(spark, monkeypatch, limit):
+    """Frequent, rare and single terms weigh the same wherever their idf comes from; ids repeat or are null."""
+    words = [[f"w{j}" for j in range(40) if i % (j + 1) == 0] + [f"only{i}", "w0", "the"] for i in range(30)]
+    rows = [(None if i % 13 == 5 else i % 25, " ".join(ws)) for i, ws in enumerate(words)] + [(90, None), (91, "")]
+    docs = spark.createDataFrame(rows, "id int, text string")
+    n, counts = len(rows), {}
+    for i, text in rows:
+        for w in (text or "").split():
+            if w not in ENGLISH:
+                counts.setdefault(i, {}).setdefault(w, 0)
+                counts[i][w] += 1
+    df = {w: sum(w in (t or "").split() for _, t in rows) for ws in counts.values() for w in ws}
+    raw = {i: {w: k * (math.log((1 + n) / (1 + df[w])) + 1) for w, k in ws.items()} for i, ws in counts.items()}
+    want = {(i, w): v / math.sqrt(sum(x * x for x in ws.values())) for i, ws in raw.items() for w, v in ws.items()}
+    monkeypatch.setattr(retrieval, "TASK_CHARACTERS", 100)
+    weights, idf = retrieval._weighted(docs, "id", "text", ENGLISH, limit)
+    got = weights.collect()
+    assert len(got) == len(want) and {(r["id"], r["term"]): r["weight"] for r in got} == pytest.approx(want)
+    assert idf.count() == len(df)
+    # no dictionary is copied for salted joins, counts are never shuffled by term
+    plan = weights._jdf.queryExecution().executedPlan().toString()
+    assert "__salt" not in plan and "SortMergeJoin" not in plan

@@ -9,7 +9,7 @@ from tidyspark.functions import text
 from tidyspark.functions.numbers import round_even
 from tidyspark.functions.stopwords import ENGLISH
 from tidyspark.operators import facts, profile
-from tidyspark.operators.keyed import fits_broadcast, look_up
+from tidyspark.operators.keyed import BROADCAST_ROWS, fits_broadcast, look_up
 from tidyspark.session import cut_lineage
 
 # ---- fixed values ---------------------------------------------------------
@@ -19,6 +19,8 @@ FALLBACK_PASSAGE = 600
 SNIPPET = 400
 SCHEMA_COLUMNS = 10
 FREQUENT_VALUES = 4
+# Characters of text in a task while its words are counted, weighed and scored: what these rows need fits its memory.
+TASK_CHARACTERS = 8_000_000
 # ---------------------------------------------------------------------------
 
 
@@ -49,6 +51,17 @@ def _words(value: Column) -> Column:
     return F.regexp_extract_all(F.lower(value), F.lit(f"({TOKEN_PATTERN})"), F.lit(0))
 
 
+def _distinct_words(value: Column, stop_words: tuple[str, ...]) -> Column:
+    """Each word of a text once, stop words left out."""
+    return F.array_except(_words(value), F.array(*[F.lit(w) for w in stop_words]))
+
+
+def _tasks(docs: DataFrame, text_column: str) -> int:
+    """Tasks to deal texts over, by their length."""
+    length = docs.agg(F.sum(F.length(text_column))).first()[0] or 0
+    return max(-(-length // TASK_CHARACTERS), docs.sparkSession.sparkContext.defaultParallelism)
+
+
 def term_counts(
     docs: DataFrame, id_column: str, text_column: str, stop_words: tuple[str, ...] = ENGLISH
 ) -> DataFrame:
@@ -57,7 +70,7 @@ def term_counts(
     Texts are shuffled by document once; counting terms, norms and scores per
     document afterwards needs no further shuffle.
     """
-    spread = docs.select(id_column, text_column).repartition(id_column)
+    spread = docs.select(id_column, text_column).repartition(_tasks(docs, text_column), id_column)
     return (
         spread.select(id_column, F.explode(_words(F.col(text_column))).alias("term"))
         .filter(~F.col("term").isin(*stop_words))
@@ -66,43 +79,100 @@ def term_counts(
     )
 
 
+def _idf(n: int, df: Column) -> Column:
+    return F.log(F.lit(1.0 + n) / (1.0 + df)) + 1.0
+
+
+def _document_frequency(docs: DataFrame, text_column: str, stop_words: tuple[str, ...]) -> DataFrame:
+    """``term, df``: documents are counted per task first, so a term found in a third of them is no larger a group
+    than any other."""
+    terms = F.explode(_distinct_words(F.col(text_column), stop_words))
+    return docs.select(terms.alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+
+
 def inverse_frequency(
     docs: DataFrame, id_column: str, text_column: str, stop_words: tuple[str, ...] = ENGLISH
 ) -> DataFrame:
     """``term, idf`` with idf = ln((1 + n) / (1 + documents with the term)) + 1.
 
-    Each document names a term once before anything is shuffled, and documents
-    are counted per task first, so a term found in a third of them is no larger a
-    group than any other.
+    Each document names a term once before anything is shuffled.
     """
     n = docs.count()
-    # each word of a text once, stop words left out
-    terms = F.explode(F.array_except(_words(F.col(text_column)), F.array(*[F.lit(w) for w in stop_words])))
-    found = docs.select(terms.alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    return found.select("term", (F.log(F.lit(1.0 + n) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
+    found = _document_frequency(docs, text_column, stop_words)
+    return found.select("term", _idf(n, F.col("df")).alias("idf"))
+
+
+def _frequent_from(found: DataFrame, limit: int) -> int:
+    """The least power of two such that at most ``limit`` terms are in so many documents."""
+    power = F.floor(F.log2("df")).cast("int").alias("power")
+    sizes = {r["power"]: r["count"] for r in found.groupBy(power).count().collect()}  # 63 rows at most
+    least = max(sizes, default=0) + 1
+    held = 0
+    while least > 0 and held + sizes.get(least - 1, 0) <= limit:
+        least -= 1
+        held += sizes.get(least, 0)
+    return 1 << least
 
 
 def _weighted(
-    docs: DataFrame, id_column: str, text_column: str, stop_words: tuple[str, ...]
+    docs: DataFrame, id_column: str, text_column: str, stop_words: tuple[str, ...], limit: int = BROADCAST_ROWS
 ) -> tuple[DataFrame, DataFrame]:
     """(weights of all documents, idf table).
 
-    Texts are cut into words twice, once per table. Keeping the word counts in
-    between would save that, but writing, reading and shuffling them moves several
-    times the volume of the texts.
+    Texts are cut into words once for the idf table and once for the counts: writing, reading and shuffling
+    the counts would move several times the volume of the texts.
+
+    The idf of the most frequent terms, up to ``limit`` of them, is broadcast. Terms of one document share one
+    idf, a literal. Only what lies between, words of few documents, is shuffled: its documents are told the idf, as
+    rows that travel beside their texts.
     """
-    idf = cut_lineage(inverse_frequency(docs, id_column, text_column, stop_words))
-    return _weigh(term_counts(docs, id_column, text_column, stop_words), id_column, idf), idf
+    n = docs.count()
+    found = cut_lineage(_document_frequency(docs, text_column, stop_words))
+    idf = found.select("term", _idf(n, F.col("df")).alias("idf"))
+    least = _frequent_from(found, limit)
+    frequent = F.broadcast(found.filter(F.col("df") >= least).select("term", _idf(n, F.col("df")).alias("common")))
+    texts = docs.select(id_column, text_column, F.lit(None).cast("double").alias("told"))
+    if least > 2:
+        terms = docs.select(id_column, F.explode(_distinct_words(F.col(text_column), stop_words)).alias("term"))
+        rare = terms.join(frequent, "term", "left_anti").groupBy("term").agg(
+            # a null id is a document too; fewer than ``least`` entries
+            F.collect_list(F.struct(F.col(id_column).alias("id"))).alias("holders"), F.count("*").alias("df")
+        )
+        told = rare.filter("df > 1").select(F.explode("holders").alias("holder"), "term", _idf(n, F.col("df")).alias("told"))
+        texts = texts.unionByName(
+            told.select(F.col("holder.id").alias(id_column), F.col("term").alias(text_column), "told")
+        )
+    spread = texts.repartition(_tasks(docs, text_column), id_column)
+    is_text = F.col("told").isNull()
+    words = F.when(is_text, _words(F.col(text_column))).otherwise(F.array(text_column))
+    counts = (
+        spread.select(id_column, "told", F.explode(words).alias("term"))
+        .filter(~F.col("term").isin(*stop_words))
+        .groupBy(id_column, "term")
+        .agg(F.count_if(is_text).alias("times"), F.max("told").alias("told"))
+    )
+    known = F.coalesce("common", "told", _idf(n, F.lit(1)))
+    raw = counts.join(frequent, "term", "left").select(id_column, "term", (F.col("times") * known).alias("raw"))
+    return _normed(raw, id_column), idf
+
+
+def _normed(raw: DataFrame, id_column: str) -> DataFrame:
+    """``id, term, weight``: raw weights scaled to length 1 per document."""
+    # the window groups by document: bounded by the words of one text
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id_column)))
+    return raw.select(id_column, "term", (F.col("raw") / norm).alias("weight"))
 
 
 def _weigh(counts: DataFrame, id_column: str, idf: DataFrame) -> DataFrame:
     """``id, term, weight``: counts times idf, scaled to length 1 per document."""
+    asked = counts.select("term").distinct()
+    if fits_broadcast(asked):
+        # no more of a long dictionary than is asked for
+        idf = cut_lineage(idf.join(F.broadcast(asked), "term", "left_semi"))
     raw = look_up(counts, idf, "term", spread_by=[id_column], how="inner").select(
         id_column, "term", (F.col("times") * F.col("idf")).alias("raw")
     )
-    # the window groups by document: bounded by the words of one text
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id_column)))
-    return raw.select(id_column, "term", (F.col("raw") / norm).alias("weight"))
+    return _normed(raw, id_column)
 
 
 def tfidf(docs: DataFrame, id_column: str, text_column: str, stop_words: tuple[str, ...] = ENGLISH) -> DataFrame:
