@@ -275,3 +275,13 @@ def test_merged_numbers_of_many_values(spark):
     got = models.merged(prepared).filter("training").collect()
     assert sorted(r["numbers"][0] for r in got) == list(range(models.RANGES)) and {r["numbers"][1] for r in got} == {0.0}
     assert {r["times"] for r in got} == {25}
+
+
+def test_nearest_places_sort_no_whole_rows(monkeypatch):
+    rng = np.random.default_rng(4)
+    cases = [(rng.integers(0, high, size=(40, n)).astype(float), k) for high in (2, 50) for n in (1, 3, 60) for k in (1, 3, 80)]
+    want = [np.argsort(squared, axis=1, kind="stable")[:, :k] for squared, k in cases]
+    monkeypatch.setattr(np, "argsort", None)
+    for (squared, k), places in zip(cases, want):
+        rows, columns = knn._nearest_places(squared, k)
+        assert rows.tolist() == np.repeat(np.arange(40), places.shape[1]).tolist() and columns.tolist() == places.ravel().tolist()

@@ -22,6 +22,7 @@ from tidyspark.session import cut_lineage
 CELL_ROWS = 2048
 MAX_PIVOTS = 4096
 BLOCK_ROWS = 2048
+STRIP_ROWS = 32
 
 
 def _vectors(column: pd.Series) -> np.ndarray:
@@ -30,9 +31,15 @@ def _vectors(column: pd.Series) -> np.ndarray:
 
 def _squared_distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     total = np.zeros((len(left), len(right)))
-    for axis in range(left.shape[1]):
-        gap = left[:, axis, None] - right[None, :, axis]
-        total += gap * gap
+    columns = np.ascontiguousarray(right.T)
+    # strips of rows small enough to stay in a core's cache
+    for start in range(0, len(left), STRIP_ROWS):
+        strip = total[start : start + STRIP_ROWS]
+        gap = np.empty_like(strip)
+        for axis, column in enumerate(columns):
+            np.subtract(left[start : start + STRIP_ROWS, axis, None], column, out=gap)
+            gap *= gap
+            strip += gap
     return total
 
 
@@ -77,6 +84,18 @@ def _cells_to_visit(pivots: np.ndarray, cells: np.ndarray, radius: np.ndarray, r
     return visit
 
 
+def _nearest_places(squared: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the k smallest of each row, smallest first, equal ones by column: only what reaches the k-th
+    smallest is sorted."""
+    width = min(k, squared.shape[1])
+    limit = np.partition(squared, width - 1, axis=1)[:, width - 1]
+    rows, columns = np.nonzero(squared <= limit[:, None])
+    order = np.lexsort((columns, squared[rows, columns], rows))
+    rows, columns = rows[order], columns[order]
+    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    return rows[place < width], columns[place < width]
+
+
 def _best_of_block(k: int):
     def best(train: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"query": [], "squared": [], "label": [], "times": []}).astype(
@@ -84,14 +103,11 @@ def _best_of_block(k: int):
         )
         if train.empty or queries.empty:
             return empty
-        # rows in label order, so that a stable sort breaks distance ties by label
+        # rows in label order, so that distance ties are broken by label
         train = train.sort_values("label", kind="stable")
         labels, times = train["label"].to_numpy(), train["times"].to_numpy()
         squared = _squared_distances(_vectors(queries["point"]), _vectors(train["vector"]))
-        nearest = np.argsort(squared, axis=1, kind="stable")[:, :k]
-        width = nearest.shape[1]
-        rows = np.repeat(np.arange(len(queries)), width)
-        picked = nearest.ravel()
+        rows, picked = _nearest_places(squared, k)
         return pd.DataFrame(
             {
                 "query": queries["query"].to_numpy()[rows],
