@@ -336,6 +336,29 @@ def test_neighbours_visit_every_list_within_the_ratio():
     assert len(got) == len(set(got)) and len(want) > 40 * 32 and len(set(got) & want) >= 0.99 * len(want)
 
 
+def test_neighbours_rows_found_grow_no_faster_than_queries(spark, monkeypatch):
+    """Five times the rows, the same queries: blocks give about as many rows, not five times as many."""
+    random_ = np.random.default_rng(6)
+    data, made, found = random_.normal(size=(10_000, 16)), [], neighbours._found
+
+    def counted(*args):
+        rows = neighbours.stored(found(*args), "found")
+        made[-1] += rows.count()
+        return rows
+
+    monkeypatch.setattr(neighbours, "_found", counted)
+    for rows in (2_000, 10_000):
+        made.append(0)
+        table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data[:rows])], "vec_id bigint, embedding array<double>").repartition(4)
+        got = neighbours.nearest(table, table.filter("vec_id < 1000 AND vec_id % 50 = 0"), list_rows=25, ratio=9.0).collect()
+        want = {}
+        for query in range(0, 1_000, 50):
+            scores = (data[:rows] * data[query]).sum(1)
+            want[query] = [j for j in np.lexsort((np.arange(rows), -scores)).tolist() if j != query][:20]
+        assert {q: [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] for q in want} == want
+    assert made[1] < 2 * made[0]
+
+
 def test_neighbours_hard_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [1.0, None]), (7, [1.0]), (8, []), (20, [1.0, 1.0]), (20, [1.0, 1.0]), (None, [1.0, 1.0])]

@@ -9,6 +9,8 @@ more until they hold enough different vectors; where the graph's beam ends befor
 are measured. Of the rows that share a vector only as many ids as can be among the best are searched.
 Lists are cut into blocks of bounded size, blocks of vectors and of queries meet in one
 task each, and every block gives its best exactly, on the original vectors in double precision.
+The lists of a query are visited in rounds, its nearest ones first and each time four times as many; what does not reach
+the worst of the best ``k`` of the rounds before cannot be in the result and is not given.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ LEAST_VISITED = 2_000
 SALTS = 16
 BLOCK_ROWS, QUERY_ROWS = 2_048, 512
 GRAPH_DEGREE, BEAM = 16, 32
+#: Lists that a query visits in its first round; by the end of each further round it has visited so many times as many.
+ROUND_LISTS = 4
 
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -202,8 +206,14 @@ def chosen_lists(graph: Graph, sizes: np.ndarray, vectors: np.ndarray, ratio: fl
             yield some[row], lists[row, k]
 
 
+def rounds_of(row: np.ndarray) -> np.ndarray:
+    """The round of every visit; ``row`` holds the visits' queries in ascending order, each query's nearest list first."""
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    return np.searchsorted(ROUND_LISTS ** np.arange(1, 16), place, side="right")
+
+
 def _visits(queries: DataFrame, graph, sizes, width: int, ratio: float, least: int) -> DataFrame:
-    """(list, query_id, vector): the lists that each query visits."""
+    """(list, round, query_id, vector): the lists that each query visits, and in which round."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,15 +221,17 @@ def _visits(queries: DataFrame, graph, sizes, width: int, ratio: float, least: i
             for row, chosen in chosen_lists(graph.value, sizes.value, vectors, ratio, least):
                 at = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(chosen, pa.int32()), batch.column("query_id").take(at), batch.column("vector").take(at)],
-                    ["list", "query_id", "vector"],
+                    [pa.array(chosen, pa.int32()), pa.array(rounds_of(row), pa.int32()), batch.column("query_id").take(at), batch.column("vector").take(at)],
+                    ["list", "round", "query_id", "vector"],
                 )
 
     kind = queries.schema["query_id"].dataType.simpleString()
-    return queries.mapInArrow(run, f"list int, query_id {kind}, vector array<double>")
+    return queries.mapInArrow(run, f"list int, round int, query_id {kind}, vector array<double>")
+
 
+def _best_of_block(k: int):
+    """Of a block's vectors the ``k`` best for each of its queries that reach the query's ``floor``."""
 
-def _best_of_block(k: int, kind: str):
     def run(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         columns = ["query_id", "vec_id", "score"]
         if not len(vectors) or not len(queries):
@@ -227,23 +239,51 @@ def _best_of_block(k: int, kind: str):
         ids, x = vectors["vec_id"].to_numpy(), np.stack(vectors["vector"].to_numpy())
         asked, longest = np.stack(queries["vector"].to_numpy()), np.sqrt((x**2).sum(1).max())
         found: list[tuple] = []
-        for query, vector, rough in zip(queries["query_id"], asked, asked @ x.T):
-            other = ids != query
-            floor = -np.inf
+        for query, known, vector, rough in zip(queries["query_id"], queries["floor"], asked, asked @ x.T):
+            other, floor = ids != query, known
             if other.sum() > k:
                 kept = rough[other]
-                floor = np.partition(kept, len(kept) - k)[len(kept) - k]
-                floor -= 1e-9 * (np.abs(floor) + np.linalg.norm(vector) * longest)
+                floor = max(floor, np.partition(kept, len(kept) - k)[len(kept) - k])
+            floor -= 1e-9 * (np.abs(floor) + np.linalg.norm(vector) * longest)
             at = np.flatnonzero(other & (rough >= floor))
             # Equal vectors get equal scores: each row's sum is taken alone, in one order.
             exact = (x[at] * vector).sum(axis=1)
             order = np.lexsort((ids[at], -exact))[:k]
+            order = order[exact[order] >= known]
             found.append((np.repeat(query, len(order)), ids[at][order], exact[order]))
         return pd.DataFrame(dict(zip(columns, map(np.concatenate, zip(*found)))))
 
     return run
 
 
+def _found(posted: DataFrame, visits: DataFrame, k: int, block_rows: int, query_rows: int) -> DataFrame:
+    """(query_id, vec_id, score): what the blocks of one round give; ``visits`` has (list, query_id, vector, floor).
+
+    Blocks: of vectors by a hash of the row, of queries likewise; every pair of blocks of a list meets once."""
+    by_list = posted.groupBy("list").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("v_blocks"))
+    asked_of = visits.groupBy("list").agg(F.ceil(F.count("*") / query_rows).cast("int").alias("q_blocks"))
+    plan = F.broadcast(by_list.join(asked_of, "list"))
+    left = posted.join(plan, "list").select(
+        "list", F.pmod(F.xxhash64("vec_id"), F.col("v_blocks")).cast("int").alias("v"),
+        F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("q"), "vec_id", "vector",
+    )
+    right = visits.join(plan, "list").select(
+        "list", F.explode(F.sequence(F.lit(0), F.col("v_blocks") - 1)).alias("v"),
+        F.pmod(F.xxhash64("query_id"), F.col("q_blocks")).cast("int").alias("q"), "query_id", "vector", "floor",
+    )
+    keys = ("list", "v", "q")
+    kinds = f"query_id {visits.schema['query_id'].dataType.simpleString()}, vec_id {posted.schema['vec_id'].dataType.simpleString()}"
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_best_of_block(k), f"{kinds}, score double")
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    """(query_id, rank, vec_id, score): each query's ``k`` best of all that was found."""
+    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+
+
 def nearest(
     vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
     list_rows: int = LIST_ROWS, copies: int = COPIES, ratio: float = SEARCH_RATIO, least: int = LEAST_VISITED,
@@ -286,24 +326,21 @@ def nearest(
     # Beyond MOST_LISTS lists grow with the table, and so does what is visited: always as many lists.
     least = max(least, math.ceil(least * int(sizes.sum()) / (len(sizes) * list_rows)))
     asked = usable(queries, id_col, vector_col).filter(F.size("vector") == width).withColumnRenamed("vec_id", "query_id")
-    visits = stored(_visits(asked, graph, spark.sparkContext.broadcast(sizes), width, ratio, least), "visits")
-    # Blocks: of vectors by a hash of the row, of queries likewise; every pair of blocks of a list meets once.
-    by_list = posted.groupBy("list").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("v_blocks"))
-    asked_of = visits.groupBy("list").agg(F.ceil(F.count("*") / query_rows).cast("int").alias("q_blocks"))
-    plan = F.broadcast(by_list.join(asked_of, "list"))
-    left = posted.join(plan, "list").select(
-        "list", F.pmod(F.xxhash64("vec_id"), F.col("v_blocks")).cast("int").alias("v"),
-        F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("q"), "vec_id", "vector",
-    )
-    right = visits.join(plan, "list").select(
-        "list", F.explode(F.sequence(F.lit(0), F.col("v_blocks") - 1)).alias("v"),
-        F.pmod(F.xxhash64("query_id"), F.col("q_blocks")).cast("int").alias("q"), "query_id", "vector",
-    )
-    keys = ("list", "v", "q")
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        _best_of_block(k, kind), f"query_id {kind}, vec_id {kind}, score double"
-    )
-    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    visits = _visits(asked, graph, spark.sparkContext.broadcast(sizes), width, ratio, least)
+    visits = stored(visits.sortWithinPartitions("round"), "visits")  # a round reads its own row groups
+    last = visits.agg(F.max("round")).first()[0]
+    if last is None:
+        return spark.createDataFrame([], schema)
+    posted, best = posted.select("list", "vec_id", "vector"), None
+    for step in range(last + 1):
+        now = visits.filter(F.col("round") == step).drop("round")
+        if best is None:
+            now = now.withColumn("floor", F.lit(float("-inf")))
+        else:
+            floors = best.filter(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
+            now = now.join(floors, "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+        found = _found(posted, now, k, block_rows, query_rows)
+        best = _ranked(found if best is None else found.unionByName(best.drop("rank")), k)
+        if step < last:
+            best = stored(best, "best")
+    return best
