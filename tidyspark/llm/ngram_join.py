@@ -11,7 +11,8 @@ indexed for both.
 
 Equal sets are one set from the start. Sets that share a key are candidates: the members of a key are compared
 with a hub, another one each round, and where they still lie in different components, with each other, after a histogram of their
-tokens has ruled out most pairs (the histograms' distance never exceeds the sets' difference). All
+tokens has ruled out most pairs (the histograms' distance never exceeds the sets' difference): first along the nearest pairs
+that connect them, one fewer than there are components, then in every pair that these left apart, in one key only. All
 comparisons are exact. Links are then counted inside the components, block by block.
 """
 
@@ -44,8 +45,10 @@ WIDTHS = {2: 64, 3: 2_048}
 #: Frequent tokens of a prefix that a bin holds, about.
 BIN_TOKENS = 8
 BUCKETS, PAIR_ROWS, COUNT_ROWS, COUNT_TOKENS = 256, 2_048, 512, 4_096
-#: Rounds of comparisons with one member of each key before all members that are still apart meet.
-HUBS = 6
+#: Rounds of comparisons with one member of each key before members that are still apart meet.
+HUBS = 2
+#: Buckets of the histogram that are added up for a first look, and keys of a set that tell in which key a pair is given.
+COARSE, SKETCH_KEYS = 8, 16
 #: Rows of at most a hundred bytes that may be broadcast.
 BROADCAST_ROWS = 1 << 19
 
@@ -322,26 +325,77 @@ def _sides(block: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
     return (left, left) if block["l"].iat[0] == block["r"].iat[0] else (left, block[block["side"] == 1])
 
 
-def _near_in_blocks(members: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of members of a key in different components that sizes and histograms do not rule out."""
-    rows = members.join(contents.select("set", "histogram"), "set").select("key", "n", "set", "size", "root", "histogram")
+def _near(a: pd.DataFrame, b: pd.DataFrame, percent: int) -> tuple[np.ndarray, ...]:
+    """(i, j, difference, root of i, root of j) of all pairs of rows that sizes and histograms do not rule out; rows
+    ascend by size, roots are numbers."""
+    x, y = (np.frombuffer(b"".join(s["histogram"]), np.uint16).reshape(-1, BUCKETS).astype(np.int32) for s in (a, b))
+    rough_x, rough_y = (h.reshape(len(h), -1, COARSE).sum(axis=2) for h in (x, y))
+    size_a, size_b = a["size"].to_numpy(), b["size"].to_numpy()
+    roots, codes = np.unique(np.array([*a["root"], *b["root"]], object), return_inverse=True)
+    root_a, root_b = codes[: len(a)], codes[len(a) :]
+    start = np.arange(len(a)) + 1 if a is b else np.searchsorted(size_b, -(-percent * size_a // 100))
+    end = np.searchsorted(size_b, 100 * size_a // percent, side="right")
+    found = [(np.zeros(0, np.int64),) * 3]
+    for i in range(len(a)):
+        at = np.arange(start[i], end[i])
+        at = at[root_b[at] != root_a[i]]
+        # Of n tokens in both sets together a link leaves this share different.
+        for left, right in ((rough_x, rough_y), (x, y)):
+            apart = np.abs(right[at] - left[i]).sum(axis=1)
+            fits = (100 + percent) * apart <= (100 - percent) * (size_a[i] + size_b[at])
+            at, apart = at[fits], apart[fits]
+        if len(at):
+            found.append((np.full(len(at), i), at, apart))
+    i, j, apart = map(np.concatenate, zip(*found))
+    return i, j, apart / (size_a[i] + size_b[j]), root_a[i], root_b[j]
+
+
+def spanning(first: np.ndarray, second: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Places of links of least weight that connect all nodes (small numbers) that the links do."""
+    leads = np.arange(1 + max(first.max(initial=0), second.max(initial=0))).tolist()
+    left, kept = len(np.unique(np.concatenate([first, second]))) - 1, []
+
+    def lead(node: int) -> int:
+        while leads[node] != node:
+            leads[node] = leads[leads[node]]
+            node = leads[node]
+        return node
+
+    for at in np.argsort(weight, kind="stable").tolist():
+        if len(kept) >= left:
+            break
+        one, other = lead(int(first[at])), lead(int(second[at]))
+        if one != other:
+            leads[one] = other
+            kept.append(at)
+    return np.array(kept, np.int64)
+
+
+def _near_in_blocks(members: DataFrame, contents: DataFrame, percent: int, least: bool) -> DataFrame:
+    """The pairs (a, b) of members of a key in different components that sizes and histograms do not rule out: if ``least``,
+    in each block as many as connect the same components, else all, each in one of its keys as far as sketches tell."""
+    rows = members.join(contents.select("set", "histogram"), "set")
+    sketches = F.array().cast("array<bigint>")
+    if not least:
+        place = F.row_number().over(Window.partitionBy("set").orderBy("key"))
+        first = members.select("set", "key").withColumn("place", place).filter(F.col("place") <= SKETCH_KEYS)
+        rows, sketches = rows.join(first.groupBy("set").agg(F.collect_list("key").alias("sketch")), "set"), F.col("sketch")
+    rows = rows.select("key", "n", "set", "size", "root", "histogram", sketches.alias("sketch"))
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        a, b = _sides(block)
-        x, y = (np.frombuffer(b"".join(s["histogram"]), np.uint16).reshape(-1, BUCKETS).astype(np.int32) for s in (a, b))
-        size_a, size_b = a["size"].to_numpy(), b["size"].to_numpy()
-        roots, codes = np.unique(np.array([*a["root"], *b["root"]], object), return_inverse=True)
-        root_a, root_b = codes[: len(a)], codes[len(a) :]
-        first, second, found = a["set"].to_numpy(), b["set"].to_numpy(), []
-        for i in range(len(a)):
-            fits = (root_b != root_a[i]) & (100 * np.minimum(size_a[i], size_b) >= percent * np.maximum(size_a[i], size_b))
-            if a is b:
-                fits[: i + 1] = False
-            at = np.flatnonzero(fits)
-            # Of n tokens in both sets together a link leaves this share different.
-            apart = np.abs(y[at] - x[i]).sum(axis=1)
-            at = at[(100 + percent) * apart <= (100 - percent) * (size_a[i] + size_b[at])]
-            found += [(min(first[i], second[j]), max(first[i], second[j])) for j in at]
+        key = block["key"].iat[0]
+        a, b = _sides(block.sort_values(["size", "set"]))  # equal choices in all keys
+        i, j, difference, root_a, root_b = _near(a, b, percent)
+        first, second = a["set"].to_numpy(), b["set"].to_numpy()
+        if least:
+            at = spanning(root_a, root_b, difference)
+            i, j = i[at], j[at]
+            told = [True] * len(i)
+        else:
+            # A key that both sketches hold is one in which the pair meets; without such a key it is given in all.
+            x, y = (list(map(frozenset, s["sketch"])) for s in (a, b))
+            told = [min(x[k] & y[m], default=key) == key for k, m in zip(i, j)]
+        found = [(min(first[k], second[m]), max(first[k], second[m])) for k, m, mine in zip(i, j, told) if mine]
         return pd.DataFrame(found, columns=["a", "b"])
 
     return _blocks(rows, "key", PAIR_ROWS).groupBy("key", "l", "r").applyInPandas(run, "a binary, b binary")
@@ -411,7 +465,7 @@ def _components(keyed: DataFrame, contents: DataFrame, percent: int) -> DataFram
     """(node, root) of the sets that link to others; ``keyed`` has (key, n, set, size)."""
     fits = 100 * F.least("size", "other") >= percent * F.greatest("size", "other")
     tested = roots = None
-    for step in range(HUBS + 1):
+    for step in range(HUBS + 2):
         members = keyed.withColumn("root", F.col("set")) if roots is None else keyed.join(
             roots, keyed["set"] == roots["node"], "left"
         ).withColumn("root", F.coalesce("root", "set"))
@@ -424,7 +478,7 @@ def _components(keyed: DataFrame, contents: DataFrame, percent: int) -> DataFram
             pairs = open_.withColumn("other", F.col("hub.size")).filter("root <> hub.root").filter(fits)
             pairs = pairs.select(F.least("set", "hub.set").alias("a"), F.greatest("set", "hub.set").alias("b"))
         else:
-            pairs = _near_in_blocks(open_.select("key", "n", "set", "size", "root"), contents, percent)
+            pairs = _near_in_blocks(open_.select("key", "n", "set", "size", "root"), contents, percent, least=step == HUBS)
         pairs = pairs.distinct() if tested is None else pairs.distinct().join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         if roots is not None and pairs.isEmpty():
