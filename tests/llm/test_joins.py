@@ -167,6 +167,53 @@ def test_prefix_keys_meet():
         assert keys[0] & keys[1]
 
 
+def test_near_members_are_given_along_spanning_pairs_then_once(spark):
+    """40 near copies under five keys: 39 pairs a key in the first round, each of the 780 pairs once in the next."""
+    rnd = random.Random(9)
+    base = [rnd.getrandbits(64) for _ in range(400)]
+    tokens = [np.sort(np.array([*base[:390], *(rnd.getrandbits(64) for _ in range(8))], np.uint64)) for _ in range(40)]
+    names = [bytes([i]) * 16 for i in range(40)]
+    contents = spark.createDataFrame(
+        [(n, t.tobytes(), ngram_join.histogram(t).tobytes()) for n, t in zip(names, tokens)], "set binary, items binary, histogram binary"
+    )
+    members = spark.createDataFrame(
+        [(k, 40, n, len(t), n) for k in range(5) for n, t in zip(names, tokens)], "key bigint, n bigint, set binary, size bigint, root binary"
+    )
+    first = ngram_join._near_in_blocks(members, contents, 90, least=True)
+    every = ngram_join._near_in_blocks(members, contents, 90, least=False)
+    assert first.count() == 5 * 39 and every.count() == every.distinct().count() == 780
+    roots = ngram_join.components(first.distinct())
+    assert roots.count() == 40 and roots.select("root").distinct().count() == 1
+
+
+def test_join_without_hubs_and_with_small_blocks(spark, monkeypatch):
+    """Links found by the last two rounds alone, in blocks of a few members, are those of all pairs."""
+    monkeypatch.setattr(ngram_join, "HUBS", 0)
+    monkeypatch.setattr(ngram_join, "PAIR_ROWS", 4)
+    rnd = random.Random(10)
+    rows = []
+    for group in range(3):
+        text = [f"w{group}x{i}" for i in range(60)]
+        for _ in range(15):  # a chain: each text differs a little from the one before
+            text = [rnd.choice([w, w, w, w, w, w, w, w, w, w, w, w, w, w, w, w, w, w, w, w + "y"]) if i > 56 else w for i, w in enumerate(text)]
+            rows.append((len(rows), " ".join(text)))
+            text = text[1:] + [f"n{len(rows)}"]
+    sets = {i: {tuple(t.split()[j : j + 3]) for j in range(len(t.split()) - 2)} for i, t in rows}
+    links = {i: [j for j in sets if j != i and 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j])] for i in sets}
+    least = {}
+    for i in sets:
+        if i not in least:
+            open_, least[i] = [i], i
+            while open_:
+                for j in links[open_.pop()]:
+                    if j not in least:
+                        least[j] = i
+                        open_.append(j)
+    got = ngram_join.jaccard_join(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()
+    assert {r["doc_id"]: (r["component_id"], r["n_links"]) for r in got} == {i: (least[i], len(links[i])) for i in sets}
+    assert len(set(least.values())) < len(rows) and max(map(len, links.values())) > 1
+
+
 # ---- collocations -----------------------------------------------------------------------
 
 

@@ -329,7 +329,7 @@ def _near(a: pd.DataFrame, b: pd.DataFrame, percent: int) -> tuple[np.ndarray, .
     """(i, j, difference, root of i, root of j) of all pairs of rows that sizes and histograms do not rule out; rows
     ascend by size, roots are numbers."""
     x, y = (np.frombuffer(b"".join(s["histogram"]), np.uint16).reshape(-1, BUCKETS).astype(np.int32) for s in (a, b))
-    rough_x, rough_y = (h.reshape(len(h), -1, COARSE).sum(axis=2) for h in (x, y))
+    rough_x, rough_y = (h.reshape(len(h), BUCKETS // COARSE, COARSE).sum(axis=2) for h in (x, y))
     size_a, size_b = a["size"].to_numpy(), b["size"].to_numpy()
     roots, codes = np.unique(np.array([*a["root"], *b["root"]], object), return_inverse=True)
     root_a, root_b = codes[: len(a)], codes[len(a) :]
