@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,6 +187,48 @@ def test_near_members_are_given_along_spanning_pairs_then_once(spark):
     assert roots.count() == 40 and roots.select("root").distinct().count() == 1
 
 
+def test_near_members_of_many_small_keys_are_found_together(spark, monkeypatch):
+    """Keys of a few members are compared many at a time, across batches and blocks, with the pairs that each has alone."""
+    rnd, percent = random.Random(11), 90
+    base = [[rnd.getrandbits(64) for _ in range(rnd.choice([60, 64, 300]))] for _ in range(6)]
+    sets = [np.unique(np.array([*b[: len(b) - rnd.randrange(9)], *(rnd.getrandbits(64) for _ in range(rnd.randrange(4)))], np.uint64)) for b in base for _ in range(20)]
+    names, grams = [bytes([i]) * 16 for i in range(len(sets))], [ngram_join.histogram(t).astype(int) for t in sets]
+    contents = spark.createDataFrame([(n, t.tobytes(), ngram_join.histogram(t).tobytes()) for n, t in zip(names, sets)], "set binary, items binary, histogram binary")
+    keys = [rnd.sample(range(len(sets)), rnd.choice([2, 3, 5, 30])) for _ in range(300)]
+    members = spark.createDataFrame(
+        [(k, len(of), names[i], len(sets[i]), names[i % 40]) for k, of in enumerate(keys) for i in of], "key bigint, n bigint, set binary, size bigint, root binary"
+    )
+
+    def fits(i, j):
+        n = len(sets[i]), len(sets[j])
+        near = (100 + percent) * np.abs(grams[i] - grams[j]).sum() <= (100 - percent) * sum(n)
+        return i % 40 != j % 40 and 100 * min(n) >= percent * max(n) and near
+
+    wanted = {(names[min(i, j)], names[max(i, j)]) for of in keys for i in of for j in of if i < j and fits(i, j)}
+    for rows in (ngram_join.PAIR_ROWS, 8):
+        monkeypatch.setattr(ngram_join, "PAIR_ROWS", rows)
+        got = ngram_join._near_in_blocks(members, contents, percent, least=False)
+        assert wanted and {tuple(r) for r in got.collect()} == wanted
+    first = {tuple(r) for r in ngram_join._near_in_blocks(members, contents, percent, least=True).collect()}
+    assert first <= wanted
+    ids = [0] * 7 + [1] * 5 + [2, 3, 3]
+    batches = [pa.RecordBatch.from_pydict({"key": ids[at : at + 4]}) for at in range(0, len(ids), 4)] + [pa.RecordBatch.from_pydict({"key": pa.array([], pa.int64())})]
+    pieces = [t.column("key").to_pylist() for t in ngram_join._whole_blocks(iter(batches), ["key"])]
+    assert sum(pieces, []) == ids and all(a[-1] != b[0] for a, b in zip(pieces, pieces[1:]))
+
+
+def test_blocks_of_few_rows_are_no_call_each(spark, monkeypatch):
+    """One look takes in many keys: no grouped call per key, whose cost alone was most of the step."""
+    rnd = random.Random(12)
+    tokens = np.sort(np.array([rnd.getrandbits(64) for _ in range(50)], np.uint64))
+    rows = pa.table({
+        "key": np.repeat(np.arange(500), 3), "l": np.zeros(1500, np.int32), "r": np.zeros(1500, np.int32), "side": np.zeros(1500, np.int32),
+        "size": np.full(1500, 50), "histogram": [ngram_join.histogram(tokens).tobytes()] * 1500, "root": [bytes([i % 3]) * 16 for i in range(1500)],
+    })
+    block, i, j, difference, *_ = ngram_join._near(rows, 90)
+    assert np.bincount(block).tolist() == [3] * 500 and (i < j).all() and not difference.any()
+
+
 def test_join_without_hubs_and_with_small_blocks(spark, monkeypatch):
     """Links found by the last two rounds alone, in blocks of a few members, are those of all pairs."""
     monkeypatch.setattr(ngram_join, "HUBS", 0)

@@ -45,6 +45,8 @@ WIDTHS = {2: 64, 3: 2_048}
 #: Frequent tokens of a prefix that a bin holds, about.
 BIN_TOKENS = 8
 BUCKETS, PAIR_ROWS, COUNT_ROWS, COUNT_TOKENS = 256, 2_048, 512, 4_096
+#: What tells a pair of blocks of a key, and pairs of rows whose histograms are compared at once.
+BLOCK, LOOK_PAIRS = ["key", "l", "r"], 1 << 14
 #: Rounds of comparisons with one member of each key before members that are still apart meet.
 HUBS = 2
 #: Buckets of the histogram that are added up for a first look, and keys of a set that tell in which key a pair is given.
@@ -325,29 +327,66 @@ def _sides(block: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
     return (left, left) if block["l"].iat[0] == block["r"].iat[0] else (left, block[block["side"] == 1])
 
 
-def _near(a: pd.DataFrame, b: pd.DataFrame, percent: int) -> tuple[np.ndarray, ...]:
-    """(i, j, difference, root of i, root of j) of all pairs of rows that sizes and histograms do not rule out; rows
-    ascend by size, roots are numbers."""
-    x, y = (np.frombuffer(b"".join(s["histogram"]), np.uint16).reshape(-1, BUCKETS).astype(np.int32) for s in (a, b))
-    rough_x, rough_y = (h.reshape(len(h), BUCKETS // COARSE, COARSE).sum(axis=2) for h in (x, y))
-    size_a, size_b = a["size"].to_numpy(), b["size"].to_numpy()
-    roots, codes = np.unique(np.array([*a["root"], *b["root"]], object), return_inverse=True)
-    root_a, root_b = codes[: len(a)], codes[len(a) :]
-    start = np.arange(len(a)) + 1 if a is b else np.searchsorted(size_b, -(-percent * size_a // 100))
-    end = np.searchsorted(size_b, 100 * size_a // percent, side="right")
+def _whole_blocks(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[pa.Table]:
+    """Batches of rows sorted by ``columns``, cut so that no group of equal values lies in two of them and that they have about
+    as many pairs as one block may have."""
+    kept = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if kept is not None:
+            table = pa.concat_tables([kept, table]).combine_chunks()
+        starts = np.flatnonzero(_new_groups(table, columns))
+        part = np.append(0, np.cumsum(np.diff(starts) ** 2)) // PAIR_ROWS**2
+        cuts = starts[np.unique(part[:-1], return_index=True)[1]].tolist() + starts[-1:].tolist()
+        for start, end in zip(cuts, cuts[1:]):
+            yield table.slice(start, end - start)
+        if cuts:
+            kept = table.slice(cuts[-1])
+    if kept is not None:
+        yield kept
+
+
+def _new_groups(table: pa.Table, columns: list[str]) -> np.ndarray:
+    new = np.ones(table.num_rows, bool)
+    values = [table.column(c).to_numpy() for c in columns]
+    new[1:] = np.any([v[1:] != v[:-1] for v in values], axis=0)
+    return new
+
+
+def _near(rows: pa.Table, percent: int) -> tuple[np.ndarray, ...]:
+    """(block, i, j, difference, root of i, root of j) of all pairs of rows of a block that sizes and histograms do not rule
+    out; blocks are whole, their rows ascend by side, then size; roots are numbers."""
+    block = np.cumsum(_new_groups(rows, BLOCK)) - 1
+    side, size = rows.column("side").to_numpy().astype(np.int64), rows.column("size").to_numpy()
+    x = np.frombuffer(b"".join(rows.column("histogram").to_pylist()), np.uint16).reshape(-1, BUCKETS)
+    rough = x.reshape(len(x), BUCKETS // COARSE, COARSE).sum(axis=2, dtype=np.int32)
+    root = rows.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
+    # Rows of a side lie together, by size: those of fitting size are found among all rows by one number.
+    sizes, where = np.unique(size, return_inverse=True)
+    placed = (2 * block + side) * (len(sizes) + 1) + where
+    within = rows.column("l").to_numpy() == rows.column("r").to_numpy()
+    other = (2 * block + ~within) * (len(sizes) + 1)
+    start = np.where(within, np.arange(len(x)) + 1, np.searchsorted(placed, other + np.searchsorted(sizes, -(-percent * size // 100))))
+    end = np.searchsorted(placed, other + np.searchsorted(sizes, 100 * size // percent, side="right"))
+    many = np.where(side == 0, np.maximum(end - start, 0), 0)
+    ends = np.cumsum(many)
     found = [(np.zeros(0, np.int64),) * 3]
-    for i in range(len(a)):
-        at = np.arange(start[i], end[i])
-        at = at[root_b[at] != root_a[i]]
+    at = 0
+    while at < len(x):
+        # the pairs of some rows at a time, of one at least
+        until = max(int(np.searchsorted(ends, ends[at] - many[at] + LOOK_PAIRS, side="right")), at + 1)
+        i = np.repeat(np.arange(at, until), many[at:until])
+        j = np.arange(len(i)) - np.repeat(ends[at:until] - many[at:until] - (ends[at] - many[at]), many[at:until]) + start[i]
+        apart = np.flatnonzero(root[i] != root[j])
+        i, j, at = i[apart], j[apart], until
         # Of n tokens in both sets together a link leaves this share different.
-        for left, right in ((rough_x, rough_y), (x, y)):
-            apart = np.abs(right[at] - left[i]).sum(axis=1)
-            fits = (100 + percent) * apart <= (100 - percent) * (size_a[i] + size_b[at])
-            at, apart = at[fits], apart[fits]
-        if len(at):
-            found.append((np.full(len(at), i), at, apart))
+        for h in (rough, x):
+            apart = np.abs(np.subtract(h[i], h[j], dtype=np.int32)).sum(axis=1)
+            fits = (100 + percent) * apart <= (100 - percent) * (size[i] + size[j])
+            i, j, apart = i[fits], j[fits], apart[fits]
+        found.append((i, j, apart))
     i, j, apart = map(np.concatenate, zip(*found))
-    return i, j, apart / (size_a[i] + size_b[j]), root_a[i], root_b[j]
+    return block[i], i, j, apart / (size[i] + size[j]), root[i], root[j]
 
 
 def spanning(first: np.ndarray, second: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -382,23 +421,33 @@ def _near_in_blocks(members: DataFrame, contents: DataFrame, percent: int, least
         rows, sketches = rows.join(first.groupBy("set").agg(F.collect_list("key").alias("sketch")), "set"), F.col("sketch")
     rows = rows.select("key", "n", "set", "size", "root", "histogram", sketches.alias("sketch"))
 
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        key = block["key"].iat[0]
-        a, b = _sides(block.sort_values(["size", "set"]))  # equal choices in all keys
-        i, j, difference, root_a, root_b = _near(a, b, percent)
-        first, second = a["set"].to_numpy(), b["set"].to_numpy()
-        if least:
-            at = spanning(root_a, root_b, difference)
-            i, j = i[at], j[at]
-            told = [True] * len(i)
-        else:
-            # A key that both sketches hold is one in which the pair meets; without such a key it is given in all.
-            x, y = (list(map(frozenset, s["sketch"])) for s in (a, b))
-            told = [min(x[k] & y[m], default=key) == key for k, m in zip(i, j)]
-        found = [(min(first[k], second[m]), max(first[k], second[m])) for k, m, mine in zip(i, j, told) if mine]
-        return pd.DataFrame(found, columns=["a", "b"])
-
-    return _blocks(rows, "key", PAIR_ROWS).groupBy("key", "l", "r").applyInPandas(run, "a binary, b binary")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Most blocks hold a few rows: a task looks at many of them at once.
+        for table in _whole_blocks(batches, BLOCK):
+            block, i, j, difference, root_i, root_j = _near(table, percent)
+            if least:
+                starts = np.flatnonzero(np.append(True, block[1:] != block[:-1])[: len(block)])
+                kept = [np.zeros(0, np.int64)]
+                for start, end in zip(starts, [*starts[1:], len(block)]):
+                    nodes = np.unique([root_i[start:end], root_j[start:end]], return_inverse=True)[1].reshape(2, -1)
+                    kept.append(start + spanning(*nodes, difference[start:end]))
+                at = np.concatenate(kept)
+                i, j = i[at], j[at]
+            else:
+                # A key that both sketches hold is one in which the pair meets; without such a key it is given in all.
+                key, sketch = table.column("key").to_numpy(), table.column("sketch")
+                held = {k: frozenset(sketch[k].as_py()) for k in np.unique([i, j]).tolist()}
+                told = [min(held[k] & held[m], default=key[k]) == key[k] for k, m in zip(i.tolist(), j.tolist())]
+                i, j = i[told], j[told]
+            names = table.column("set").to_pylist()
+            for start in range(0, len(i), LOOK_PAIRS):
+                some = slice(start, start + LOOK_PAIRS)
+                pairs = [sorted((names[k], names[m])) for k, m in zip(i[some].tolist(), j[some].tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array([p[side] for p in pairs], pa.binary()) for side in (0, 1)], ["a", "b"])
+
+    blocks = _blocks(rows, "key", PAIR_ROWS).repartition(*BLOCK)
+    # by size and name: equal choices in all keys
+    return blocks.sortWithinPartitions(*BLOCK, "side", "size", "set").mapInArrow(run, "a binary, b binary")
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
