@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from tidyspark.functions import names
 from tidyspark.functions.numbers import round_even
-from tidyspark.operators import facts, features, knn
+from tidyspark.operators import facts, features, forest, knn
 from tidyspark.operators.keyed import BROADCAST_ROWS, look_up, number_rows
 from tidyspark.operators.quantiles import quantiles
 from tidyspark.session import cut_lineage, scratch_path
@@ -35,6 +35,8 @@ TRAIN_SHARE = 80  # percent of rows
 # Forests grow as deep as MLlib allows.
 FOREST_DEPTH = 30
 FOREST_MEMORY_MB = 512
+# From so many training rows on, a forest is grown and asked without being held.
+FOREST_ROWS = 10_000
 BOOST_ROUNDS = 100
 # Boosted trees cut a column into this many ranges (MLlib's default).
 RANGES = 32
@@ -218,7 +220,7 @@ def _cuts(train: DataFrame, columns: list[str]) -> dict[str, list[float]]:
 def merged(prepared: DataFrame) -> DataFrame:
     """Prepared rows with each number replaced by its range and equal rows counted in ``times``.
 
-    Boosted trees only ever see the range of a value, so weighted rows grow the same trees. Their number is bounded
+    Trees only ever see the range of a value, so weighted rows grow the same trees. Their number is bounded
     by the ranges and categories, not by the table.
     """
     prepared = cut_lineage(prepared)
@@ -277,6 +279,8 @@ def _learner(family: str, task: str, classes: int, rows: int, rounds: int, depth
 
 
 def _predict_with_learner(problem: Problem, prepared: DataFrame, family: str, rounds: int, depth: int) -> DataFrame:
+    if family == FALLBACK and problem.train_rows >= FOREST_ROWS:
+        return forest.predict(merged(prepared), problem.classes, FOREST_TREES, depth, SEED)
     learner = _learner(family, problem.task, problem.classes, problem.train_rows, rounds, depth)
     times = F.lit(1)
     if family == "xgboost" and problem.train_rows >= MERGE_ROWS:
@@ -337,9 +341,10 @@ def benchmark(
         note = f"not scored: {problem.train_rows} rows to train on, {problem.test_rows} to test on"
     else:
         # Boosting and gradient descent are hundreds of short jobs, one after the other: both ways share the executors.
-        # Forests fill them, and their memory, alone.
+        # Forests that are held fill them, and their memory, alone.
         one = inheritable_thread_target(df.sparkSession)(lambda way: score(problem, family, way, rounds, depth))
-        with ThreadPoolExecutor(1 if family == FALLBACK else 2) as pool:
+        alone = family == FALLBACK and problem.train_rows < FOREST_ROWS
+        with ThreadPoolExecutor(1 if alone else 2) as pool:
             plain, aware = pool.map(one, (False, True))
     metric = "F1-Score (Macro)" if problem.task == CLASSIFICATION else "R² Score"
     row = (
