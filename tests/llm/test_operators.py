@@ -592,6 +592,69 @@ def test_repeats_of_shared_passages(spark):
     check_repeats(df, rows, 64)
 
 
+def test_repeats_of_keys_beyond_a_sort(spark, monkeypatch):
+    """A passage with other words around it in each text: its keys have as many contexts as there are texts."""
+    rnd = random.Random(6)
+    shared = passage(70, 70)
+    rows = [(i, f"{passage(2_000 + i, 40)} {shared[i % 3 :]} {passage(3_000 + i % 290, 30)}") for i in range(300)]
+    rows += [(300 + i, "ab" * rnd.randrange(150, 400) + rnd.choice(["", shared])) for i in range(20)]
+    most, largest, widths = 5_000, [], []
+    sort, cut = suffix._sorted_shards, suffix._slices
+
+    def watched(contexts, *options):
+        sizes = contexts.groupBy("key").agg(F.sum(F.length("context")).alias("size"), F.max("windows").alias("m"))
+        largest.append(sizes.agg(F.max("size")).first()[0] or 0)
+        return sort(contexts, *options)
+
+    monkeypatch.setattr(suffix, "_sorted_shards", watched)
+    monkeypatch.setattr(suffix, "_slices", lambda contexts, width, length: widths.append(width) or cut(contexts, width, length))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    check_repeats(df, rows, 200, most=most)
+    assert max(largest) <= most and widths == [21, 5, 1]
+    largest.clear(), widths.clear()
+    check_repeats(df, rows, 200)
+    assert max(largest) > most and not widths
+
+
+def test_pieces_of_equal_windows_have_equal_keys():
+    shared, length = passage(80, 60).encode(), 64
+    contexts, where = [], collections.defaultdict(set)
+    for i in range(30):
+        data = passage(4_000 + i, 8).encode() + shared[i:] + passage(5_000 + i, 8).encode()
+        _, first, count, key = suffix.window_runs(np.frombuffer(data, np.uint8), np.array([len(data)]), length)
+        contexts += [(int(k), int(n), data[f : f + n + length - 1]) for f, n, k in zip(first, count, key)]
+    for width in (4, 1):
+        where.clear()
+        below = []
+        for key, windows, context in contexts:
+            behind = int(suffix._anchors(np.frombuffer(context, np.uint8), length)[1][0])
+            pieces = list(suffix.slices(context, windows, behind, key, width, length))
+            assert [w for first, n, _, _ in pieces for w in range(first, first + n)] == list(range(windows))
+            for first, n, k, piece in pieces:
+                assert n <= width and piece == context[first : first + n + length - 1]
+                below.append((k, n, piece))
+                for w in range(n):
+                    where[piece[w : w + length]].add(k)
+        assert all(len(keys) == 1 for keys in where.values())
+        contexts = below
+    assert len(where) == len({k for k, _, _ in contexts})  # in the end each window has a key of its own
+
+
+def test_shards_are_sorted_in_groups_of_whole_keys():
+    rnd = random.Random(8)
+    sizes = [(key, rnd.randrange(1, 40)) for key in range(200) for _ in range(rnd.randrange(1, 4))]
+    sizes[50:50] = [(50_000, 30)] * 9  # one key alone is more than a group
+    rows = [(key, i, 1, b"x" * size) for i, (key, size) in enumerate(sizes)]
+    groups = list(suffix.groups_of_keys(iter(rows), 130))
+    assert [row for group in groups for row in group] == rows and not list(suffix.groups_of_keys([], 130))
+    for group, behind in zip(groups, groups[1:] + [[]]):
+        keys, size = [row[0] for row in group], sum(len(row[3]) for row in group)
+        assert size <= 130 or len(set(keys)) == 1
+        assert not behind or keys[-1] != behind[0][0]
+        whole = sum(len(row[3]) for row in behind if row[0] == behind[0][0]) if behind else 130
+        assert size + whole > 130  # no group ends before it is full
+
+
 @pytest.mark.parametrize("memory", [64, 1 << 20])
 def test_suffix_sort_orders_suffixes_and_prefixes(memory):
     rnd = random.Random(5)

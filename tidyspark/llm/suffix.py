@@ -5,24 +5,29 @@ window's bytes alone, so equal windows have equal anchors. Windows that share an
 mostly on one side of it are a run, its key a hash of bytes that all of them hold; equal windows have equal
 keys. Runs whose key is found at one place only hold nothing repeated and go no further. The
 others' bytes (contexts) are grouped by key: equal contexts are counted before they are moved, and only
-keys with several different contexts need sorting, in shards of whole keys.
+keys with several different contexts need sorting, in shards of whole keys. A key whose different contexts
+take more than a sort may hold is split first: its contexts are cut by the distance of their windows from the
+anchor, and each piece has a key of all the bytes that its windows share, which are the more the fewer windows
+it has. Equal windows lie at equal distances, so they still meet. Pieces go the way of contexts, in turn; those of
+one window need no sorting.
 
-Each shard is sorted by external induced sorting. A queue per first byte holds tuples (suffix, common prefix
+A shard comes in the order of its keys and is sorted in groups of whole keys. Each group is sorted by external induced sorting. A queue per first byte holds tuples (suffix, common prefix
 with the suffix before it) in order and moves to disk beyond a budget: buckets are drained from the
 smallest byte to the largest for the suffixes larger than their successor, then back for the others, and
 each tuple induces that of the suffix one byte longer, whose common prefix is one more than the least of
 those passed since the last of its bucket. The sorted seeds (local minima) come from an induction without
 prefixes, which sorts the strings between seeds, and the reduced string of their names, ordered by rank
-doubling. Bytes, flags and queues move to mapped files or disk beyond the budget, but memory is not bounded:
-a task holds its contexts as Python objects until all have come, a copy of its text, seeds with their ranks and orders,
-and the tuples of one first byte. All different contexts of a key meet in one task.
+doubling. Bytes, flags and queues move to mapped files or disk beyond the budget; the seeds with their ranks and orders,
+a copy of the text and the tuples of one first byte are in memory, about 47 bytes for each byte of a group, so the
+bytes of a group bound what a task holds, however large its shard is.
 """
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +41,9 @@ GRAM = 32
 POSITION_BITS = 28
 #: Bytes of tuples that a shard's queues keep in memory before they move to disk.
 MEMORY = 96 << 20
-BATCH_BYTES = 1 << 21
+#: Bytes of contexts that one sort holds; keys with more are split.
+SORT_BYTES = 1 << 21
+BATCH_BYTES = 1 << 20
 CHUNK = 1 << 20
 FAR = np.int16(30_000)
 _U = np.uint64
@@ -52,14 +59,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 # ---- runs of windows ---------------------------------------------------------
 
 
-def window_runs(data: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first window, windows, key) of the runs of all texts; windows count from the text's start."""
-    sizes = np.diff(ends, prepend=0)
-    starts = ends - sizes
-    n = len(data)
-    none = np.zeros(0, np.int64)
-    if n < length or not (sizes >= length).any():
-        return none, none, none, none
+def _anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all grams, the anchor of each window of ``length`` bytes), whatever text they are of."""
     gram, power = data.astype(np.uint64) + _U(1), 0x100000001B3
     width = 1
     while width < GRAM:
@@ -73,7 +74,18 @@ def window_runs(data: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tup
         least = np.minimum(least[:-reach], least[reach:])
         reach *= 2
     least = np.minimum(least[: len(hashed) - span + 1], least[span - reach : span - reach + len(hashed) - span + 1])
-    anchor = (least & mask).astype(np.int64)
+    return hashed, (least & mask).astype(np.int64)
+
+
+def window_runs(data: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first window, windows, key) of the runs of all texts; windows count from the text's start."""
+    sizes = np.diff(ends, prepend=0)
+    starts = ends - sizes
+    n = len(data)
+    none = np.zeros(0, np.int64)
+    if n < length or not (sizes >= length).any():
+        return none, none, none, none
+    hashed, anchor = _anchors(data, length)
     window = np.arange(len(anchor))
     text = np.repeat(np.arange(len(sizes)), sizes)[: len(anchor)]
     valid = window + length <= ends[text]
@@ -407,33 +419,108 @@ def _contexts(rows: DataFrame, length: int) -> DataFrame:
     return rows.select("name", "text", "runs").mapInArrow(run, "name binary, first int, windows int, key bigint, context binary")
 
 
-def _sorted_shards(contexts: DataFrame, length: int, memory: int) -> DataFrame:
+def slices(context: bytes, windows: int, behind: int, key: int, width: int, length: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """(first window, windows, key, context) of the pieces of a context whose first window begins ``behind`` bytes before
+    its anchor: windows at ``width`` distances, the key of ``key``, the distances and the bytes that windows at all of them share."""
+    for part in range(behind // width, (behind - windows + 1) // width - 1, -1):
+        nearest, farthest = behind - part * width, behind - (part + 1) * width + 1
+        first, last = max(farthest, 0), min(nearest, windows - 1)
+        shared = hashlib.blake2b(context[nearest : farthest + length], digest_size=8, salt=part.to_bytes(2), key=key.to_bytes(8, signed=True))
+        yield first, last - first + 1, int.from_bytes(shared.digest(), signed=True), context[first : last + length]
+
+
+def _slices(contexts: DataFrame, width: int, length: int) -> DataFrame:
+    """(whole_key, whole_what, lead, windows, key, context): the pieces of (key, what, windows, context)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "context", BATCH_BYTES):
+            raw = batch.column("context").to_pylist()
+            starts = np.cumsum([0, *map(len, raw[:-1])])
+            anchor = _anchors(np.frombuffer(b"".join(raw), np.uint8), length)[1]
+            behind = (anchor[starts] - starts).tolist()
+            owner, pieces = [], []
+            for row, (context, key, windows) in enumerate(zip(raw, batch.column("key").to_pylist(), batch.column("windows").to_pylist())):
+                own = list(slices(context, windows, behind[row], key, width, length))
+                owner += [row] * len(own)
+                pieces += own
+            owner = pa.array(owner, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key").take(owner), batch.column("what").take(owner)]
+                + [pa.array(v, t) for v, t in zip(zip(*pieces), (pa.int32(), pa.int32(), pa.int64(), pa.binary()))],
+                ["whole_key", "whole_what", "lead", "windows", "key", "context"],
+            )
+
+    rows = contexts.select("key", "what", "windows", "context")
+    return rows.mapInArrow(run, "whole_key bigint, whole_what binary, lead int, windows int, key bigint, context binary")
+
+
+def groups_of_keys(rows: Iterable[tuple], most: int) -> Iterator[list[tuple]]:
+    """Rows (key, what, windows, context) in the order of their keys, in lists of whole keys; a list holds contexts of
+    ``most`` bytes at most, or those of one key."""
+    held, size, start, before = [], 0, 0, 0  # the last key begins at ``start``, behind ``before`` bytes
+    for row in rows:
+        if held and row[0] != held[-1][0]:
+            start, before = len(held), size
+        held.append(row)
+        size += len(row[3])
+        if size > most and start:
+            yield held[:start]
+            held, size, start = held[start:], size - before, 0
+    if held:
+        yield held
+
+
+def _sorted_shards(contexts: DataFrame, length: int, memory: int, most: int) -> DataFrame:
     """(key, what, starts, counts): repeated windows of the different contexts of each key, by shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, whats, windows, held = [], [], [], []
-        for batch in batches:
-            keys += batch.column("key").to_pylist()
-            whats += batch.column("what").to_pylist()
-            windows += batch.column("windows").to_pylist()
-            held += batch.column("context").to_pylist()
-        if not held:
-            return
-        found = [_stretches(points) for points in repeated_windows(held, np.array(windows), length, memory)]
-        filled = [i for i, (starts, _) in enumerate(found) if len(starts)]
-        for part in range(0, len(filled), 10_000):
-            some = filled[part : part + 10_000]
+        rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("key", "what", "windows", "context"))))
+        for group in groups_of_keys(rows, most):
+            keys, whats, windows, held = zip(*group)
+            found = [_stretches(points) for points in repeated_windows(list(held), np.array(windows), length, memory)]
+            filled = [i for i, (starts, _) in enumerate(found) if len(starts)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([keys[i] for i in some], pa.int64()), pa.array([whats[i] for i in some], pa.binary())]
-                + [pa.array([found[i][j] for i in some], pa.list_(pa.int32())) for j in (0, 1)],
+                [pa.array([keys[i] for i in filled], pa.int64()), pa.array([whats[i] for i in filled], pa.binary())]
+                + [pa.array([found[i][j] for i in filled], pa.list_(pa.int32())) for j in (0, 1)],
                 ["key", "what", "starts", "counts"],
             )
 
-    shards = contexts.select("key", "what", "windows", "context").repartition("key")
+    shards = contexts.select("key", "what", "windows", "context").repartition("key").sortWithinPartitions("key")
     return shards.mapInArrow(run, "key bigint, what binary, starts array<int>, counts array<int>")
 
 
-def repeated_spans(rows: DataFrame, length: int = LENGTH, memory: int = MEMORY) -> DataFrame:
+def _verdicts(contexts: DataFrame, length: int, memory: int, most: int, width: int) -> DataFrame:
+    """(key, what, starts, counts): the repeated windows of (key, what, windows, context), which have a row for each
+    place; several rows where the pieces of a context, cut at ``width`` distances, have some each."""
+    groups = stored(
+        contexts.groupBy("key", "what").agg(F.count("*").alias("times"), F.first("windows").alias("windows")), "context-groups"
+    )
+    # Different contexts of one window each have nothing in common.
+    size = F.sum(F.col("windows") + length - 1)
+    mixed = stored(
+        groups.groupBy("key").agg(F.count("*").alias("n"), F.max("windows").alias("m"), (size > most).alias("large"))
+        .filter("n > 1 AND m > 1").select("key", "large"), "mixed-keys"
+    )
+    different = contexts.join(mixed.filter("NOT large").select("key"), "key", "left_semi").dropDuplicates(["key", "what"])
+    found = _sorted_shards(different, length, memory, most)
+    large = mixed.filter("large").select("key")
+    if not large.isEmpty():  # there are no more of them than groups that a sort can hold
+        split = contexts.join(F.broadcast(large), "key", "left_semi").dropDuplicates(["key", "what"])
+        pieces = stored(_slices(split, width, length).withColumn("what", digest16("context")), "slices")
+        below = _verdicts(pieces.select("key", "what", "windows", "context"), length, memory, most, max(width // 4, 1))
+        of_pieces = pieces.select("whole_key", "whole_what", "lead", "key", "what").join(below, ["key", "what"])
+        found = found.unionByName(of_pieces.select(
+            F.col("whole_key").alias("key"), F.col("whole_what").alias("what"),
+            F.transform("starts", lambda start: start + F.col("lead")).alias("starts"), "counts",
+        ))
+    whole = groups.filter("times > 1").select(
+        "key", "what", F.array(F.lit(0)).alias("starts"), F.array(F.col("windows").cast("int")).alias("counts")
+    )
+    partly = found.join(groups.filter("times > 1").select("key", "what"), ["key", "what"], "left_anti")
+    return stored(whole.unionByName(partly), "verdicts")
+
+
+def repeated_spans(rows: DataFrame, length: int = LENGTH, memory: int = MEMORY, most: int = SORT_BYTES) -> DataFrame:
     """(name, runs of windows that repeat) for texts with (name, text): arrays of (first, starts, counts);
     ``name`` is the text's digest, and copies of a text count once here."""
     runs = stored(_runs(rows, length), "runs")
@@ -445,23 +532,13 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, memory: int = MEMORY)
     )
     with_text = rows.join(chosen, "name").dropDuplicates(["name"])
     contexts = stored(_contexts(with_text, length).withColumn("what", digest16("context")), "contexts")
-    groups = stored(
-        contexts.groupBy("key", "what").agg(F.count("*").alias("times"), F.first("windows").alias("windows")), "context-groups"
-    )
-    mixed = groups.groupBy("key").agg(F.count("*").alias("n"), F.max("windows").alias("m")).filter("n > 1").select("key")
-    different = contexts.join(mixed, "key", "left_semi").dropDuplicates(["key", "what"])
-    in_order = _sorted_shards(different, length, memory)
-    whole = groups.filter("times > 1").select(
-        "key", "what", F.array(F.lit(0)).alias("starts"), F.array(F.col("windows").cast("int")).alias("counts")
-    )
-    partly = in_order.join(groups.filter("times > 1").select("key", "what"), ["key", "what"], "left_anti")
-    verdicts = stored(whole.unionByName(partly), "verdicts")
+    verdicts = _verdicts(contexts.select("key", "what", "windows", "context"), length, memory, most, max((length - GRAM) // 8, 1))
     hits = contexts.select("name", "first", "key", "what").join(verdicts, ["key", "what"])
     return hits.groupBy("name").agg(F.collect_list(F.struct("first", "starts", "counts")).alias("runs"))
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, memory: int = MEMORY
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, memory: int = MEMORY, most: int = SORT_BYTES
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, starts, stops, kept (bytes).
 
@@ -473,7 +550,7 @@ def remove_repeats(
     """
     rows = texts(docs, id_col, text_col).withColumn("name", digest16("text"))
     long_ = rows.filter(F.octet_length("text") >= length)
-    spans = repeated_spans(long_.select("name", "text"), length, memory)
+    spans = repeated_spans(long_.select("name", "text"), length, memory, most)
     copied = long_.groupBy("name").agg(F.count("*").alias("times")).filter("times > 1").select("name", F.lit(True).alias("all"))
     marked = spans.join(copied, "name", "full_outer")
     kind = rows.schema["doc_id"].dataType.simpleString()
