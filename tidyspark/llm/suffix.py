@@ -31,6 +31,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -537,6 +538,10 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, memory: int = MEMORY,
     return hits.groupBy("name").agg(F.collect_list(F.struct("first", "starts", "counts")).alias("runs"))
 
 
+def _lengths(lists: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+
+
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, memory: int = MEMORY, most: int = SORT_BYTES
 ) -> DataFrame:
@@ -557,28 +562,31 @@ def remove_repeats(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", BATCH_BYTES):
-            sizes, removed, starts, stops, kept = [], [], [], [], []
-            for text, runs, every in zip(*(batch.column(c).to_pylist() for c in ("text", "runs", "all"))):
-                data = text.encode()
-                gone = np.zeros(len(data) + 1, np.int32)
-                if every:
-                    gone[0], gone[-1] = 1, -1
-                for r in runs or ():
-                    at = r["first"] + np.array(r["starts"])
-                    np.add.at(gone, at, 1)
-                    np.add.at(gone, at + np.array(r["counts"]) + length - 1, -1)
-                inside = np.cumsum(gone)[:-1] > 0
-                edge = np.diff(np.concatenate([[0], inside.astype(np.int8), [0]]))
-                begin, end = np.flatnonzero(edge > 0), np.flatnonzero(edge < 0)
-                sizes.append(len(data))
-                removed.append(int((end - begin).sum()))
-                starts.append(begin)
-                stops.append(end)
-                kept.append(data if not len(begin) else np.frombuffer(data, np.uint8)[~inside].tobytes())
+            raw = [t.encode() for t in batch.column("text").to_pylist()]
+            data = np.frombuffer(b"\0".join([*raw, b""]), np.uint8)  # a place behind each text, where all its runs have ended
+            sizes = np.array([len(r) for r in raw], np.int64)
+            behind = np.cumsum(sizes + 1) - 1
+            begin = behind - sizes
+            every = pc.fill_null(batch.column("all"), False).to_numpy(zero_copy_only=False)
+            firsts, starts, counts = batch.column("runs").flatten().flatten()
+            first = np.repeat(begin, _lengths(batch.column("runs"))) + firsts.to_numpy(zero_copy_only=False)
+            at = np.repeat(first, _lengths(starts)) + starts.flatten().to_numpy()
+            gone = np.zeros(len(data), np.int32)
+            np.add.at(gone, np.concatenate([at, begin[every]]), 1)
+            np.add.at(gone, np.concatenate([at + counts.flatten().to_numpy() + length - 1, behind[every]]), -1)
+            inside = np.cumsum(gone) > 0
+            edge = np.diff(inside.astype(np.int8), prepend=0)
+            start, stop = np.flatnonzero(edge > 0), np.flatnonzero(edge < 0)
+            owner = np.searchsorted(behind, start)
+            offsets = np.searchsorted(owner, np.arange(len(raw) + 1))
+            removed = np.bincount(owner, stop - start, len(raw)).astype(np.int64)
+            left = ~inside
+            left[behind] = False
+            ends = np.cumsum(np.append(0, sizes - removed)).astype(np.int32)
+            kept = pa.Array.from_buffers(pa.binary(), len(raw), [None, pa.py_buffer(ends), pa.py_buffer(data[left])])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
-                 pa.array([len(s) for s in starts], pa.int64()), pa.array(starts, pa.list_(pa.int32())),
-                 pa.array(stops, pa.list_(pa.int32())), pa.array(kept, pa.binary())],
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(np.diff(offsets), pa.int64()),
+                 list_array(start - begin[owner], offsets, pa.int32()), list_array(stop - begin[owner], offsets, pa.int32()), kept],
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "starts", "stops", "kept"],
             )
 
